@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalars import clip, sigmoid
+from .scalars import clip, literal, sigmoid
 
 
 @dataclass(frozen=True)
@@ -19,9 +19,9 @@ class Term:
     weight: float
     center: float = 0.0
 
-    def value(self) -> Column:
-        x = F.expr(self.column)
-        return (x - F.lit(self.center) if self.center else x) * F.lit(self.weight)
+    def sql(self) -> str:
+        x = f"({self.column} - {literal(float(self.center))})" if self.center else self.column
+        return f"{x} * {literal(float(self.weight))}"
 
 
 @dataclass(frozen=True)
@@ -33,35 +33,26 @@ class LinearIndex:
     low: float | None = None
     high: float | None = None
 
-    def raw(self) -> Column:
-        parts = [t.value() for t in self.terms]
-        total = parts[0] if self.intercept is None else F.lit(self.intercept) + parts[0]
-        for part in parts[1:]:
-            total = total + part
-        return total
+    def raw_sql(self) -> str:
+        start = [] if self.intercept is None else [literal(float(self.intercept))]
+        return " + ".join([*start, *[t.sql() for t in self.terms]])
 
-    def score(self) -> Column:
+    def score_sql(self) -> str:
         if self.low is None and self.high is None:
-            return self.raw()
-        return clip(self.raw(), self.low, self.high)
+            return self.raw_sql()
+        return clip.sql(self.raw_sql(), self.low, self.high)
 
-    def probability(self) -> Column:
-        return sigmoid(self.raw())
+    def probability_sql(self) -> str:
+        return sigmoid.sql(self.raw_sql())
 
     def contributions(self, background: Mapping[str, float], names: Mapping[str, str]) -> Column:
         """Array of (size, name, value): each term's part relative to its background mean."""
-        return F.array(
-            *[
-                F.struct(
-                    F.abs(v := F.lit(t.weight) * (F.expr(t.column) - F.lit(background[t.column]))).alias(
-                        "size"
-                    ),
-                    F.lit(names.get(t.column, t.column)).alias("name"),
-                    v.alias("value"),
-                )
-                for t in self.terms
-            ]
-        )
+        parts = []
+        for t in self.terms:
+            value = f"{literal(float(t.weight))} * ({t.column} - {literal(float(background[t.column]))})"
+            name = literal(names.get(t.column, t.column))
+            parts.append(f"named_struct('size', abs({value}), 'name', {name}, 'value', {value})")
+        return F.expr(f"array({', '.join(parts)})")
 
 
 def weighted(weights: Mapping[str, float], **kw) -> LinearIndex:

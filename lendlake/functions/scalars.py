@@ -1,16 +1,19 @@
-"""Scalar column functions shared by the rules, the model life-cycle and the reports."""
+"""Scalar functions shared by the rules, the model life-cycle and the reports.
+
+A function takes SQL expression text (a column name is one) and gives a native column.
+``fn.sql`` gives the text instead, so that functions nest as text and a whole rule reaches
+Spark as one parsed expression rather than as hundreds of calls from Python.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce, wraps
 from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnLike = Column | str
-
 # Values of a filter widget that mean "no filter".
 NO_FILTER = (None, "all")
 
@@ -59,190 +62,210 @@ FEATURE_LABELS = {
 }
 
 
-def as_col(c: ColumnLike) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def column(fn: Callable[..., str]) -> Callable[..., Column]:
+    """Column version of a function that writes expression text; the text stays at ``.sql``."""
+
+    @wraps(fn)
+    def build(*args, **kwargs) -> Column:
+        return F.expr(fn(*args, **kwargs))
+
+    build.sql = fn
+    return build
+
+
+def literal(v) -> str:
+    """SQL text of a Python value; floats are doubles, never decimals."""
+    if v is None:
+        return "null"
+    if isinstance(v, bool):
+        return str(v).lower()
+    if isinstance(v, float):
+        return f"{v!r}D"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(v)
 
 
 # --- rounding ---------------------------------------------------------------
 
 
-def round_half_up(c: ColumnLike, digits: int) -> Column:
+@column
+def round_half_up(x: str, digits: int) -> str:
     """Half-up rounding on the scaled double, the result SQL ``ROUND`` gives on doubles.
 
     Spark's own ``round`` works on the decimal text of the double and differs from that in
     about one value in a hundred. Adding 0.0 turns a negative zero into zero.
     """
-    x = as_col(c).cast("double")
-    scale = float(10**digits)
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / F.lit(scale) + F.lit(0.0)
+    scale = literal(float(10**digits))
+    return f"(signum({x}) * floor(abs({x}) * {scale} + 0.5D) / {scale} + 0.0D)"
 
 
-def round_half_even(c: ColumnLike, digits: int) -> Column:
+@column
+def round_half_even(x: str, digits: int) -> str:
     """Half-to-even rounding on the scaled double, the rounding of stored columns."""
-    scale = float(10**digits)
-    return F.rint(as_col(c).cast("double") * scale) / F.lit(scale) + F.lit(0.0)
+    scale = literal(float(10**digits))
+    return f"(rint(({x}) * {scale}) / {scale} + 0.0D)"
 
 
-def rate(flag: ColumnLike, digits: int = 4) -> Column:
+@column
+def rate(flag: str, digits: int = 4) -> str:
     """Rounded share of true values of a boolean column (an aggregate)."""
-    return round_half_up(F.avg(as_col(flag).cast("int")), digits)
+    return round_half_up.sql(f"avg(cast({flag} as int))", digits)
 
 
-def rounded_mean(c: ColumnLike, digits: int = 4) -> Column:
+@column
+def rounded_mean(x: str, digits: int = 4) -> str:
     """Rounded mean of a numeric column (an aggregate)."""
-    return round_half_up(F.avg(as_col(c)), digits)
+    return round_half_up.sql(f"avg({x})", digits)
 
 
 # --- bounds, curves and ratios ----------------------------------------------
 
 
-def clip(c: ColumnLike, low: float | None, high: float | None) -> Column:
+@column
+def clip(x: str, low: float | None, high: float | None) -> str:
     """Limit to [low, high]; NULL stays NULL (``greatest``/``least`` alone would skip it)."""
-    x = as_col(c)
     bounded = x
     if low is not None:
-        bounded = F.greatest(bounded, F.lit(low))
+        bounded = f"greatest({bounded}, {literal(low)})"
     if high is not None:
-        bounded = F.least(bounded, F.lit(high))
-    return F.when(x.isNotNull(), bounded)
+        bounded = f"least({bounded}, {literal(high)})"
+    return f"if(({x}) is null, null, {bounded})"
 
 
-def floor_at_zero(c: ColumnLike) -> Column:
-    return clip(c, 0.0, None)
+@column
+def floor_at_zero(x: str) -> str:
+    return clip.sql(x, 0.0, None)
 
 
-def sigmoid(c: ColumnLike) -> Column:
+@column
+def sigmoid(x: str) -> str:
     """Logistic function with the exponent limited to +-30."""
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-clip(c, -30.0, 30.0)))
+    return f"(1.0D / (1.0D + exp(-({clip.sql(x, -30.0, 30.0)}))))"
 
 
-def clipped_ratio(num: ColumnLike, den: ColumnLike, low: float, high: float) -> Column:
+@column
+def clipped_ratio(num: str, den: str, low: float, high: float) -> str:
     """num / den limited to [low, high]; a zero denominator gives NULL."""
-    return clip(F.try_divide(as_col(num), as_col(den)), low, high)
+    return clip.sql(f"try_divide({num}, {den})", low, high)
 
 
-def z_score(c: ColumnLike, mean: ColumnLike, std: ColumnLike, scale: float = 1.0) -> Column:
-    return F.try_divide(as_col(c) - as_col(mean), as_col(std)) * F.lit(scale)
+@column
+def z_score(x: str, mean: str, std: str, scale: float = 1.0) -> str:
+    return f"(try_divide({x} - {mean}, {std}) * {literal(scale)})"
 
 
-def is_missing(c: ColumnLike) -> Column:
+@column
+def is_missing(x: str) -> str:
     """NULL or NaN (double columns)."""
-    x = as_col(c)
-    return x.isNull() | F.isnan(x)
+    return f"(({x}) is null or isnan({x}))"
 
 
 # --- lookups, cases and bands -----------------------------------------------
 
 
-def first_match(cases: Sequence[tuple[Column, object]], default=None) -> Column:
-    """Value of the first true condition."""
-    (cond, value), *rest = cases
-    out = F.when(cond, value)
-    for cond, value in rest:
-        out = out.when(cond, value)
-    return out if default is None else out.otherwise(default)
+@column
+def first_match(cases: Sequence[tuple[str, str]], default: str | None = None) -> str:
+    """Value of the first true condition; conditions and values are expression text."""
+    body = " ".join(f"when {cond} then {value}" for cond, value in cases)
+    return f"(case {body}{'' if default is None else f' else {default}'} end)"
 
 
-def lookup(c: ColumnLike, mapping: Mapping, default=None) -> Column:
+@column
+def lookup(x: str, mapping: Mapping, default=None) -> str:
     """Category to value; an unknown category gives ``default`` (NULL if not set)."""
-    x = as_col(c)
-    return first_match([(x == F.lit(k), F.lit(v)) for k, v in mapping.items()], default)
+    body = " ".join(f"when {literal(k)} then {literal(v)}" for k, v in mapping.items())
+    return f"(case {x} {body} else {literal(default)} end)"
 
 
-def right_closed_bins(
-    c: ColumnLike, low: float, edges: Sequence[tuple[float, str]], last: str
-) -> Column:
+@column
+def right_closed_bins(x: str, low: float, edges: Sequence[tuple[float, str]], last: str) -> str:
     """Labelled bins (low, e1], (e1, e2], ..., above the last edge; outside gives NULL."""
-    x = as_col(c)
-    cases = [(x <= low, F.lit(None).cast("string"))]
-    cases += [(x <= edge, F.lit(label)) for edge, label in edges]
-    cases.append((x.isNotNull(), F.lit(last)))
-    return first_match(cases)
+    cases = [(f"{x} <= {literal(low)}", "null")]
+    cases += [(f"{x} <= {literal(edge)}", literal(label)) for edge, label in edges]
+    return first_match.sql([*cases, (f"{x} is not null", literal(last))])
 
 
+@column
 def threshold_band(
-    c: ColumnLike,
-    levels: Sequence[tuple[float, str]],
-    default: str,
-    null_label: str | None = None,
-) -> Column:
+    x: str, levels: Sequence[tuple[float, str]], default: str, null_label: str | None = None
+) -> str:
     """Label of the first level with value >= threshold (levels in descending order).
 
     A missing value gets ``null_label``; without one it gets ``default``, since every
     comparison with a missing value is false.
     """
-    x = as_col(c)
-    cases = [(x.isNull(), F.lit(null_label))] if null_label is not None else []
-    cases += [(x >= F.lit(t), F.lit(label)) for t, label in levels]
-    return first_match(cases, F.lit(default))
+    cases = [] if null_label is None else [(f"{x} is null", literal(null_label))]
+    cases += [(f"{x} >= {literal(t)}", literal(label)) for t, label in levels]
+    return first_match.sql(cases, literal(default))
 
 
 # --- dates ------------------------------------------------------------------
 
 
-def month_start(c: ColumnLike) -> Column:
-    return F.trunc(as_col(c).cast("date"), "MM")
+@column
+def month_start(x: str) -> str:
+    return f"trunc(cast({x} as date), 'MM')"
 
 
-def month_span(start: ColumnLike, periods: int) -> Column:
+@column
+def month_span(start: str, periods: int) -> str:
     """Array of ``periods`` month starts from ``start``."""
-    first = month_start(start)
-    last = F.add_months(first, periods - 1)
-    return F.sequence(first, last, F.expr("interval 1 month"))
+    first = month_start.sql(start)
+    return f"sequence({first}, add_months({first}, {periods - 1}), interval 1 month)"
 
 
-def months_before(c: ColumnLike, months: ColumnLike | int) -> Column:
-    n = F.lit(months) if isinstance(months, int) else as_col(months)
-    return F.add_months(as_col(c), -n)
+@column
+def months_before(x: str, months: int | str) -> str:
+    return f"add_months({x}, -({months}))"
 
 
-def days_after(c: ColumnLike, days: ColumnLike | int) -> Column:
-    return F.date_add(as_col(c), F.lit(days) if isinstance(days, int) else as_col(days))
+@column
+def days_after(x: str, days: int | str) -> str:
+    return f"date_add({x}, {days})"
 
 
 # --- text -------------------------------------------------------------------
 
 
-def padded_id(prefix: str, number: ColumnLike, width: int) -> Column:
+@column
+def padded_id(prefix: str, number: str, width: int) -> str:
     """Identifier text such as ``SCORE_0000000042``."""
-    return F.format_string(f"{prefix}_%0{width}d", as_col(number))
+    return f"format_string('{prefix}_%0{width}d', {number})"
 
 
-def percent_text(c: ColumnLike, digits: int = 2) -> Column:
-    return F.format_string(f"%.{digits}f%%", as_col(c) * 100.0)
+@column
+def percent_text(x: str, digits: int = 2) -> str:
+    return f"format_string('%.{digits}f%%', ({x}) * 100.0D)"
 
 
-def thousands_text(c: ColumnLike) -> Column:
-    return F.format_number(as_col(c), 0)
+@column
+def thousands_text(x: str) -> str:
+    return f"format_number({x}, 0)"
 
 
-def title_case(c: ColumnLike) -> Column:
+@column
+def title_case(x: str) -> str:
     """Upper-case every letter that does not follow a letter, lower-case the others."""
-    chars = F.split(F.lower(as_col(c)), "")
-    before = F.concat(F.array(F.lit(" ")), chars)
-    starts_word = lambda i: ~F.element_at(before, i + 1).rlike("^[a-z]$")
-    return F.array_join(
-        F.transform(chars, lambda ch, i: F.when(starts_word(i), F.upper(ch)).otherwise(ch)), ""
-    )
+    chars = f"split(lower({x}), '')"
+    before = f"element_at(concat(array(' '), {chars}), i + 1)"
+    return f"array_join(transform({chars}, (ch, i) -> if({before} rlike '^[a-z]$', ch, upper(ch))), '')"
 
 
-def feature_label(c: ColumnLike, missing: str = "Not explained yet") -> Column:
+@column
+def feature_label(x: str, missing: str = "Not explained yet") -> str:
     """Readable label of a model feature name."""
-    x = as_col(c)
-    bare = F.replace(F.replace(x, F.lit("num__"), F.lit("")), F.lit("cat__"), F.lit(""))
-    known = F.create_map(*[F.lit(v) for pair in FEATURE_LABELS.items() for v in pair])
-    derived = title_case(F.replace(bare, F.lit("_"), F.lit(" ")))
-    return F.when(x.isNull(), F.lit(missing)).otherwise(
-        F.coalesce(F.try_element_at(known, x), derived)
-    )
+    bare = f"replace(replace(replace({x}, 'num__', ''), 'cat__', ''), '_', ' ')"
+    known = lookup.sql(x, FEATURE_LABELS)
+    return f"(case when {x} is null then {literal(missing)} else coalesce({known}, {title_case.sql(bare)}) end)"
 
 
 # --- predicates -------------------------------------------------------------
 
 
-def equals_or_all(c: ColumnLike, value) -> Column | None:
+def equals_or_all(name: str, value) -> Column | None:
     """Equality predicate, or None when the value means "no filter"."""
-    return None if value in NO_FILTER else as_col(c) == F.lit(value)
+    return None if value in NO_FILTER else F.col(name) == F.lit(value)
 
 
 def portfolio_filter(
@@ -250,9 +273,9 @@ def portfolio_filter(
     band: str | None = None,
     scenario: str | None = None,
     *,
-    product_col: ColumnLike = "product_type",
-    band_col: ColumnLike = "risk_band",
-    scenario_col: ColumnLike = "scenario_id",
+    product_col: str = "product_type",
+    band_col: str = "risk_band",
+    scenario_col: str = "scenario_id",
 ) -> Column:
     """Conjunction of the filters that are set; true when none is."""
     parts = [

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.linear import weighted
-from ..functions.scalars import clipped_ratio
+from ..functions.scalars import clipped_ratio, column
 
 # Fixed values of the bureau rules.
 UTILIZATION_BOUNDS = (0.0, 1.5)
@@ -44,13 +44,10 @@ BANKRUPTCY = weighted(
 )
 
 
-def cents(c: str) -> Column:
-    """Money as whole cents: integer sums do not depend on the order of the rows."""
-    return F.floor(F.col(c) * 100.0 + 0.5).cast("bigint")
-
-
-def money_sum(c: str) -> Column:
-    return F.sum(cents(c)) / 100.0
+@column
+def money_sum(c: str) -> str:
+    """Sum of whole cents: integer sums do not depend on the order of the rows."""
+    return f"sum(cast(floor({c} * 100.0D + 0.5D) as bigint)) / 100.0D"
 
 
 def customer_month(snapshots: DataFrame) -> DataFrame:
@@ -58,9 +55,9 @@ def customer_month(snapshots: DataFrame) -> DataFrame:
     return snapshots.groupBy("customer_id", "month").agg(
         money_sum("current_balance").alias("total_debt_balance"),
         F.max("days_past_due").alias("max_days_past_due"),
-        F.count_if(F.col("days_past_due") > 0).alias("delinquent_accounts"),
-        F.count_if(F.col("default_flag")).alias("default_count"),
-        F.count_if(F.col("chargeoff_flag")).alias("chargeoff_count"),
+        F.expr("count_if(days_past_due > 0)").alias("delinquent_accounts"),
+        F.expr("count_if(default_flag)").alias("default_count"),
+        F.expr("count_if(chargeoff_flag)").alias("chargeoff_count"),
     )
 
 
@@ -72,10 +69,11 @@ def credit_lines(accounts: DataFrame) -> DataFrame:
     )
 
 
-def rolling_count(value: str, key: str = "customer_id", order: str = "month", rows: int = 12) -> Column:
+@column
+def rolling_count(value: str, key: str = "customer_id", order: str = "month", rows: int = 12) -> str:
     """Sum over the last ``rows`` observed rows of the key: rows, not calendar months."""
-    window = Window.partitionBy(key).orderBy(order).rowsBetween(-(rows - 1), 0)
-    return F.sum(value).over(window)
+    frame = f"rows between {rows - 1} preceding and current row"
+    return f"sum({value}) over (partition by {key} order by {order} {frame})"
 
 
 def bureau_base(snapshots: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -87,20 +85,24 @@ def bureau_base(snapshots: DataFrame, accounts: DataFrame) -> DataFrame:
     ).withColumn("delinquencies_12m", rolling_count("delinquent_accounts"))
 
 
-def bureau_score() -> Column:
-    return F.floor(BUREAU_SCORE.score() + 0.5).cast("int")
+@column
+def bureau_score() -> str:
+    return f"cast(floor({BUREAU_SCORE.score_sql()} + 0.5D) as int)"
 
 
-def inquiry_probability() -> Column:
-    return INQUIRY.score()
+@column
+def inquiry_probability() -> str:
+    return INQUIRY.score_sql()
 
 
-def expected_inquiries() -> Column:
-    return inquiry_probability() * float(INQUIRY_TRIALS)
+@column
+def expected_inquiries() -> str:
+    return f"{INQUIRY.score_sql()} * {float(INQUIRY_TRIALS)}D"
 
 
-def bankruptcy_probability() -> Column:
-    return BANKRUPTCY.score()
+@column
+def bankruptcy_probability() -> str:
+    return BANKRUPTCY.score_sql()
 
 
 def bureau_profile(base: DataFrame, customers: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ColumnLike, as_col, round_half_even
+from ..functions.scalars import first_match, literal, round_half_even
 from ..sources.tables import update_slice
 from .model import PD_DIGITS, calibrated_band
 
@@ -17,8 +17,8 @@ from .model import PD_DIGITS, calibrated_band
 def score_groups(df: DataFrame, score: str, label: str, digits: int = PD_DIGITS) -> DataFrame:
     """Rows and outcome rate per rounded score: at most 10^digits + 1 rows, whatever the input."""
     return df.groupBy(round_half_even(score, digits).alias("score")).agg(
-        F.count(F.lit(1)).cast("double").alias("weight"),
-        F.avg(F.col(label).cast("int")).alias("outcome"),
+        F.expr("cast(count(*) as double)").alias("weight"),
+        F.expr(f"avg(cast({label} as int))").alias("outcome"),
     )
 
 
@@ -45,13 +45,18 @@ class Curve:
 
     knots: Sequence[tuple[float, float]]
 
-    def value(self, score: ColumnLike) -> Column:
-        s = as_col(score)
+    def value_sql(self, score: str) -> str:
+        """Linear interpolation between the knots, constant outside them."""
         (x0, y0), (xn, yn) = self.knots[0], self.knots[-1]
-        out = F.when(s <= x0, F.lit(y0))
+        cases = [(f"{score} <= {literal(x0)}", literal(y0))]
         for (xa, ya), (xb, yb) in zip(self.knots, self.knots[1:]):
-            out = out.when(s <= xb, F.lit(ya) + (s - F.lit(xa)) * F.lit((yb - ya) / (xb - xa)))
-        return out.when(s > xn, F.lit(yn))
+            slope = literal((yb - ya) / (xb - xa))
+            line = f"{literal(ya)} + ({score} - {literal(xa)}) * {slope}"
+            cases.append((f"{score} <= {literal(xb)}", line))
+        return first_match.sql([*cases, (f"{score} > {literal(xn)}", literal(yn))])
+
+    def value(self, score: str) -> Column:
+        return F.expr(self.value_sql(score))
 
 
 def with_calibration(df: DataFrame, calibrated: str = "raw_calibrated_pd") -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_up, threshold_band
+from ..functions.scalars import column, round_half_up, threshold_band
 from .ordering import breakpoints, bucket_of
 
 # Fixed values of the drift rules.
@@ -26,8 +26,9 @@ DRIFT_FEATURES = [
 PERIODS = ("early_baseline_months", "late_baseline_months")
 
 
-def drift_level(psi: str = "psi_score") -> Column:
-    return threshold_band(psi, DRIFT_LEVELS, "stable", null_label="not_available")
+@column
+def drift_level(psi: str = "psi_score") -> str:
+    return threshold_band.sql(psi, DRIFT_LEVELS, "stable", null_label="not_available")
 
 
 def midpoint_month(df: DataFrame, month: str = "month") -> DataFrame:
@@ -60,8 +61,8 @@ def _index(counts: DataFrame, by: str) -> DataFrame:
         by,
         *[F.when(F.col(s) == 0, EMPTY_SHARE).otherwise(F.col(s)).alias(s) for s in ("ref", "cur")],
     )
-    term = (F.col("cur") - F.col("ref")) * F.ln(F.col("cur") / F.col("ref"))
-    return filled.groupBy(by).agg(round_half_up(F.sum(term), PSI_DIGITS).alias("psi_score"))
+    index = round_half_up("sum((cur - ref) * ln(cur / ref))", PSI_DIGITS)
+    return filled.groupBy(by).agg(index.alias("psi_score"))
 
 
 def psi(

@@ -4,99 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_up
+from ..functions.scalars import column, literal, rate, round_half_up, rounded_mean
 from .model import DECISION_THRESHOLD
 from .ordering import quantile_buckets, rank_auc
 
 
-def predicted_label(score: str, threshold: float = DECISION_THRESHOLD) -> Column:
-    return F.when(F.col(score) > threshold, 1).otherwise(0)
+@column
+def predicted_label(score: str, threshold: float = DECISION_THRESHOLD) -> str:
+    return f"if({score} > {literal(threshold)}, 1, 0)"
 
 
-def confusion_matrix(df: DataFrame, label: str, predicted: Column) -> DataFrame:
-    """All four cells, also the empty ones."""
-    y = F.col(label).cast("int")
-    cells = [(a, p) for a in (0, 1) for p in (0, 1)]
-    one = df.agg(
-        *[F.count_if((y == a) & (predicted == p)).alias(f"n{a}{p}") for a, p in cells]
-    )
-    return one.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.col(f"n{a}{p}").alias("rows")
-                    )
-                    for a, p in cells
-                ]
-            )
-        )
+def _cells(df: DataFrame, label: str, predicted: str) -> DataFrame:
+    """One row with the four counts n<actual><predicted>, from one aggregation."""
+    return df.selectExpr(
+        *[
+            f"count_if(cast({label} as int) = {a} and {predicted} = {p}) as n{a}{p}"
+            for a in (0, 1)
+            for p in (0, 1)
+        ]
     )
 
 
-def _ratio(a: Column, b: Column) -> Column:
-    return F.coalesce(F.try_divide(a, b), F.lit(0.0))
+def confusion_matrix(df: DataFrame, label: str, predicted: str) -> DataFrame:
+    """All four cells, also the empty ones; ``predicted`` is expression text."""
+    rows = [
+        f"named_struct('actual', {a}, 'predicted', {p}, 'rows', n{a}{p})" for a in (0, 1) for p in (0, 1)
+    ]
+    return _cells(df, label, predicted).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"coalesce(try_divide(cast({a} as double), {b}), 0.0D)"
 
 
-def classification_report(df: DataFrame, label: str, predicted: Column) -> DataFrame:
+def classification_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """Precision, recall, F1 and support per class, with accuracy and both averages."""
-    y = F.col(label).cast("int")
-    c = df.agg(
-        *[
-            F.count_if((y == a) & (predicted == p)).cast("double").alias(f"n{a}{p}")
-            for a in (0, 1)
-            for p in (0, 1)
-        ]
-    )
-    col = F.col
-    c = c.select(
-        "*",
-        _ratio(col("n00"), col("n00") + col("n10")).alias("p0"),
-        _ratio(col("n11"), col("n11") + col("n01")).alias("p1"),
-        _ratio(col("n00"), col("n00") + col("n01")).alias("r0"),
-        _ratio(col("n11"), col("n11") + col("n10")).alias("r1"),
-        (col("n00") + col("n01")).alias("s0"),
-        (col("n10") + col("n11")).alias("s1"),
-    )
-    c = c.select(
+    rates = _cells(df, label, predicted).selectExpr(
         "*",
-        *[
-            _ratio(2.0 * col(f"p{k}") * col(f"r{k}"), col(f"p{k}") + col(f"r{k}")).alias(f"f{k}")
-            for k in (0, 1)
-        ],
+        f"{_ratio('n00', 'n00 + n10')} as p0",
+        f"{_ratio('n11', 'n11 + n01')} as p1",
+        f"{_ratio('n00', 'n00 + n01')} as r0",
+        f"{_ratio('n11', 'n11 + n10')} as r1",
+        "n00 + n01 as s0",
+        "n10 + n11 as s1",
     )
-    total = col("s0") + col("s1")
-    accuracy = _ratio(col("n00") + col("n11"), total)
-
-    def macro(m):
-        return (col(f"{m}0") + col(f"{m}1")) / 2.0
-
-    def weighted(m):
-        return _ratio(col(f"{m}0") * col("s0") + col(f"{m}1") * col("s1"), total)
-
-    def line(name, p, r, f, s):
-        return F.struct(
-            F.lit(name).alias("class"),
-            round_half_up(p, 4).alias("precision"),
-            round_half_up(r, 4).alias("recall"),
-            round_half_up(f, 4).alias("f1_score"),
-            s.cast("bigint").alias("support"),
+    scores = rates.selectExpr("*", *[f"{_ratio(f'2 * p{k} * r{k}', f'p{k} + r{k}')} as f{k}" for k in (0, 1)])
+    measures = ("p", "r", "f")
+    accuracy = _ratio("n00 + n11", "s0 + s1")
+    lines = [
+        ("0", [f"{m}0" for m in measures], "s0"),
+        ("1", [f"{m}1" for m in measures], "s1"),
+        ("accuracy", [accuracy] * 3, "s0 + s1"),
+        ("macro avg", [f"(({m}0 + {m}1) / 2)" for m in measures], "s0 + s1"),
+        ("weighted avg", [_ratio(f"({m}0 * s0 + {m}1 * s1)", "s0 + s1") for m in measures], "s0 + s1"),
+    ]
+    rows = [
+        f"named_struct('class', '{name}', "
+        + ", ".join(
+            f"'{k}', {round_half_up.sql(v, 4)}" for k, v in zip(("precision", "recall", "f1_score"), values)
         )
-
-    return c.select(
-        F.inline(
-            F.array(
-                line("0", col("p0"), col("r0"), col("f0"), col("s0")),
-                line("1", col("p1"), col("r1"), col("f1"), col("s1")),
-                line("accuracy", accuracy, accuracy, accuracy, total),
-                line("macro avg", macro("p"), macro("r"), macro("f"), total),
-                line("weighted avg", weighted("p"), weighted("r"), weighted("f"), total),
-            )
-        )
-    )
+        + f", 'support', {support})"
+        for name, values, support in lines
+    ]
+    return scores.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def decile_table(df: DataFrame, score: str, label: str, buckets: int = 10) -> DataFrame:
@@ -106,17 +79,18 @@ def decile_table(df: DataFrame, score: str, label: str, buckets: int = 10) -> Da
         .groupBy("risk_decile")
         .agg(
             F.count(label).alias("accounts"),
-            round_half_up(F.avg(F.col(label).cast("int")), 4).alias("default_rate"),
-            round_half_up(F.avg(score), 4).alias("avg_predicted_pd"),
+            rate(label).alias("default_rate"),
+            rounded_mean(score).alias("avg_predicted_pd"),
         )
         .orderBy(F.desc("risk_decile"))
     )
 
 
-def brier_score(score: str, label: str) -> Column:
+@column
+def brier_score(score: str, label: str) -> str:
     """Mean squared error of a probability (an aggregate)."""
-    gap = F.col(score) - F.col(label).cast("int")
-    return F.avg(gap * gap)
+    gap = f"({score} - cast({label} as int))"
+    return f"avg({gap} * {gap})"
 
 
 def compare_scores(df: DataFrame, scores: Sequence[str], label: str) -> DataFrame:
@@ -127,7 +101,7 @@ def compare_scores(df: DataFrame, scores: Sequence[str], label: str) -> DataFram
             F.array(*[F.struct(F.lit(s).alias("measure"), F.col(s).alias("pd")) for s in scores])
         ),
     )
-    brier = long.groupBy("measure").agg(round_half_up(brier_score("pd", label), 6).alias("brier"))
+    brier = long.groupBy("measure").agg(round_half_up(brier_score.sql("pd", label), 6).alias("brier"))
     auc = rank_auc(long, "pd", label, ["measure"]).select(
         "measure", round_half_up("auc", 6).alias("auc")
     )
@@ -136,11 +110,11 @@ def compare_scores(df: DataFrame, scores: Sequence[str], label: str) -> DataFram
 
 def calibration_curve(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
     """Mean score and outcome rate in equal-width score bins that have rows."""
-    bin_no = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int") + 1
+    bin_no = F.expr(f"cast(least(floor({score} * {bins}), {bins - 1}) as int) + 1")
     return df.groupBy(bin_no.alias("bin")).agg(
         F.count(F.lit(1)).alias("rows"),
-        round_half_up(F.avg(score), 4).alias("avg_predicted_pd"),
-        round_half_up(F.avg(F.col(label).cast("int")), 4).alias("actual_default_rate"),
+        rounded_mean(score).alias("avg_predicted_pd"),
+        rate(label).alias("actual_default_rate"),
     )
 
 

@@ -24,7 +24,7 @@ EXPLAINED_ROWS = 500
 def background_means(background: DataFrame, model: LinearModel) -> dict[str, float]:
     """Mean of every model input over the background rows: one pass, one row."""
     columns = [t.column for t in model.index.terms]
-    row = background.agg(*[F.avg(F.expr(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    row = background.selectExpr(*[f"avg({c}) as m{i}" for i, c in enumerate(columns)]).first()
     return {c: row[f"m{i}"] for i, c in enumerate(columns)}
 
 
@@ -41,12 +41,11 @@ def top_by_size(parts: Column, rank: int) -> Column:
 def with_top_drivers(df: DataFrame, model: LinearModel, means: dict[str, float]) -> DataFrame:
     """The two strongest drivers of every row; a column expression, so all rows can have it."""
     ranked = df.withColumn("_drivers", F.sort_array(contributions(model, means), asc=False))
-    out = {}
+    out = []
     for k in (1, 2):
-        entry = F.element_at("_drivers", k)
-        out[f"top_shap_feature_{k}"] = entry["name"]
-        out[f"top_shap_value_{k}"] = round_half_even(entry["value"], VALUE_DIGITS)
-    return ranked.withColumns(out).drop("_drivers")
+        value = round_half_even.sql(f"_drivers[{k - 1}].value", VALUE_DIGITS)
+        out += [f"_drivers[{k - 1}].name as top_shap_feature_{k}", f"{value} as top_shap_value_{k}"]
+    return ranked.selectExpr("*", *out).drop("_drivers")
 
 
 def write_drivers(path: str, explained: DataFrame, key: Sequence[str], version: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.linear import LinearIndex, Term
-from ..functions.scalars import ColumnLike, as_col, round_half_even, threshold_band
+from ..functions.scalars import column, lookup, round_half_even, threshold_band
 from . import features as ft
 
 # Fixed values of the score bands and the audit record.
@@ -22,18 +22,20 @@ PD_DIGITS = 6
 DECISION_THRESHOLD = 0.5
 
 
-def risk_band(pd: ColumnLike = "predicted_pd") -> Column:
-    return threshold_band(pd, RISK_BANDS, "low")
+@column
+def risk_band(pd: str = "predicted_pd") -> str:
+    return threshold_band.sql(pd, RISK_BANDS, "low")
 
 
-def calibrated_band(pd: ColumnLike = "calibrated_pd") -> Column:
-    return threshold_band(pd, CALIBRATED_BANDS, "low")
+@column
+def calibrated_band(pd: str = "calibrated_pd") -> str:
+    return threshold_band.sql(pd, CALIBRATED_BANDS, "low")
 
 
-def band_rank(band: ColumnLike = "risk_band") -> Column:
+@column
+def band_rank(band: str = "risk_band") -> str:
     """1 for critical to 4 for low, 5 for anything else."""
-    ranks = F.array_position(F.lit(BAND_ORDER), as_col(band)).cast("int")
-    return F.when(ranks > 0, ranks).otherwise(len(BAND_ORDER) + 1)
+    return lookup.sql(band, {b: i for i, b in enumerate(BAND_ORDER, 1)}, len(BAND_ORDER) + 1)
 
 
 @dataclass(frozen=True)
@@ -48,10 +50,10 @@ class LinearModel:
     names: Mapping[str, str]
 
     def log_odds(self) -> Column:
-        return self.index.raw()
+        return F.expr(self.index.raw_sql())
 
     def probability(self) -> Column:
-        return self.index.probability()
+        return F.expr(self.index.probability_sql())
 
     def score(self, df: DataFrame, name: str = "raw_pd") -> DataFrame:
         """P(default) of every row; runs inside code generation, without vectors or UDFs."""

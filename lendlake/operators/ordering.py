@@ -53,8 +53,8 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column; NULL and NaN are left out.
 
-    Three passes over the columns: part borders, part sizes (both combine map-side to a
-    few rows), then only the values of the parts in which a wanted rank lies are grouped and
+    Materialise an expensive input first, because it is read three times: part borders, part
+    sizes (both combine map-side to a few rows), then only the values of the parts in which a wanted rank lies are grouped and
     ordered. What reaches the driver is bounded by columns x parts, never by rows.
     """
     vals = df.select(*[_present(c).alias(c) for c in cols])
@@ -147,12 +147,19 @@ def quantile_buckets(df: DataFrame, c: str, buckets: int = 10, name: str = "buck
 
 
 def class_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score (``label`` is 0/1 or boolean)."""
-    y = F.col(label).cast("int")
+    """Positives and negatives per distinct score (``label`` is 0/1 or boolean).
+
+    Rows without a score are dropped after the grouping: a filter before it would be pushed
+    down through the projections and repeat the whole score expression there.
+    """
+    rows = df.select(*by, F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("y"))
     return (
-        df.where(F.col(score).isNotNull())
-        .groupBy(*by, F.col(score).cast("double").alias("score"))
-        .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+        rows.groupBy(*by, "score")
+        .agg(
+            F.sum("y").alias("pos"), F.expr("sum(1 - y)").alias("neg"), F.count("score").alias("scored")
+        )
+        .where(F.col("scored") > 0)
+        .drop("scored")
     )
 
 

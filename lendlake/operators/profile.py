@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_up
+from ..functions.scalars import literal, round_half_up, rounded_mean
 from .ordering import exact_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -19,56 +19,41 @@ def frequencies(df: DataFrame, col: str) -> DataFrame:
     counted = present.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
     total = F.broadcast(present.agg(F.count(F.lit(1)).alias("_total")))  # always one row
     return counted.crossJoin(total).select(
-        col, "rows", round_half_up(F.col("rows") / F.col("_total"), 6).alias("share")
+        col, "rows", round_half_up("(rows / _total)", 6).alias("share")
     )
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     """Count, mean, deviation, minimum, exact quartiles and maximum of each column, one row each."""
     quartiles = exact_quantiles(df, cols, QUARTILES)
-    one = df.agg(
-        *[
-            f(c).alias(f"{k}_{c}")
-            for c in cols
-            for k, f in {
-                "n": F.count,
-                "mean": F.avg,
-                "std": F.stddev_samp,
-                "min": F.min,
-                "max": F.max,
-            }.items()
-        ]
+    measures = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    one = df.selectExpr(
+        *[f"count({c}) as count_{c}" for c in cols],
+        *[f"{f}({c}) as {name}_{c}" for c in cols for name, f in measures.items()],
     )
 
-    def rounded(value):
-        return round_half_up(value, digits)
+    def entry(c: str) -> str:
+        values = {
+            "mean": f"mean_{c}",
+            "std": f"std_{c}",
+            "min": f"min_{c}",
+            **{n: f"cast({literal(q)} as double)" for n, q in zip(("q25", "q50", "q75"), quartiles[c])},
+            "max": f"max_{c}",
+        }
+        rounded = [f"'{n}', {round_half_up.sql(v, digits)}" for n, v in values.items()]
+        return f"named_struct('column_name', '{c}', 'count', count_{c}, {', '.join(rounded)})"
 
-    def quartile(value):
-        return rounded(F.lit(value).cast("double"))
-
-    entries = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"n_{c}").alias("count"),
-            rounded(F.col(f"mean_{c}")).alias("mean"),
-            rounded(F.col(f"std_{c}")).alias("std"),
-            rounded(F.col(f"min_{c}")).alias("min"),
-            *[quartile(q).alias(name) for q, name in zip(quartiles[c], ("q25", "q50", "q75"))],
-            rounded(F.col(f"max_{c}")).alias("max"),
-        )
-        for c in cols
-    ]
-    return one.select(F.inline(F.array(*entries)))
+    return one.selectExpr(f"inline(array({', '.join(map(entry, cols))}))")
 
 
 def group_means(df: DataFrame, by: Sequence[str], cols: Sequence[str], digits: int = 4) -> DataFrame:
     """Means of many columns; booleans count as 0 and 1."""
     kinds = dict(df.dtypes)
-    value = {c: F.col(c).cast("int") if kinds[c] == "boolean" else F.col(c) for c in cols}
+    value = {c: f"cast({c} as int)" if kinds[c] == "boolean" else c for c in cols}
     return df.groupBy(*by).agg(
-        *[round_half_up(F.avg(v), digits).alias(f"avg_{c}") for c, v in value.items()]
+        *[rounded_mean(v, digits).alias(f"avg_{c}") for c, v in value.items()]
     )
 
 
 def group_maxima(df: DataFrame, by: Sequence[str], cols: Sequence[str], digits: int = 4) -> DataFrame:
-    return df.groupBy(*by).agg(*[round_half_up(F.max(c), digits).alias(f"max_{c}") for c in cols])
+    return df.groupBy(*by).agg(*[round_half_up(f"max({c})", digits).alias(f"max_{c}") for c in cols])

@@ -1,4 +1,4 @@
-"""Portfolio rules as column expressions, and the column chains built from them.
+"""Portfolio rules as columns, and the column chains built from them.
 
 Random parts of a simulated book (noise terms, drawn flags) are not made here: an observed
 flag or value is an input column, and a rule gives its expectation or its check.
@@ -6,17 +6,17 @@ flag or value is an input column, and a rule gives its expectation or its check.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.linear import LinearIndex, Term, weighted
 from ..functions.scalars import (
-    ColumnLike,
-    as_col,
     clip,
+    column,
     days_after,
     first_match,
     floor_at_zero,
+    literal,
     lookup,
     right_closed_bins,
     threshold_band,
@@ -142,59 +142,59 @@ CHANNELS_BY_RISK = {
 # ---------------------------------------------------------------------------
 
 
-def income_band(income: ColumnLike = "annual_income") -> Column:
-    return right_closed_bins(income, 0.0, INCOME_EDGES, "high")
+@column
+def income_band(income: str = "annual_income") -> str:
+    return right_closed_bins.sql(income, 0.0, INCOME_EDGES, "high")
 
 
-def monthly_income(income: ColumnLike = "annual_income") -> Column:
-    return as_col(income) / 12.0
+@column
+def monthly_income(income: str = "annual_income") -> str:
+    return f"{income} / 12.0D"
 
 
-def risk_tier(fico: ColumnLike = "baseline_fico") -> Column:
-    return threshold_band(fico, RISK_TIERS, "deep_subprime")
+@column
+def risk_tier(fico: str = "baseline_fico") -> str:
+    return threshold_band.sql(fico, RISK_TIERS, "deep_subprime")
 
 
+@column
 def interest_rate(
-    product: ColumnLike = "product_type",
-    tier: ColumnLike = "risk_tier_at_origination",
-    noise: ColumnLike | None = None,
-) -> Column:
+    product: str = "product_type", tier: str = "risk_tier_at_origination", noise: str | None = None
+) -> str:
     """Product base rate plus tier spread, limited to the price range."""
-    rate = lookup(product, PRODUCT_BASE_RATE) + lookup(tier, TIER_SPREAD)
-    return clip(rate if noise is None else rate + as_col(noise), *RATE_BOUNDS)
+    price = f"{lookup.sql(product, PRODUCT_BASE_RATE)} + {lookup.sql(tier, TIER_SPREAD)}"
+    return clip.sql(price if noise is None else f"{price} + {noise}", *RATE_BOUNDS)
 
 
-def bounded_credit_limit(
-    limit: ColumnLike = "credit_limit", product: ColumnLike = "product_type"
-) -> Column:
+@column
+def bounded_credit_limit(limit: str = "credit_limit", product: str = "product_type") -> str:
     """A proposed limit forced into its product's range."""
-    p = as_col(product)
-    return first_match(
-        [(p == name, clip(limit, lo, hi)) for name, (lo, hi) in CREDIT_LIMIT_BOUNDS.items()]
+    return first_match.sql(
+        [
+            (f"{product} = {literal(name)}", clip.sql(limit, lo, hi))
+            for name, (lo, hi) in CREDIT_LIMIT_BOUNDS.items()
+        ]
     )
 
 
+@column
 def debt_to_income(
-    dti: ColumnLike, income: ColumnLike = "annual_income", loan: ColumnLike = "student_loan_flag"
-) -> Column:
+    dti: str, income: str = "annual_income", loan: str = "student_loan_flag"
+) -> str:
     """Debt ratio with its low-income and student-loan supplements."""
-    total = (
-        as_col(dti)
-        + F.when(as_col(income) < 40_000.0, 0.10).otherwise(0.0)
-        + F.when(as_col(loan), 0.06).otherwise(0.0)
-    )
-    return clip(total, 0.05, 0.75)
+    total = f"{dti} + if({income} < 40000.0D, 0.10D, 0.0D) + if({loan}, 0.06D, 0.0D)"
+    return clip.sql(total, 0.05, 0.75)
 
 
-def student_loan_propensity(education: ColumnLike = "education_level") -> Column:
-    return F.when(as_col(education).isin("bachelor", "graduate"), 0.42).otherwise(0.18)
+@column
+def student_loan_propensity(education: str = "education_level") -> str:
+    return f"if({education} in ('bachelor', 'graduate'), 0.42D, 0.18D)"
 
 
-def employment_stability(
-    employment: ColumnLike = "employment_type", noise: ColumnLike | None = None
-) -> Column:
-    base = lookup(employment, EMPLOYMENT_STABILITY, 0.50)
-    return clip(base if noise is None else base + as_col(noise), 0.0, 1.0)
+@column
+def employment_stability(employment: str = "employment_type", noise: str | None = None) -> str:
+    base = lookup.sql(employment, EMPLOYMENT_STABILITY, 0.50)
+    return base if noise is None else clip.sql(f"{base} + {noise}", 0.0, 1.0)
 
 
 def financial_profile(customers: DataFrame) -> DataFrame:
@@ -202,21 +202,14 @@ def financial_profile(customers: DataFrame) -> DataFrame:
 
     Mean and standard deviation are one row, so the cross join ships two numbers.
     """
-    moments = customers.agg(
-        F.avg("annual_income").alias("_mean"), F.stddev_pop("annual_income").alias("_std")
-    )
+    moments = customers.selectExpr("avg(annual_income) as _mean", "stddev_pop(annual_income) as _std")
     z = customers.crossJoin(F.broadcast(moments)).withColumn(
         "_z", z_score("annual_income", "_mean", "_std")
     )
-    resilience = (
-        F.lit(0.45)
-        + (F.col("baseline_fico") - 650.0) / 300.0
-        + F.col("_z") * 0.10
-        - F.col("baseline_dti") * 0.35
-    )
+    resilience = "0.45D + (baseline_fico - 650.0D) / 300.0D + _z * 0.10D - baseline_dti * 0.35D"
     return z.select(
         *customers.columns,
-        clip(F.lit(650.0) + F.col("_z") * 35.0, 520.0, 830.0).alias("income_linked_fico"),
+        clip("650.0D + _z * 35.0D", 520.0, 830.0).alias("income_linked_fico"),
         clip(resilience, 0.0, 1.0).alias("financial_resilience"),
     )
 
@@ -226,92 +219,99 @@ def financial_profile(customers: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def recession_flag() -> Column:
-    return (
-        (F.col("unemployment_rate") > 0.058)
-        | (F.col("inflation_rate") > 0.042)
-        | (F.col("consumer_sentiment_index") < 88.0)
-    )
+@column
+def recession_flag() -> str:
+    return "(unemployment_rate > 0.058D or inflation_rate > 0.042D or consumer_sentiment_index < 88.0D)"
 
 
+@column
 def expected_utilization(
-    product: ColumnLike = "product_type", tier: ColumnLike = "risk_tier_at_origination"
-) -> Column:
+    product: str = "product_type", tier: str = "risk_tier_at_origination"
+) -> str:
     """Utilisation level of a product and tier before policy pressure."""
-    return lookup(product, PRODUCT_BASE_UTILIZATION) + lookup(tier, TIER_UTILIZATION)
+    return f"{lookup.sql(product, PRODUCT_BASE_UTILIZATION)} + {lookup.sql(tier, TIER_UTILIZATION)}"
 
 
-def utilization(level: ColumnLike, policy: ColumnLike = "policy_stress_index") -> Column:
+@column
+def utilization(level: str, policy: str = "policy_stress_index") -> str:
     """Utilisation from a level (expected or observed) and the policy pressure on it."""
-    return clip(as_col(level) + as_col(policy) * 0.08, 0.02, 1.20)
+    return clip.sql(f"{level} + {policy} * 0.08D", 0.02, 1.20)
 
 
-def current_balance() -> Column:
-    return F.col("credit_limit") * F.col("utilization_rate")
+@column
+def current_balance() -> str:
+    return "credit_limit * utilization_rate"
 
 
-def available_credit() -> Column:
-    return floor_at_zero(F.col("credit_limit") - current_balance())
+@column
+def available_credit() -> str:
+    return floor_at_zero.sql(f"credit_limit - {current_balance.sql()}")
 
 
-def minimum_payment_due() -> Column:
+@column
+def minimum_payment_due() -> str:
     """Share of the balance by product plus one month of (shocked) interest."""
-    return current_balance() * (
-        lookup("product_type", PRODUCT_PAYMENT_RATE)
-        + (F.col("interest_rate") + F.col("interest_rate_shock_bps") / 10000.0) / 12.0
-    )
+    monthly = "(interest_rate + interest_rate_shock_bps / 10000.0D) / 12.0D"
+    share = lookup.sql("product_type", PRODUCT_PAYMENT_RATE)
+    return f"{current_balance.sql()} * ({share} + {monthly})"
 
 
-def macro_stress() -> Column:
-    return MACRO_STRESS.score()
+@column
+def macro_stress() -> str:
+    return MACRO_STRESS.score_sql()
 
 
-def cashflow_stress() -> Column:
-    return CASHFLOW_STRESS.score()
+@column
+def cashflow_stress() -> str:
+    return CASHFLOW_STRESS.score_sql()
 
 
-def behavioral_risk() -> Column:
-    return BEHAVIORAL_RISK.score()
+@column
+def behavioral_risk() -> str:
+    return BEHAVIORAL_RISK.score_sql()
 
 
-def missed_payment_probability() -> Column:
-    return MISSED_PAYMENT.probability()
+@column
+def missed_payment_probability() -> str:
+    return MISSED_PAYMENT.probability_sql()
 
 
-def default_probability() -> Column:
-    return DEFAULT_RISK.probability()
+@column
+def default_probability() -> str:
+    return DEFAULT_RISK.probability_sql()
 
 
+@column
 def days_past_due(
-    missed: ColumnLike = "missed_payment_flag", risk: ColumnLike = "behavioral_risk_score"
-) -> Column:
-    missed, risk = as_col(missed), as_col(risk)
-    return first_match(
+    missed: str = "missed_payment_flag", risk: str = "behavioral_risk_score"
+) -> str:
+    return first_match.sql(
         [
-            (missed & (risk < 0.45), 30),
-            (missed & (risk < 0.70), 60),
-            (missed & (risk >= 0.70), 90),
+            (f"{missed} and {risk} < 0.45D", "30"),
+            (f"{missed} and {risk} < 0.70D", "60"),
+            (f"{missed} and {risk} >= 0.70D", "90"),
         ],
-        0,
+        "0",
     )
 
 
-def delinquency_status(dpd: ColumnLike = "days_past_due") -> Column:
-    dpd = as_col(dpd)
-    cases = [(dpd == k, F.lit(v)) for k, v in DELINQUENCY_STATUS.items()]
-    return first_match([*cases, (dpd >= 90, F.lit("90_plus_dpd"))], F.lit("current"))
+@column
+def delinquency_status(dpd: str = "days_past_due") -> str:
+    cases = [(f"{dpd} = {k}", literal(v)) for k, v in DELINQUENCY_STATUS.items()]
+    return first_match.sql([*cases, (f"{dpd} >= 90", "'90_plus_dpd'")], "'current'")
 
 
-def chargeoff_flag(default: ColumnLike = "default_flag", dpd: ColumnLike = "days_past_due") -> Column:
-    return as_col(default) & (as_col(dpd) >= 90)
+@column
+def chargeoff_flag(default: str = "default_flag", dpd: str = "days_past_due") -> str:
+    return f"({default} and {dpd} >= 90)"
 
 
 def with_balances(panel: DataFrame) -> DataFrame:
-    return panel.select(
+    return panel.selectExpr(
         "*",
-        current_balance().alias("current_balance"),
-        available_credit().alias("available_credit"),
-        minimum_payment_due().alias("minimum_payment_due"),
+        f"{current_balance.sql()} as current_balance",
+        f"{available_credit.sql()} as available_credit",
+        f"{minimum_payment_due.sql()} as minimum_payment_due",
     )
 
 
@@ -329,57 +329,66 @@ def with_stress_scores(panel: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def missed_payment(
-    paid: ColumnLike = "actual_payment_amount", due: ColumnLike = "minimum_payment_due"
-) -> Column:
-    return as_col(paid) <= as_col(due) * 0.10
+@column
+def missed_payment(paid: str = "actual_payment_amount", due: str = "minimum_payment_due") -> str:
+    return f"({paid} <= {due} * 0.10D)"
 
 
-def partial_payment(
-    paid: ColumnLike = "actual_payment_amount", due: ColumnLike = "minimum_payment_due"
-) -> Column:
+@column
+def partial_payment(paid: str = "actual_payment_amount", due: str = "minimum_payment_due") -> str:
     """Some, but less than 95 % of the amount due; may overlap with a missed payment."""
-    return (as_col(paid) > 0.0) & (as_col(paid) < as_col(due) * 0.95)
+    return f"({paid} > 0.0D and {paid} < {due} * 0.95D)"
 
 
-def late_payment(days_late: ColumnLike = "days_late") -> Column:
-    return as_col(days_late) >= 3
+@column
+def late_payment(days_late: str = "days_late") -> str:
+    return f"({days_late} >= 3)"
 
 
+@column
 def payment_class(
-    dpd: ColumnLike = "days_past_due",
-    missed: ColumnLike = "missed_payment_flag",
-    partial: ColumnLike = "partial_payment_flag",
-) -> Column:
+    dpd: str = "days_past_due",
+    missed: str = "missed_payment_flag",
+    partial: str = "partial_payment_flag",
+) -> str:
     """Class that decides the range of days late: days past due override the payment flags."""
-    dpd = as_col(dpd)
-    return first_match(
+    return first_match.sql(
         [
-            (dpd == 30, F.lit("dpd_30")),
-            (dpd == 60, F.lit("dpd_60")),
-            (dpd >= 90, F.lit("dpd_90_plus")),
-            (as_col(missed), F.lit("missed")),
-            (as_col(partial), F.lit("partial")),
+            (f"{dpd} = 30", "'dpd_30'"),
+            (f"{dpd} = 60", "'dpd_60'"),
+            (f"{dpd} >= 90", "'dpd_90_plus'"),
+            (missed, "'missed'"),
+            (partial, "'partial'"),
         ],
-        F.lit("on_time"),
+        "'on_time'",
     )
 
 
-def days_late_in_range(cls: ColumnLike, days_late: ColumnLike = "days_late") -> Column:
-    cls, late = as_col(cls), as_col(days_late)
-    return first_match(
-        [(cls == k, late.between(lo, hi)) for k, (lo, hi) in DAYS_LATE_BOUNDS.items()]
+@column
+def days_late_in_range(cls: str, days_late: str = "days_late") -> str:
+    return first_match.sql(
+        [
+            (f"{cls} = {literal(k)}", f"{days_late} between {lo} and {hi}")
+            for k, (lo, hi) in DAYS_LATE_BOUNDS.items()
+        ]
     )
 
 
-def payment_date(due: ColumnLike = "due_date", days_late: ColumnLike = "days_late") -> Column:
-    return days_after(due, days_late)
+@column
+def payment_date(due: str = "due_date", days_late: str = "days_late") -> str:
+    return days_after.sql(due, days_late)
 
 
-def channel_risk_class(risk: ColumnLike = "behavioral_risk_score") -> Column:
-    return threshold_band(risk, CHANNEL_RISK, "low_risk")
+@column
+def channel_risk_class(risk: str = "behavioral_risk_score") -> str:
+    return threshold_band.sql(risk, CHANNEL_RISK, "low_risk")
 
 
-def channel_allowed(cls: ColumnLike, channel: ColumnLike = "payment_channel") -> Column:
-    cls, channel = as_col(cls), as_col(channel)
-    return first_match([(cls == k, channel.isin(v)) for k, v in CHANNELS_BY_RISK.items()])
+@column
+def channel_allowed(cls: str, channel: str = "payment_channel") -> str:
+    return first_match.sql(
+        [
+            (f"{cls} = {literal(k)}", f"{channel} in ({', '.join(map(literal, v))})")
+            for k, v in CHANNELS_BY_RISK.items()
+        ]
+    )

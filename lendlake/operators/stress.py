@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import astuple, dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_even, round_half_up
+from ..functions.scalars import literal, round_half_even, round_half_up, rounded_mean
 from . import rules
 
 
@@ -66,12 +66,12 @@ def scenario_months(
     ``months`` has ``month`` and ``month_index``. User-made definitions make this a scenario
     builder. Both inputs are dimensions, so the product is one too.
     """
-    strength = F.when(F.col("month_index") < activation_month, early).otherwise(1.0)
+    strength = f"if(month_index < {activation_month}, {literal(early)}, 1.0D)"
     shocks = []
     for name, digits in SHOCK_DIGITS.items():
-        value = F.col(name) * strength
-        shocks.append((round_half_even(value, digits) if rounded else value).alias(name))
-    return definitions.crossJoin(months).select(
+        value = f"{name} * {strength}"
+        shocks.append(f"{round_half_even.sql(value, digits) if rounded else value} as {name}")
+    return definitions.crossJoin(months).selectExpr(
         "scenario_id",
         "scenario_name",
         "month",
@@ -117,21 +117,22 @@ def project_stress(panel: DataFrame) -> DataFrame:
     that a missed payment brings, and with none.
     """
     leveled = panel.withColumn(
-        "utilization_rate", rules.utilization(rules.expected_utilization())
+        "utilization_rate", rules.utilization(rules.expected_utilization.sql())
     )
     scored = rules.with_stress_scores(rules.with_balances(leveled)).withColumn(
         "missed_payment_probability", rules.missed_payment_probability()
     )
     outcomes = (
-        scored.withColumn("days_past_due", rules.days_past_due(F.lit(True)))
+        scored.withColumn("days_past_due", rules.days_past_due("true"))
         .withColumn("_pd_missed", rules.default_probability())
         .withColumn("days_past_due", F.lit(0))
         .withColumn("_pd_paid", rules.default_probability())
     )
-    missed = F.col("missed_payment_probability")
     return outcomes.withColumn(
         "default_probability",
-        missed * F.col("_pd_missed") + (F.lit(1.0) - missed) * F.col("_pd_paid"),
+        F.expr(
+            "missed_payment_probability * _pd_missed + (1.0D - missed_payment_probability) * _pd_paid"
+        ),
     ).drop("days_past_due", "_pd_missed", "_pd_paid")
 
 
@@ -147,7 +148,7 @@ def stress_summary(projected: DataFrame, by: Sequence[str] = ("scenario_id",)) -
     }
     return projected.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
-        *[round_half_up(F.avg(c), 4).alias(name) for c, name in means.items()],
+        *[rounded_mean(c).alias(name) for c, name in means.items()],
     )
 
 
@@ -159,11 +160,13 @@ def scenario_delta(
     ``frame`` holds one row per group and scenario; the baseline value is taken inside the
     group, so no self-join is needed.
     """
-    group = Window.partitionBy(*by)
-    base = F.max(F.when(F.col("scenario_id") == baseline, F.col(value))).over(group)
+    base = (
+        f"max(if(scenario_id = {literal(baseline)}, {value}, null)) "
+        f"over (partition by {', '.join(by)})"
+    )
     return frame.select(
         *by,
         "scenario_id",
         value,
-        round_half_up(F.col(value) - base, digits).alias(f"{value}_change"),
+        round_half_up(f"({value} - {base})", digits).alias(f"{value}_change"),
     )

@@ -118,7 +118,7 @@ _ASSEMBLED = ["utilization_rate", "days_past_due", "cashflow_stress_score"]
     case when product_type = 'auto_loan' then 1e0 else 0e0 end as fourth_value from modeling_dataset""",
 )
 def assembled(p: Portfolio) -> DataFrame:
-    rows = p.modeling_dataset.select(*ROW_KEY, *_ASSEMBLED, "product_type")
+    rows = tables.staged(p.modeling_dataset.select(*ROW_KEY, *_ASSEMBLED, "product_type"), "features")
     encoder = ft.one_hot_encoder(["product_type"]).fit(rows)
     vectors = ft.assembler(_ASSEMBLED, ["product_type"]).transform(encoder.transform(rows))
     v = vector_to_array("features")
@@ -133,9 +133,8 @@ def assembled(p: Portfolio) -> DataFrame:
 def logistic_fit(p: Portfolio) -> DataFrame:
     """Fitted weights of the full feature set on the training rows (iterative, so no SQL check)."""
     train = ft.hash_split(p.modeling_dataset, ROW_KEY, TRAIN_SHARES).where(F.col("part") == "train")
-    stored = tables.materialize(
-        train.select(*ft.NUMERIC_FEATURES, *ft.CATEGORICAL_FEATURES, ft.TARGET), fresh_path(p.spark, "train")
-    )
+    columns = [*ft.NUMERIC_FEATURES, *ft.CATEGORICAL_FEATURES, ft.TARGET]
+    stored = tables.staged(train.select(*columns), "train")
     return model.fit_default_model(stored).to_frame(p.spark)
 
 
@@ -200,7 +199,8 @@ def _auc_columns(sql: str) -> str:
 
 @query("m11_auc", _auc_columns(_auc_sql("scored", "predicted_pd", "default_flag", "scenario_id")))
 def auc(p: Portfolio) -> DataFrame:
-    out = ordering.rank_auc(p.scored, "predicted_pd", "default_flag", ["scenario_id"])
+    scores = tables.staged(p.scored.select("scenario_id", "predicted_pd", "default_flag"), "scores")
+    out = ordering.rank_auc(scores, "predicted_pd", "default_flag", ["scenario_id"])
     return out.withColumn("auc", round_half_up("auc", 6))
 
 
@@ -224,7 +224,7 @@ _LABELLED = "(select cast(default_flag as int) as y, cast(predicted_pd > 0.2e0 a
     left join {_LABELLED} s on s.y = a and s.p = q group by a, q""",
 )
 def confusion_matrix(p: Portfolio) -> DataFrame:
-    return evaluate.confusion_matrix(p.scored, "default_flag", evaluate.predicted_label("predicted_pd", 0.2))
+    return evaluate.confusion_matrix(p.scored, "default_flag", evaluate.predicted_label.sql("predicted_pd", 0.2))
 
 
 @query(
@@ -244,7 +244,7 @@ def confusion_matrix(p: Portfolio) -> DataFrame:
 )
 def classification_report(p: Portfolio) -> DataFrame:
     return evaluate.classification_report(
-        p.scored, "default_flag", evaluate.predicted_label("predicted_pd", 0.2)
+        p.scored, "default_flag", evaluate.predicted_label.sql("predicted_pd", 0.2)
     )
 
 
@@ -259,7 +259,8 @@ _TENTHS = "[0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0]"
     from scored cross join b group by 1""",
 )
 def decile_table(p: Portfolio) -> DataFrame:
-    return evaluate.decile_table(p.scored, "predicted_pd", "default_flag")
+    scores = tables.staged(p.scored.select("predicted_pd", "default_flag"), "scores")
+    return evaluate.decile_table(scores, "predicted_pd", "default_flag")
 
 
 @query(
@@ -269,7 +270,7 @@ def decile_table(p: Portfolio) -> DataFrame:
 )
 def brier(p: Portfolio) -> DataFrame:
     return p.scored.groupBy("scenario_id").agg(
-        round_half_up(evaluate.brier_score("predicted_pd", "default_flag"), 6).alias("brier")
+        round_half_up(evaluate.brier_score.sql("predicted_pd", "default_flag"), 6).alias("brier")
     )
 
 
@@ -303,7 +304,7 @@ def isotonic_fit(p: Portfolio) -> DataFrame:
     f"select account_id, month, scenario_id, {r(interpolated('predicted_pd'), 9)} as calibrated_pd from scored",
 )
 def apply_calibration(p: Portfolio) -> DataFrame:
-    value = round_half_up(CURVE.value("predicted_pd"), 9)
+    value = round_half_up(CURVE.value_sql("predicted_pd"), 9)
     return p.scored.select(*SNAPSHOT_KEY, value.alias("calibrated_pd"))
 
 
@@ -314,7 +315,7 @@ def apply_calibration(p: Portfolio) -> DataFrame:
 )
 def calibrated_band(p: Portfolio) -> DataFrame:
     return p.scored.select(
-        *SNAPSHOT_KEY, model.calibrated_band(CURVE.value("predicted_pd")).alias("calibrated_risk_band")
+        *SNAPSHOT_KEY, model.calibrated_band(CURVE.value_sql("predicted_pd")).alias("calibrated_risk_band")
     )
 
 
@@ -358,7 +359,7 @@ def raw_vs_calibrated(p: Portfolio) -> DataFrame:
     both = p.scored.select(
         "default_flag", "predicted_pd", CURVE.value("predicted_pd").alias("calibrated_pd")
     )
-    return evaluate.compare_scores(both, ["predicted_pd", "calibrated_pd"], "default_flag")
+    return evaluate.compare_scores(tables.staged(both, "scores"), ["predicted_pd", "calibrated_pd"], "default_flag")
 
 
 # --- explanation ------------------------------------------------------------
@@ -440,10 +441,8 @@ def _psi_check(source: str, features: list[str], out: str) -> str:
 )
 def psi(p: Portfolio) -> DataFrame:
     features = ["utilization_rate", "cashflow_stress_score", "predicted_pd"]
-    rows = tables.materialize(
-        drift.with_period(p.baseline_scored.select("month", *features)), fresh_path(p.spark, "psi")
-    )
-    return drift.psi(rows, features)
+    rows = tables.staged(p.baseline_scored.select("month", *features), "psi")
+    return drift.psi(drift.with_period(rows), features)
 
 
 _LEVEL = """case when psi_score is null then 'not_available' when psi_score >= 0.25e0 then 'significant_drift'
@@ -489,9 +488,8 @@ _DRIFT_ROWS = f"""select feature_name, 'early_baseline_months' as reference_peri
 
 def drift_rows(p: Portfolio) -> DataFrame:
     """Drift of the data set's features; its columns are stored once for the passes over them."""
-    rows = drift.with_period(p.modeling_dataset.select("month", *drift.DRIFT_FEATURES))
-    stored = tables.materialize(rows, fresh_path(p.spark, "drift"))
-    return drift.drift_table(drift.psi(stored, drift.DRIFT_FEATURES))
+    rows = tables.staged(p.modeling_dataset.select("month", *drift.DRIFT_FEATURES), "drift")
+    return drift.drift_table(drift.psi(drift.with_period(rows), drift.DRIFT_FEATURES))
 
 
 @query("m26_feature_drift", _psi_check(_DATASET_SOURCE, drift.DRIFT_FEATURES, _DRIFT_ROWS))

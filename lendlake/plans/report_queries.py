@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import FEATURE_LABELS
 from ..operators import profile, quality, stress
 from ..operators.drift import DRIFT_FEATURES
+from ..sources import tables
 from ..sources.portfolio import ROW_KEY, Portfolio
 from . import reports
 from .model_queries import _DATASET_SOURCE, _LEVEL, _psi_check, drift_rows
@@ -57,8 +58,8 @@ _COUNTED = ["customers", "accounts", "macro_monthly", "policy_scenarios", "accou
     ),
 )
 def table_counts(p: Portfolio) -> DataFrame:
-    tables = {t: getattr(p, t) for t in _COUNTED if t != "model_scoring_audit"}
-    return reports.table_counts({**tables, "model_scoring_audit": p.plain_audit})
+    counted = {t: getattr(p, t) for t in _COUNTED if t != "model_scoring_audit"}
+    return reports.table_counts({**counted, "model_scoring_audit": p.plain_audit})
 
 
 _SCENARIO_RISK = f"select scenario_id, {_SCENARIO_METRICS} from account_monthly_snapshots group by scenario_id"
@@ -371,7 +372,8 @@ _MACRO_PROFILE = ["unemployment_rate", "inflation_rate", "interest_rate_index",
 
 @query("q27_bureau_profile", profile_sql("bureau_monthly", _BUREAU_PROFILE))
 def bureau_profile(p: Portfolio) -> DataFrame:
-    return profile.numeric_profile(p.bureau_monthly.select(*_BUREAU_PROFILE), _BUREAU_PROFILE)
+    rows = tables.staged(p.bureau_monthly.select(*_BUREAU_PROFILE), "bureau")
+    return profile.numeric_profile(rows, _BUREAU_PROFILE)
 
 
 @query("q27_macro_profile", profile_sql("macro_monthly", _MACRO_PROFILE))

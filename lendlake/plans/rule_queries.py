@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_up
+from ..functions.scalars import round_half_up, rounded_mean
 from ..operators import bureau, rules, stress
 from ..operators.dataset import COLUMNS as DATASET_COLUMNS
 from ..sources.portfolio import ACTIVATION_MONTH, ROW_KEY, Portfolio
@@ -162,7 +162,7 @@ def panel_expansion(p: Portfolio) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_distinct("account_id").alias("accounts"),
-            round_half_up(F.avg("unemployment_rate"), 6).alias("avg_unemployment"),
+            rounded_mean("unemployment_rate", 6).alias("avg_unemployment"),
             F.max("policy_stress_index").alias("policy_stress_index"),
         )
     )
@@ -182,7 +182,7 @@ _UTILIZATION = clip(
     from panel p join (select account_id, risk_tier_at_origination from accounts) a on p.account_id = a.account_id""",
 )
 def expected_utilization(p: Portfolio) -> DataFrame:
-    level = rules.utilization(rules.expected_utilization())
+    level = rules.utilization(rules.expected_utilization.sql())
     return p.panel.select(*SNAPSHOT_KEY, level.alias("utilization_rate"))
 
 
@@ -225,7 +225,7 @@ _MISSED_ODDS = """-3.1e0 + cashflow_stress_score * 4e0 + utilization_rate * 1.4e
     f"select {_KEY}, {r(sigmoid(_MISSED_ODDS), 6)} as missed_probability from account_monthly_snapshots",
 )
 def missed_probability(p: Portfolio) -> DataFrame:
-    pm = round_half_up(rules.missed_payment_probability(), 6)
+    pm = round_half_up(rules.missed_payment_probability.sql(), 6)
     return p.account_monthly_snapshots.select(*SNAPSHOT_KEY, pm.alias("missed_probability"))
 
 
@@ -247,7 +247,7 @@ def delinquency_status(p: Portfolio) -> DataFrame:
 
 @query("d21_default_probability", f"select {_KEY}, predicted_pd from scored")
 def default_probability(p: Portfolio) -> DataFrame:
-    pd = F.floor(rules.default_probability() * 1e6 + 0.5) / F.lit(1e6)
+    pd = F.expr(f"floor({rules.default_probability.sql()} * 1e6D + 0.5D) / 1e6D")
     return p.account_monthly_snapshots.select(*SNAPSHOT_KEY, pd.alias("predicted_pd"))
 
 

@@ -640,7 +640,7 @@ def exact_quantiles(p: Portfolio) -> DataFrame:
 def population_z_score(p: Portfolio) -> DataFrame:
     moments = p.customers.agg(F.avg("annual_income").alias("m"), F.stddev_pop("annual_income").alias("s"))
     z = p.customers.crossJoin(F.broadcast(moments))
-    return z.select("customer_id", fx.round_half_up(fx.z_score("annual_income", "m", "s"), 6).alias("income_z"))
+    return z.select("customer_id", fx.round_half_up(fx.z_score.sql("annual_income", "m", "s"), 6).alias("income_z"))
 
 
 @query(
@@ -680,9 +680,8 @@ _DECILES = "list_sort(list_distinct(quantile_cont({0}, [0.0,0.1,0.2,0.3,0.4,0.5,
     from scored cross join b""",
 )
 def quantile_bucket(p: Portfolio) -> DataFrame:
-    return ordering.quantile_buckets(p.scored, "predicted_pd", 10, "risk_decile").select(
-        *ROW_KEY, "scenario_id", "risk_decile"
-    )
+    scores = tables.staged(p.scored.select(*ROW_KEY, "scenario_id", "predicted_pd"), "scores")
+    return ordering.quantile_buckets(scores, "predicted_pd", 10, "risk_decile").drop("predicted_pd")
 
 
 @query(
@@ -898,7 +897,7 @@ def floor_at_zero(p: Portfolio) -> DataFrame:
 @query("f06_sigmoid", f"select c_custkey, {r(sigmoid('c_acctbal / 100e0'), 6)} as p from customer")
 def sigmoid_values(p: Portfolio) -> DataFrame:
     return p.table("customer", "c_custkey", "c_acctbal").select(
-        "c_custkey", fx.round_half_up(fx.sigmoid(F.col("c_acctbal") / 100.0), 6).alias("p")
+        "c_custkey", fx.round_half_up(fx.sigmoid.sql("c_acctbal / 100.0D"), 6).alias("p")
     )
 
 
@@ -907,9 +906,10 @@ def sigmoid_values(p: Portfolio) -> DataFrame:
     f"select c_custkey, {r('ln(abs(c_acctbal) + 1e0)', 6)} as log_size, abs(c_acctbal) as size from customer",
 )
 def log_and_abs(p: Portfolio) -> DataFrame:
-    size = F.abs("c_acctbal")
     return p.table("customer", "c_custkey", "c_acctbal").select(
-        "c_custkey", fx.round_half_up(F.ln(size + 1.0), 6).alias("log_size"), size.alias("size")
+        "c_custkey",
+        fx.round_half_up("ln(abs(c_acctbal) + 1.0D)", 6).alias("log_size"),
+        F.abs("c_acctbal").alias("size"),
     )
 
 
@@ -932,12 +932,9 @@ def lookup(p: Portfolio) -> DataFrame:
     else 'other' end as kind from orders""",
 )
 def first_match(p: Portfolio) -> DataFrame:
-    cases = [
-        (F.col("o_totalprice") > 200000.0, F.lit("large")),
-        (F.col("o_orderstatus") == "F", F.lit("closed")),
-    ]
+    cases = [("o_totalprice > 200000.0D", "'large'"), ("o_orderstatus = 'F'", "'closed'")]
     return p.table("orders", "o_orderkey", "o_totalprice", "o_orderstatus").select(
-        "o_orderkey", fx.first_match(cases, F.lit("other")).alias("kind")
+        "o_orderkey", fx.first_match(cases, "'other'").alias("kind")
     )
 
 
@@ -978,11 +975,10 @@ def date_arithmetic(p: Portfolio) -> DataFrame:
     cast(date_trunc('month', o_orderdate) + interval 23 month as date) as last_of_span from orders""",
 )
 def months(p: Portfolio) -> DataFrame:
-    month = fx.month_start("o_orderdate")
     return p.table("orders", "o_orderkey", "o_orderdate").select(
         "o_orderkey",
-        month.alias("month"),
-        fx.months_before(month, 7).alias("earlier"),
+        fx.month_start("o_orderdate").alias("month"),
+        fx.months_before(fx.month_start.sql("o_orderdate"), 7).alias("earlier"),
         F.month("o_orderdate").alias("month_number"),
         F.element_at(fx.month_span("o_orderdate", 24), -1).alias("last_of_span"),
     )
@@ -1025,7 +1021,7 @@ def _label_sql() -> str:
 
 @query("f16_feature_label", _label_sql())
 def feature_label(p: Portfolio) -> DataFrame:
-    name = fx.lookup(F.col("event_id") % 6, dict(enumerate(_NAMES)))
+    name = fx.lookup("event_id % 6", dict(enumerate(_NAMES)))
     made = F.concat(
         F.lit("cat__"), "event_type", F.lit("_"), F.col("user_id").cast("string"), F.lit("m")
     )
@@ -1044,7 +1040,7 @@ def number_text(p: Portfolio) -> DataFrame:
     return p.accounts.select(
         "account_id",
         fx.percent_text("interest_rate").alias("rate_text"),
-        fx.thousands_text(F.floor("credit_limit")).alias("limit_text"),
+        fx.thousands_text("floor(credit_limit)").alias("limit_text"),
     )
 
 
@@ -1053,7 +1049,7 @@ def number_text(p: Portfolio) -> DataFrame:
     "select account_id, term_months is null as no_term, (case when credit_limit > 1e5 then null else credit_limit end) is null as large from accounts",
 )
 def missing_test(p: Portfolio) -> DataFrame:
-    capped = F.when(F.col("credit_limit") > 1e5, F.lit(float("nan"))).otherwise(F.col("credit_limit"))
+    capped = "if(credit_limit > 100000.0D, double('NaN'), credit_limit)"
     return p.accounts.select(
         "account_id", F.col("term_months").isNull().alias("no_term"), fx.is_missing(capped).alias("large")
     )
@@ -1069,5 +1065,5 @@ def scaled_z_score(p: Portfolio) -> DataFrame:
     moments = c.agg(F.avg("c_acctbal").alias("m"), F.stddev_pop("c_acctbal").alias("s"))
     scored = c.crossJoin(F.broadcast(moments))
     return scored.select(
-        "c_custkey", fx.round_half_up(fx.z_score("c_acctbal", "m", "s", 35.0), 4).alias("score")
+        "c_custkey", fx.round_half_up(fx.z_score.sql("c_acctbal", "m", "s", 35.0), 4).alias("score")
     )

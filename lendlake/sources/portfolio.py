@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clip, days_after, lookup, month_start
+from ..functions.scalars import clip, days_after, first_match, literal, lookup, month_start
 from ..operators import bureau as bureau_rules
 from ..operators import rules
 from ..operators.dataset import modeling_dataset
@@ -31,6 +31,19 @@ from ..operators.stress import (
 from .dimensions import bounded_dimension
 from .tables import load
 
+# Columns of the input tables; with them Spark need not open files to find the schema.
+INPUTS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": """o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string,
+        l_linestatus string, l_shipdate timestamp_ntz""",
+    "labels": "doc_id long, quality int, toxic int",
+}
+
 # Fixed values of the mapping.
 EMPLOYMENT = {
     "AUTOMOBILE": "salaried",
@@ -57,7 +70,7 @@ class Portfolio:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str, *cols: str) -> DataFrame:
-        return load(self.spark, f"{self.folder}/{name}.parquet", cols or None)
+        return load(self.spark, f"{self.folder}/{name}.parquet", cols or None, INPUTS.get(name))
 
     # --- base tables --------------------------------------------------------
 
@@ -67,59 +80,51 @@ class Portfolio:
         nation = self.table("nation", "n_nationkey", "n_name", "n_regionkey")
         region = self.table("region", "r_regionkey", "r_name")
         places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        key = F.col("c_custkey")
-        base = c.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            key.alias("customer_id"),
-            F.col("n_name").alias("state"),
-            F.col("r_name").alias("region"),
-            F.lpad((F.col("c_nationkey") * 4 + key % ZONES).cast("string"), 3, "0").alias("zip3"),
-            (F.lit(2005) - key % 50).cast("int").alias("birth_year"),
-            (F.lit(21) + key % 50).cast("int").alias("age"),
-            lookup("c_mktsegment", EMPLOYMENT, F.lit("unemployed")).alias("employment_type"),
-            lookup(key % 4, EDUCATION).alias("education_level"),
-            (key % 5 == 0).alias("student_loan_flag"),
-            (F.lit(18000.0) + (F.col("c_acctbal") + 1000.0) * 20.0).alias("annual_income"),
-            (F.lit(520) + (key * 7919) % 311).cast("int").alias("baseline_fico"),
-            (F.lit(0.05) + ((key * 37) % 71).cast("double") / 100.0).alias("baseline_dti"),
+        base = c.join(places, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+            "c_custkey as customer_id",
+            "n_name as state",
+            "r_name as region",
+            f"lpad(cast(c_nationkey * 4 + c_custkey % {ZONES} as string), 3, '0') as zip3",
+            "cast(2005 - c_custkey % 50 as int) as birth_year",
+            "cast(21 + c_custkey % 50 as int) as age",
+            f"{lookup.sql('c_mktsegment', EMPLOYMENT, 'unemployed')} as employment_type",
+            f"{lookup.sql('c_custkey % 4', EDUCATION)} as education_level",
+            "c_custkey % 5 = 0 as student_loan_flag",
+            "18000.0D + (c_acctbal + 1000.0D) * 20.0D as annual_income",
+            "cast(520 + (c_custkey * 7919) % 311 as int) as baseline_fico",
+            "0.05D + cast((c_custkey * 37) % 71 as double) / 100.0D as baseline_dti",
         )
-        resilience = (
-            F.lit(0.45)
-            + (F.col("baseline_fico").cast("double") - 650.0) / 300.0
-            - F.col("baseline_dti") * 0.35
-        )
-        return base.select(
+        resilience = "0.45D + (cast(baseline_fico as double) - 650.0D) / 300.0D - baseline_dti * 0.35D"
+        return base.selectExpr(
             "*",
-            rules.monthly_income().alias("monthly_income"),
-            rules.income_band().alias("income_band"),
-            clip(resilience, 0.0, 1.0).alias("baseline_financial_resilience"),
-            rules.employment_stability().alias("employment_stability_score"),
+            f"{rules.monthly_income.sql()} as monthly_income",
+            f"{rules.income_band.sql()} as income_band",
+            f"{clip.sql(resilience, 0.0, 1.0)} as baseline_financial_resilience",
+            f"{rules.employment_stability.sql()} as employment_stability_score",
         )
 
     @cached_property
     def borrowers(self) -> DataFrame:
         """Accounts with their customer's columns; built at account size."""
-        orders = self.table(
+        base = self.table(
             "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
+        ).selectExpr(
+            "o_orderkey as account_id",
+            "o_custkey as customer_id",
+            f"{lookup.sql('o_orderpriority', PRODUCTS, 'credit_card')} as product_type",
+            "cast(o_orderdate as date) as open_date",
+            "o_totalprice as credit_limit",
         )
-        base = orders.select(
-            F.col("o_orderkey").alias("account_id"),
-            F.col("o_custkey").alias("customer_id"),
-            lookup("o_orderpriority", PRODUCTS, F.lit("credit_card")).alias("product_type"),
-            F.col("o_orderdate").cast("date").alias("open_date"),
-            F.col("o_totalprice").alias("credit_limit"),
-        )
-        return (
-            base.join(self.customers, "customer_id")
-            .withColumn("risk_tier_at_origination", rules.risk_tier())
-            .withColumn("interest_rate", rules.interest_rate())
-            .withColumn(
-                "term_months", F.when(F.col("product_type") != "credit_card", F.lit(36))
-            )
+        tiered = base.join(self.customers, "customer_id").selectExpr(
+            "*",
+            f"{rules.risk_tier.sql()} as risk_tier_at_origination",
+            "if(product_type <> 'credit_card', 36, null) as term_months",
         )
+        return tiered.withColumn("interest_rate", rules.interest_rate())
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return self.borrowers.select(
+        return self.borrowers.selectExpr(
             "account_id",
             "customer_id",
             "product_type",
@@ -127,9 +132,9 @@ class Portfolio:
             "credit_limit",
             "interest_rate",
             "term_months",
-            F.col("baseline_fico").alias("origination_fico"),
-            F.col("annual_income").alias("origination_income"),
-            F.col("baseline_dti").alias("origination_dti"),
+            "baseline_fico as origination_fico",
+            "annual_income as origination_income",
+            "baseline_dti as origination_dti",
             "risk_tier_at_origination",
         )
 
@@ -138,47 +143,46 @@ class Portfolio:
         """What was seen of an account in a month; grouped map-side before the shuffle."""
         lines = self.table(
             "lineitem", "l_orderkey", "l_shipdate", "l_quantity", "l_returnflag", "l_discount"
+        ).selectExpr(
+            "l_orderkey as account_id",
+            f"{month_start.sql('l_shipdate')} as month",
+            "l_quantity",
+            "if(l_returnflag = 'R', l_quantity, 0.0D) as returned",
+            "cast(round(l_discount * 100.0D) as int) as disc",
         )
-        returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0)
-        return lines.groupBy(
-            F.col("l_orderkey").alias("account_id"), month_start("l_shipdate").alias("month")
-        ).agg(
+        return lines.groupBy("account_id", "month").agg(
             F.min("l_quantity").alias("min_qty"),
             F.max("l_quantity").alias("max_qty"),
-            F.max(returned).alias("returned_qty"),
-            F.max(F.round(F.col("l_discount") * 100.0).cast("int")).alias("max_disc"),
+            F.max("returned").alias("returned_qty"),
+            F.max("disc").alias("max_disc"),
         )
 
     @cached_property
     def months(self) -> DataFrame:
-        months = (
-            self.table("lineitem", "l_shipdate").select(month_start("l_shipdate").alias("month")).distinct()
-        )
-        index = (F.year("month") - FIRST_YEAR) * 12 + F.month("month") - 1
-        return bounded_dimension(months, ("months", self.folder)).select(
-            "month", index.alias("month_index")
+        """Distinct observed months with their index; one column is read to find them."""
+        months = self.table("lineitem", "l_shipdate").select(
+            month_start("l_shipdate").alias("month")
         )
+        index = f"(year(month) - {FIRST_YEAR}) * 12 + month(month) - 1 as month_index"
+        found = bounded_dimension(months.distinct(), ("months", self.folder))
+        return found.selectExpr("month", index)
 
     @cached_property
     def macro_monthly(self) -> DataFrame:
-        nation = self.table("nation", "n_nationkey", "n_name")
-        key = F.col("n_nationkey")
-        late = F.col("month_index") >= ACTIVATION_MONTH
-
-        def when_late(value: float) -> Column:
-            return F.when(late, value).otherwise(0.0)
-
-        zones = F.explode(F.sequence(F.lit(0), F.lit(ZONES - 1))).alias("zone")
-        base = self.months.crossJoin(nation.select("*", zones)).select(
+        late = f"month_index >= {ACTIVATION_MONTH}"
+        zones = self.table("nation", "n_nationkey", "n_name").selectExpr(
+            "n_nationkey", "n_name", f"explode(sequence(0, {ZONES - 1})) as zone"
+        )
+        base = self.months.crossJoin(zones).selectExpr(
             "month",
-            F.col("n_name").alias("state"),
-            F.lpad((key * 4 + F.col("zone")).cast("string"), 3, "0").alias("zip3"),
-            (F.lit(0.036) + (key % 5) * 0.002 + when_late(0.012)).alias("unemployment_rate"),
-            (F.lit(0.028) + (key % 3) * 0.002 + when_late(0.007)).alias("inflation_rate"),
-            (F.lit(1.0) + F.col("zone") * 0.05 + when_late(0.1)).alias("interest_rate_index"),
-            (F.lit(0.94) + (key % 7) * 0.05).alias("rent_index"),
-            (F.lit(0.032) - when_late(0.008)).alias("wage_growth_rate"),
-            (F.lit(93.0) + key % 9 - when_late(8.0)).alias("consumer_sentiment_index"),
+            "n_name as state",
+            "lpad(cast(n_nationkey * 4 + zone as string), 3, '0') as zip3",
+            f"0.036D + (n_nationkey % 5) * 0.002D + if({late}, 0.012D, 0.0D) as unemployment_rate",
+            f"0.028D + (n_nationkey % 3) * 0.002D + if({late}, 0.007D, 0.0D) as inflation_rate",
+            f"1.0D + zone * 0.05D + if({late}, 0.1D, 0.0D) as interest_rate_index",
+            "0.94D + (n_nationkey % 7) * 0.05D as rent_index",
+            f"0.032D - if({late}, 0.008D, 0.0D) as wage_growth_rate",
+            f"93.0D + n_nationkey % 9 - if({late}, 8.0D, 0.0D) as consumer_sentiment_index",
         )
         return base.withColumn("recession_flag", rules.recession_flag())
 
@@ -205,32 +209,23 @@ class Portfolio:
         The observed side shuffles for its grouping and for the account join; region-month
         and scenario dimensions are broadcast, and the scenario fan-out comes last.
         """
-        drop = ["open_date", "region", "birth_year", "age", "student_loan_flag", "term_months"]
-        joined = self.observed.join(self.borrowers.drop(*drop), "account_id")
+        unused = ["open_date", "region", "birth_year", "age", "student_loan_flag", "term_months"]
+        joined = self.observed.join(self.borrowers.drop(*unused), "account_id")
         panel = fan_out_scenarios(join_macro(joined, self.macro_monthly), self.panel_scenarios)
-        level = F.col("max_qty") / 50.0
-        dpd = (
-            F.when(F.col("max_disc") >= 10, 90)
-            .when(F.col("max_disc") == 9, 60)
-            .when(F.col("max_disc") == 8, 30)
-            .otherwise(0)
-        )
-        return panel.select(
-            "*", rules.utilization(level).alias("utilization_rate"), dpd.alias("days_past_due")
+        return panel.selectExpr(
+            "*",
+            f"{rules.utilization.sql('max_qty / 50.0D')} as utilization_rate",
+            """case when max_disc >= 10 then 90 when max_disc = 9 then 60 when max_disc = 8 then 30
+               else 0 end as days_past_due""",
         )
 
     @cached_property
     def account_monthly_snapshots(self) -> DataFrame:
         scored = rules.with_stress_scores(rules.with_balances(self.panel))
-        ratio = F.when(F.col("days_past_due") > 0, (F.col("min_qty") - 1.0) / 100.0).otherwise(
-            F.lit(0.85) + F.col("min_qty") / 100.0
-        )
-        defaulted = F.col("returned_qty") >= F.lit(46.0) - F.col("policy_stress_index") * 10.0
-        out = scored.withColumn("default_flag", defaulted)
-        return out.select(
-            F.concat_ws(
-                "|", F.col("account_id").cast("string"), F.col("month").cast("string"), "scenario_id"
-            ).alias("account_month_id"),
+        ratio = "if(days_past_due > 0, (min_qty - 1.0D) / 100.0D, 0.85D + min_qty / 100.0D)"
+        defaulted = "returned_qty >= 46.0D - policy_stress_index * 10.0D"
+        return scored.selectExpr(
+            "concat_ws('|', cast(account_id as string), cast(month as string), scenario_id) as account_month_id",
             "account_id",
             "customer_id",
             "scenario_id",
@@ -240,10 +235,10 @@ class Portfolio:
             "current_balance",
             "available_credit",
             "minimum_payment_due",
-            (F.col("minimum_payment_due") * ratio).alias("actual_payment_amount"),
-            rules.delinquency_status().alias("delinquency_status"),
-            "default_flag",
-            rules.chargeoff_flag().alias("chargeoff_flag"),
+            f"minimum_payment_due * {ratio} as actual_payment_amount",
+            f"{rules.delinquency_status.sql()} as delinquency_status",
+            f"{defaulted} as default_flag",
+            f"{rules.chargeoff_flag.sql(defaulted)} as chargeoff_flag",
             "policy_stress_index",
             "baseline_financial_resilience",
             "macro_stress_score",
@@ -253,22 +248,18 @@ class Portfolio:
 
     @cached_property
     def payment_events(self) -> DataFrame:
-        s = self.account_monthly_snapshots
-        key = F.col("account_id")
-        late = (
-            F.when(F.col("days_past_due") == 30, F.lit(10) + key % 30)
-            .when(F.col("days_past_due") == 60, F.lit(35) + key % 35)
-            .when(F.col("days_past_due") >= 90, F.lit(65) + key % 45)
-            .otherwise(key % 6)
-            .cast("int")
-        )
-        allowed = {k: F.lit(v) for k, v in rules.CHANNELS_BY_RISK.items()}
-        pick = {k: F.element_at(allowed[k], (key % len(v) + 1).cast("int")) for k, v in rules.CHANNELS_BY_RISK.items()}
-        cls = rules.channel_risk_class()
-        channel = F.when(cls == "low_risk", pick["low_risk"]).when(
-            cls == "medium_risk", pick["medium_risk"]
-        ).otherwise(pick["high_risk"])
-        return s.select(
+        late = """case when days_past_due = 30 then 10 + account_id % 30
+            when days_past_due = 60 then 35 + account_id % 35
+            when days_past_due >= 90 then 65 + account_id % 45 else account_id % 6 end"""
+        by_class = [
+            (
+                f"{rules.channel_risk_class.sql()} = {literal(cls)}",
+                lookup.sql(f"account_id % {len(names)}", dict(enumerate(names))),
+            )
+            for cls, names in rules.CHANNELS_BY_RISK.items()
+        ]
+        due = days_after.sql("month", "cast(15 + account_id % 11 as int)")
+        return self.account_monthly_snapshots.selectExpr(
             "account_month_id",
             "account_id",
             "customer_id",
@@ -276,17 +267,17 @@ class Portfolio:
             "month",
             "days_past_due",
             "behavioral_risk_score",
-            F.col("minimum_payment_due").alias("scheduled_payment_amount"),
+            "minimum_payment_due as scheduled_payment_amount",
             "actual_payment_amount",
-            rules.missed_payment().alias("missed_payment_flag"),
-            rules.partial_payment().alias("partial_payment_flag"),
-            late.alias("days_late"),
-            channel.alias("payment_channel"),
-            days_after("month", (F.lit(15) + key % 11).cast("int")).alias("due_date"),
-        ).select(
+            f"{rules.missed_payment.sql()} as missed_payment_flag",
+            f"{rules.partial_payment.sql()} as partial_payment_flag",
+            f"cast({late} as int) as days_late",
+            f"{first_match.sql(by_class)} as payment_channel",
+            f"{due} as due_date",
+        ).selectExpr(
             "*",
-            rules.late_payment().alias("late_payment_flag"),
-            rules.payment_date().alias("payment_date"),
+            f"{rules.late_payment.sql()} as late_payment_flag",
+            f"{rules.payment_date.sql()} as payment_date",
         )
 
     # --- bureau, data set, scores -------------------------------------------
@@ -302,11 +293,10 @@ class Portfolio:
     @cached_property
     def bureau_monthly(self) -> DataFrame:
         scored = bureau_rules.bureau_profile(self.bureau_base, self.customers)
-        inquiries = ((F.col("customer_id") * 13 + F.month("month")) % 4).cast("int")
-        return scored.select(
+        return scored.selectExpr(
             "*",
-            inquiries.alias("num_recent_inquiries"),
-            (bureau_rules.bankruptcy_probability() >= 0.005).alias("bankruptcy_flag"),
+            "cast((customer_id * 13 + month(month)) % 4 as int) as num_recent_inquiries",
+            f"{bureau_rules.bankruptcy_probability.sql()} >= 0.005D as bankruptcy_flag",
         )
 
     @cached_property
@@ -324,8 +314,7 @@ class Portfolio:
     def scored(self) -> DataFrame:
         """Snapshots of both scenarios with the frozen score, rounded half up to six places."""
         raw = self.model.score(self.account_monthly_snapshots)
-        rounded = F.floor(F.col("raw_pd") * 1e6 + 0.5) / F.lit(1e6)
-        return raw.withColumn("predicted_pd", rounded)
+        return raw.withColumn("predicted_pd", F.expr("floor(raw_pd * 1e6D + 0.5D) / 1e6D"))
 
     @cached_property
     def baseline_scored(self) -> DataFrame:

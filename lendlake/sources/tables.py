@@ -11,16 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import padded_id
-from ..session import shared_dir
+from ..session import fresh_path, shared_dir
 from .schemas import LOAD_TIME, conform
 
 
 # --- reading ----------------------------------------------------------------
 
 
-def load(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:
+def load(
+    spark: SparkSession, path: str, cols: Sequence[str] | None = None, schema: str | None = None
+) -> DataFrame:
     """A table, with only the named columns read from its files."""
-    df = spark.read.parquet(path)
+    df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     return df if cols is None else df.select(*cols)
 
 
@@ -51,6 +53,14 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a new table in the shared folder, for operators that read it several times.
+
+    It survives lost executors, and later passes read only the columns they need.
+    """
+    return materialize(df, fresh_path(df.sparkSession, name))
+
+
 def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     """Managed table bucketed on a join key, so that joins on it need no shuffle."""
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
