@@ -41,10 +41,7 @@ def midpoint_month(df: DataFrame, month: str = "month") -> DataFrame:
 
 def with_period(df: DataFrame, name: str = "is_reference", month: str = "month") -> DataFrame:
     """Split at the midpoint month: True before it, False from it on."""
-    mid = F.broadcast(midpoint_month(df, month))  # always one row
-    return df.crossJoin(mid).withColumn(name, F.col(month) < F.col("midpoint_month")).drop(
-        "midpoint_month"
-    )
+    return df.withColumn(name, F.col(month) < midpoint_month(df, month).scalar())
 
 
 def _index(counts: DataFrame, by: str) -> DataFrame:

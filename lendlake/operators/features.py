@@ -9,6 +9,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import column, literal
+
 # The model's features and target.
 NUMERIC_FEATURES = [
     "current_balance",
@@ -87,7 +89,8 @@ def stratified_split(
 ) -> DataFrame:
     """Split with exact quotas: in every stratum the rows with the smallest key hashes go first.
 
-    Ranking a whole stratum would put it in one task. Hash prefixes are counted instead; a
+    Materialise an expensive input first, because it is read three times. Ranking a whole
+    stratum would put it in one task. Hash prefixes are counted instead; a
     prefix whose rows all fall on one side of every quota is decided by its count alone, and
     only the few prefixes that a quota cuts through are ranked.
     """
@@ -138,15 +141,16 @@ def population_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[fl
 
     A constant column gets deviation 1, so scaling it gives zeros instead of a division by zero.
     """
-    row = df.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]
+    row = df.selectExpr(
+        *[f"avg({c}) as m_{c}" for c in cols], *[f"stddev_pop({c}) as s_{c}" for c in cols]
     ).first()
     return {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in cols}
 
 
-def standardized(c: str, moments: Mapping[str, tuple[float, float]]) -> Column:
+@column
+def standardized(c: str, moments: Mapping[str, tuple[float, float]]) -> str:
     mean, std = moments[c]
-    return (F.col(c) - F.lit(mean)) / F.lit(std)
+    return f"(({c} - {literal(float(mean))}) / {literal(float(std))})"
 
 
 def category_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -189,7 +193,7 @@ def assembler(numeric: Sequence[str], categorical: Sequence[str], out: str = "fe
 
 def require_complete(df: DataFrame, numeric: Sequence[str]) -> None:
     """Fail with the number of missing values per feature, before a model meets them."""
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric]).first()
+    row = df.selectExpr(*[f"count_if({c} is null) as {c}" for c in numeric]).first()
     missing = {c: row[c] for c in numeric if row[c]}
     if missing:
         raise ValueError(f"missing feature values: {missing}")

@@ -105,6 +105,7 @@ def fit_default_model(
     target: str = ft.TARGET,
     inverse_regularization: float = 1.0,
     max_iter: int = 1000,
+    tol: float = 1e-6,
 ) -> LinearModel:
     """Class-balanced L2 logistic regression on standardised numerics and one-hot categories.
 
@@ -114,7 +115,7 @@ def fit_default_model(
     ft.require_complete(train, numeric)
     moments = ft.population_moments(train, numeric)
     prepared = ft.category_text(train, categorical).select(
-        *[ft.standardized(c, moments).alias(c) for c in numeric],
+        *[F.expr(f"{ft.standardized.sql(c, moments)} as {c}") for c in numeric],
         *categorical,
         F.col(target).cast("double").alias("label"),
     )
@@ -135,7 +136,7 @@ def fit_default_model(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
-        tol=1e-9,
+        tol=tol,
     ).fit(ready)
     coefficients = list(fitted.coefficients.toArray())
     kinds = dict(train.dtypes)

@@ -14,18 +14,25 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTS = 64
+MIN_PARTS, MAX_PARTS = 64, 4096
 PART_ACCURACY = 20_000
 
 
+def default_parts(df: DataFrame) -> int:
+    """As many value parts as the session has shuffle partitions, within fixed limits."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(configured, MIN_PARTS), MAX_PARTS)
+
+
 def _present(c: str) -> Column:
     """The column as double with NaN turned into NULL."""
     x = F.col(c).cast("double")
     return F.when(~F.isnan(x), x)
 
 
-def _splits(df: DataFrame, cols: Sequence[str], parts: int) -> tuple[dict, dict]:
+def _splits(df: DataFrame, cols: Sequence[str], parts: int | None) -> tuple[dict, dict]:
     """Rows with a value, and the inner part borders, per column: one pass, one row."""
+    parts = parts or default_parts(df)
     probs = [i / parts for i in range(1, parts)]
     row = df.agg(
         *[F.count(c).alias(f"n_{c}") for c in cols],
@@ -49,7 +56,7 @@ def _bucketize(df: DataFrame, borders: dict[str, list[float]]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], parts: int = PARTS
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], parts: int | None = None
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column; NULL and NaN are left out.
 
@@ -164,7 +171,7 @@ def class_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
 
 
 def rank_auc(
-    df: DataFrame, score: str, label: str, by: Sequence[str] = (), parts: int = PARTS
+    df: DataFrame, score: str, label: str, by: Sequence[str] = (), parts: int | None = None
 ) -> DataFrame:
     """Tie-aware area under the ROC curve per group (groups are few).
 

@@ -15,10 +15,9 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def frequencies(df: DataFrame, col: str) -> DataFrame:
     """Count and share of each value; NULL is left out."""
-    present = df.where(F.col(col).isNotNull())
-    counted = present.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
-    total = F.broadcast(present.agg(F.count(F.lit(1)).alias("_total")))  # always one row
-    return counted.crossJoin(total).select(
+    counted = df.groupBy(col).agg(F.count(col).alias("rows")).where(F.col("rows") > 0)
+    total = counted.agg(F.sum("rows")).scalar()
+    return counted.withColumn("_total", total).select(
         col, "rows", round_half_up("(rows / _total)", 6).alias("share")
     )
 

@@ -197,13 +197,21 @@ def employment_stability(employment: str = "employment_type", noise: str | None
     return base if noise is None else clip.sql(f"{base} + {noise}", 0.0, 1.0)
 
 
+def with_moments(df: DataFrame, c: str) -> DataFrame:
+    """Add a column's mean and population deviation over all rows (``_mean``, ``_std``)."""
+    return df.select(
+        "*",
+        df.agg(F.avg(c)).scalar().alias("_mean"),
+        df.agg(F.stddev_pop(c)).scalar().alias("_std"),
+    )
+
+
 def financial_profile(customers: DataFrame) -> DataFrame:
     """Income-linked score and financial resilience, from the income's place in the population.
 
-    Mean and standard deviation are one row, so the cross join ships two numbers.
+    Mean and standard deviation are two numbers, read by scalar subqueries.
     """
-    moments = customers.selectExpr("avg(annual_income) as _mean", "stddev_pop(annual_income) as _std")
-    z = customers.crossJoin(F.broadcast(moments)).withColumn(
+    z = with_moments(customers, "annual_income").withColumn(
         "_z", z_score("annual_income", "_mean", "_std")
     )
     resilience = "0.45D + (baseline_fico - 650.0D) / 300.0D + _z * 0.10D - baseline_dti * 0.35D"

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import literal, round_half_even, round_half_up, rounded_mean
+from ..sources.dimensions import repeat_for
 from . import rules
 
 
@@ -71,7 +72,7 @@ def scenario_months(
     for name, digits in SHOCK_DIGITS.items():
         value = f"{name} * {strength}"
         shocks.append(f"{round_half_even.sql(value, digits) if rounded else value} as {name}")
-    return definitions.crossJoin(months).selectExpr(
+    return repeat_for(definitions, months).selectExpr(
         "scenario_id",
         "scenario_name",
         "month",
@@ -102,11 +103,12 @@ def expand_panel(
 ) -> DataFrame:
     """Accounts with their customers, for every month, with macro conditions and scenarios.
 
-    Only the account-customer join may shuffle. The account rows are multiplied after it by
-    broadcast dimensions, and the scenario fan-out comes last, so nothing shuffles the panel.
+    Only the account-customer join may shuffle. The account rows are multiplied after it, and
+    the scenario fan-out comes last. With macro and scenario tables that are small enough to
+    broadcast nothing shuffles the panel.
     """
     borrowers = accounts.join(customers, "customer_id", "left")
-    by_month = borrowers.crossJoin(months.select("month"))
+    by_month = repeat_for(borrowers, months.select("month"))
     return fan_out_scenarios(join_macro(by_month, macro), scenarios)
 
 

@@ -39,7 +39,7 @@ _THREE_WAY_SQL = _hash_part({"train": "999a", "calibration": "cccd"}, "test")
     select account_id, month, default_flag, case when place <= floor(total * 0.75e0 + 0.5e0) then 'train' else 'test' end as part from n""",
 )
 def stratified_split(p: Portfolio) -> DataFrame:
-    rows = p.baseline.select(*ROW_KEY, "default_flag")
+    rows = tables.staged(p.baseline.select(*ROW_KEY, "default_flag"), "strata")
     return ft.stratified_split(rows, "default_flag", ROW_KEY, TRAIN_SHARES)
 
 
@@ -76,7 +76,7 @@ _SCALED = ["credit_limit", "interest_rate", "origination_fico"]
 def standardized(p: Portfolio) -> DataFrame:
     moments = ft.population_moments(p.accounts, _SCALED)
     return p.accounts.select(
-        "account_id", *[round_half_up(ft.standardized(c, moments), 6).alias(c) for c in _SCALED]
+        "account_id", *[round_half_up(ft.standardized.sql(c, moments), 6).alias(c) for c in _SCALED]
     )
 
 
@@ -322,9 +322,9 @@ def calibrated_band(p: Portfolio) -> DataFrame:
 def _two_versions(p: Portfolio) -> str:
     """A stored audit table with two model versions; only ``logit_v1`` gets write-backs."""
     path = fresh_path(p.spark, "audit")
-    v1 = p.plain_audit.select(*ROW_KEY, "customer_id", "model_version", "predicted_pd", "risk_band")
-    other = v1.withColumn("model_version", F.lit("logit_v0"))
-    tables.replace_slice(v1.unionByName(other), path, "model_version")
+    versions = F.explode(F.lit(["logit_v0", "logit_v1"])).alias("model_version")
+    rows = p.plain_audit.select(*ROW_KEY, "customer_id", "predicted_pd", "risk_band", versions)
+    tables.replace_slice(rows, path, "model_version")
     return path
 
 

@@ -141,7 +141,7 @@ _TOP = """account_id, customer_id, risk_band, predicted_pd, top_shap_feature_1,
     from (select {_TOP} from audit where top_shap_feature_1 is not null order by predicted_pd desc, account_id, month limit 10)""",
 )
 def explained_accounts(p: Portfolio) -> DataFrame:
-    return reports.explained_accounts(p.audit)
+    return reports.explained_accounts(p.stored_audit)
 
 
 # --- filtered reports -------------------------------------------------------
@@ -281,7 +281,7 @@ _FILTERED_BANDS = f"""select risk_band, {_BAND_METRICS} from {_AUDITED.format('p
 
 @query("q22_band_validation_filtered", _FILTERED_BANDS)
 def band_validation_filtered(p: Portfolio) -> DataFrame:
-    return reports.band_validation(p.plain_audit, p.modeling_dataset, ROW_KEY, _AUTO, "medium")
+    return reports.band_validation(p.stored_audit, p.modeling_dataset, ROW_KEY, _AUTO, "medium")
 
 
 @query(
@@ -326,12 +326,12 @@ def _spotlight_sql(where: str = "") -> str:
 
 @query("q24_spotlight", _spotlight_sql())
 def spotlight(p: Portfolio) -> DataFrame:
-    return reports.spotlight(p.audit, p.modeling_dataset, ROW_KEY)
+    return reports.spotlight(p.stored_audit, p.modeling_dataset, ROW_KEY)
 
 
 @query("q24_spotlight_filtered", _spotlight_sql(f"where product_type = '{_AUTO}' and risk_band = 'medium'"))
 def spotlight_filtered(p: Portfolio) -> DataFrame:
-    return reports.spotlight(p.audit, p.modeling_dataset, ROW_KEY, _AUTO, "medium")
+    return reports.spotlight(p.stored_audit, p.modeling_dataset, ROW_KEY, _AUTO, "medium")
 
 
 @query(

@@ -139,7 +139,7 @@ def _expanded(p: Portfolio) -> DataFrame:
         "baseline_financial_resilience",
         "employment_stability_score",
     )
-    return stress.expand_panel(accounts, customers, p.months, p.macro_monthly, p.panel_scenarios)
+    return stress.expand_panel(accounts, customers, p.months, p.macro_dimension, p.scenario_dimension)
 
 
 _EXPANDED = """(select a.*, c.state, c.baseline_dti, c.baseline_financial_resilience, c.employment_stability_score,

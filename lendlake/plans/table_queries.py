@@ -10,6 +10,7 @@ from ..operators import bureau, ordering, profile, quality, rules, stress
 from ..operators.model import audit_records, band_rank, risk_band
 from ..session import fresh_path
 from ..sources import schemas, tables
+from ..sources.dimensions import repeat_for
 from ..sources.portfolio import ROW_KEY, Portfolio
 from . import reports
 from .registry import query
@@ -427,7 +428,7 @@ def left_single_key(p: Portfolio) -> DataFrame:
 )
 def left_three_keys(p: Portfolio) -> DataFrame:
     located = p.observed.join(p.borrowers.select("account_id", "state", "zip3"), "account_id")
-    return stress.join_macro(located, p.macro_monthly).select(
+    return stress.join_macro(located, p.macro_dimension).select(
         *ROW_KEY, "unemployment_rate", "interest_rate_index"
     )
 
@@ -450,8 +451,7 @@ def scenario_fan_out(p: Portfolio) -> DataFrame:
 )
 def account_months(p: Portfolio) -> DataFrame:
     return (
-        p.accounts.select("account_id")
-        .crossJoin(p.months.select("month"))
+        repeat_for(p.accounts.select("account_id"), p.months.select("month"))
         .groupBy("month")
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -638,9 +638,9 @@ def exact_quantiles(p: Portfolio) -> DataFrame:
     from customers cross join (select avg(annual_income) m, stddev_pop(annual_income) s from customers)""",
 )
 def population_z_score(p: Portfolio) -> DataFrame:
-    moments = p.customers.agg(F.avg("annual_income").alias("m"), F.stddev_pop("annual_income").alias("s"))
-    z = p.customers.crossJoin(F.broadcast(moments))
-    return z.select("customer_id", fx.round_half_up(fx.z_score.sql("annual_income", "m", "s"), 6).alias("income_z"))
+    z = rules.with_moments(p.customers.select("customer_id", "annual_income"), "annual_income")
+    score = fx.round_half_up(fx.z_score.sql("annual_income", "_mean", "_std"), 6)
+    return z.select("customer_id", score.alias("income_z"))
 
 
 @query(
@@ -1061,9 +1061,7 @@ def missing_test(p: Portfolio) -> DataFrame:
     from customer cross join (select avg(c_acctbal) m, stddev_pop(c_acctbal) s from customer)""",
 )
 def scaled_z_score(p: Portfolio) -> DataFrame:
-    c = p.table("customer", "c_custkey", "c_acctbal")
-    moments = c.agg(F.avg("c_acctbal").alias("m"), F.stddev_pop("c_acctbal").alias("s"))
-    scored = c.crossJoin(F.broadcast(moments))
-    return scored.select(
-        "c_custkey", fx.round_half_up(fx.z_score.sql("c_acctbal", "m", "s", 35.0), 4).alias("score")
+    c = rules.with_moments(p.table("customer", "c_custkey", "c_acctbal"), "c_acctbal")
+    return c.select(
+        "c_custkey", fx.round_half_up(fx.z_score.sql("c_acctbal", "_mean", "_std", 35.0), 4).alias("score")
     )

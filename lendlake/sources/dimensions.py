@@ -6,8 +6,10 @@ import weakref
 from collections.abc import Hashable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 DIMENSION_LIMIT = 20_000
+BROADCAST_LIMIT = 500_000
 
 _seen: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
@@ -29,3 +31,28 @@ def bounded_dimension(
         kept[name] = rows if rows.num_rows <= max_rows else None
     rows = kept[name]
     return df if rows is None else spark.createDataFrame(rows, df.schema)
+
+
+def checked_broadcast(df: DataFrame, name: Hashable, max_rows: int = BROADCAST_LIMIT) -> DataFrame:
+    """The frame with a broadcast hint if it has at most ``max_rows`` rows, else unchanged.
+
+    For derived dimensions, whose size Catalyst cannot tell before it runs them. Without the
+    hint Spark joins by shuffle, and adaptive execution still sees the real sizes. The
+    count stops at the limit and is kept per session and name.
+    """
+    kept = _seen.setdefault(df.sparkSession, {})
+    key = ("small", name)
+    if key not in kept:
+        kept[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if kept[key] else df
+
+
+def repeat_for(df: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Every row of ``df`` once per row of a dimension (a calendar, a scenario list).
+
+    The dimension becomes one array value, read by a scalar subquery and exploded, so the
+    rows of ``df`` stay where they are and no join is planned.
+    """
+    rows = dimension.agg(F.collect_list(F.struct(*dimension.columns)).alias("rows")).scalar()
+    exploded = df.select("*", F.explode(rows).alias("_dim"))
+    return exploded.select(*df.columns, "_dim.*")

@@ -28,8 +28,8 @@ from ..operators.stress import (
     scenario_definitions,
     scenario_months,
 )
-from .dimensions import bounded_dimension
-from .tables import load
+from .dimensions import bounded_dimension, checked_broadcast, repeat_for
+from .tables import load, staged
 
 # Columns of the input tables; with them Spark need not open files to find the schema.
 INPUTS = {
@@ -173,7 +173,7 @@ class Portfolio:
         zones = self.table("nation", "n_nationkey", "n_name").selectExpr(
             "n_nationkey", "n_name", f"explode(sequence(0, {ZONES - 1})) as zone"
         )
-        base = self.months.crossJoin(zones).selectExpr(
+        base = repeat_for(zones, self.months).selectExpr(
             "month",
             "n_name as state",
             "lpad(cast(n_nationkey * 4 + zone as string), 3, '0') as zip3",
@@ -200,6 +200,14 @@ class Portfolio:
     def panel_scenarios(self) -> DataFrame:
         return self.policy_scenarios.where(F.col("scenario_id").isin(*PANEL_SCENARIOS))
 
+    @cached_property
+    def macro_dimension(self) -> DataFrame:
+        return checked_broadcast(self.macro_monthly, ("macro_monthly", self.folder))
+
+    @cached_property
+    def scenario_dimension(self) -> DataFrame:
+        return checked_broadcast(self.panel_scenarios, ("panel_scenarios", self.folder))
+
     # --- account months -----------------------------------------------------
 
     @cached_property
@@ -211,7 +219,9 @@ class Portfolio:
         """
         unused = ["open_date", "region", "birth_year", "age", "student_loan_flag", "term_months"]
         joined = self.observed.join(self.borrowers.drop(*unused), "account_id")
-        panel = fan_out_scenarios(join_macro(joined, self.macro_monthly), self.panel_scenarios)
+        panel = fan_out_scenarios(
+            join_macro(joined, self.macro_dimension), self.scenario_dimension
+        )
         return panel.selectExpr(
             "*",
             f"{rules.utilization.sql('max_qty / 50.0D')} as utilization_rate",
@@ -348,6 +358,11 @@ class Portfolio:
         """Audit rows as the scoring step writes them, before calibration and explanation."""
         return audit_records(self.baseline_scored)
 
+    @cached_property
+    def stored_audit(self) -> DataFrame:
+        """The audit table as reports meet it: written once, then read with pushed-down filters."""
+        return staged(self.audit, "audit")
+
     @cached_property
     def driver_background(self) -> dict[str, float]:
         """Means of the model inputs over the training rows."""
