@@ -103,11 +103,11 @@ def expand_panel(
 ) -> DataFrame:
     """Accounts with their customers, for every month, with macro conditions and scenarios.
 
-    Only the account-customer join may shuffle. The account rows are multiplied after it, and
-    the scenario fan-out comes last. With macro and scenario tables that are small enough to
-    broadcast nothing shuffles the panel.
+    Accounts are spread evenly by their key before each becomes months x scenarios rows, so a
+    customer with many accounts does not fill one task. The scenario fan-out comes last. With
+    macro and scenario tables that are small enough to broadcast nothing shuffles the panel.
     """
-    borrowers = accounts.join(customers, "customer_id", "left")
+    borrowers = accounts.join(customers, "customer_id", "left").repartition("account_id")
     by_month = repeat_for(borrowers, months.select("month"))
     return fan_out_scenarios(join_macro(by_month, macro), scenarios)
 
