@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import column, round_half_up, threshold_band
+from ..sources.dimensions import literal_frame
 from .ordering import breakpoints, bucket_of
 
 # Fixed values of the drift rules.
@@ -74,7 +75,7 @@ def psi(
     spark = df.sparkSession
     borders = breakpoints(df.where(F.col(is_reference)), features, buckets)
     usable = [f for f in features if len(borders[f]) >= 3]
-    names = spark.createDataFrame([(f,) for f in features], "feature_name string")
+    names = literal_frame(spark, feature_name=list(features))
     if not usable:
         return names.withColumn("psi_score", F.lit(None).cast("double"))
     binned = df.select(
@@ -91,9 +92,8 @@ def psi(
     counted = binned.groupBy("feature_name", "bin").agg(
         F.count_if("_ref").alias("ref"), F.count_if(~F.col("_ref")).alias("cur")
     )
-    scaffold = spark.createDataFrame(
-        [(f, b) for f in usable for b in range(1, len(borders[f]))], "feature_name string, bin int"
-    )
+    bins = [(f, b) for f in usable for b in range(1, len(borders[f]))]
+    scaffold = literal_frame(spark, feature_name=[f for f, _ in bins], bin=[b for _, b in bins])
     # both sides hold one row per feature and bin
     full = scaffold.join(F.broadcast(counted), ["feature_name", "bin"], "left").fillna(
         0, ["ref", "cur"]

@@ -14,6 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.dimensions import literal_frame
+
 MIN_PARTS, MAX_PARTS = 64, 4096
 PART_ACCURACY = 20_000
 
@@ -93,8 +95,9 @@ def exact_quantiles(
         return {c: [None] * len(probs) for c in cols}
 
     picks = F.broadcast(
-        df.sparkSession.createDataFrame(
-            wanted, "feature string, part double, local_rank long, global_rank long"
+        literal_frame(
+            df.sparkSession,
+            **dict(zip(("feature", "part", "local_rank", "global_rank"), map(list, zip(*wanted)))),
         )
     )
     parts_needed = F.broadcast(picks.select("feature", "part").distinct())

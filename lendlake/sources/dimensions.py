@@ -5,7 +5,8 @@ from __future__ import annotations
 import weakref
 from collections.abc import Hashable
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIMENSION_LIMIT = 20_000
@@ -33,6 +34,11 @@ def bounded_dimension(
     return df if rows is None else spark.createDataFrame(rows, df.schema)
 
 
+def literal_frame(spark: SparkSession, **columns: list) -> DataFrame:
+    """A few known rows as a literal relation: exact size for the planner, no Python workers."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def checked_broadcast(df: DataFrame, name: Hashable, max_rows: int = BROADCAST_LIMIT) -> DataFrame:
     """The frame with a broadcast hint if it has at most ``max_rows`` rows, else unchanged.
 
