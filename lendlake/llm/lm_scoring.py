@@ -3,8 +3,8 @@
 The model is a trie of byte contexts inside words: up to ORDER bytes before a symbol, where
 blanks stand for the word's start, its end is the symbol blank, and an end of text is a word of
 no bytes. It is held as counted paths (context and symbol, ORDER + 1 bytes) of a distributed
-table. A symbol that a context hasn't seen is reached by an escape (method C) to the next
-shorter context, in which the symbols of the longer one are excluded.
+table. A symbol that a context hasn't seen is reached by an escape (method D: half a count of
+every seen symbol) to the next shorter context, where the longer one's symbols are excluded.
 
 Texts are cut to blocks of documents, each with its own dictionary: only the distinct words and
 paths of a block are shuffled to the counts of the whole corpus and back.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, map_arrow, read, ship, staged, sums_by, text_or_empty, word_codes
 
-ORDER = 5
+ORDER = 6
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 32_000_000
@@ -113,10 +113,9 @@ def path_scores(paths: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.
             own_seen = own_seen - up_seen[up_own]
         some = open_ & (own_seen > 0)
         hit = some & (own_c > 0)
-        mass = own_total + own_seen
-        score[hit] += np.log10(own_c[hit] / mass[hit])
+        score[hit] += np.log10((own_c[hit] - 0.5) / own_total[hit])
         miss = some & ~hit
-        score[miss] += np.log10(own_seen[miss] / mass[miss])
+        score[miss] += np.log10(0.5 * own_seen[miss] / own_total[miss])
         open_ &= ~hit
         longer = (contexts, context, below, c, seen, own_context)
     unseen = 256 - (pairs.sum(axis=0) > 0).sum()
@@ -227,7 +226,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     together = paths.repartition(F.expr(f"substring(key, {ORDER}, 2)"))
     trie = map_arrow(together, score, "key binary, count bigint, score double")
     values = words.withColumn("score", F.lit(None).cast("double")).unionByName(trie)
-    found = keys.select("block", "key", "code").join(values, "key").select("block", "key", "code", "count", "score")
+    found = keys.select("block", "key", "code").join(values, "key").select(
+        F.col("block").alias("of_block"), "key", "code", "count", "score"
+    )
 
     total = np.log10(float(tokens + distinct + 1))
     ends = (trained, np.log10(trained + 1.0) - total)
@@ -270,7 +271,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = blocks.where("codes is not null").select("block", "doc_id", "held_out", "codes")
     result = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(finish, result)
+    return texts.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(finish, result)
 
 
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
