@@ -127,7 +127,7 @@ def deep_shallow_order(rows: np.ndarray, group: np.ndarray, skip: int) -> np.nda
     ``skip`` bytes. ``group`` is sorted."""
     order = np.arange(len(rows))
     cls = group.astype(np.int64)
-    live = order[:0] if not len(order) else order
+    live = np.arange(len(rows))
     depth = skip
     while depth < min(skip + SHALLOW, rows.shape[1]) and len(live):
         # Multikey step: the next eight bytes part every class that has several rows.
