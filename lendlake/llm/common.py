@@ -9,10 +9,11 @@ import tempfile
 import weakref
 import zipfile
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -106,6 +107,15 @@ def raw_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return body[off[0] : off[-1]], off - off[0]
 
 
+def parts_of(batch: pa.RecordBatch, column: int, most: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text each, so that a task's memory is bounded."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    edge = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+    for a, b in zip(edge, [*edge[1:], batch.num_rows], strict=True):
+        yield batch.slice(int(a), int(b - a))
+
+
 def sums_by(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sum of each run of values, for runs of given lengths (which may be 0)."""
     ends = np.cumsum(lengths)

@@ -1,6 +1,6 @@
 """Benchmark decontamination by an FM-index per shard of documents.
 
-A shard is an Arrow batch of documents. Its words that occur in test items are numbered, runs
+A shard is a slice of an Arrow batch of documents. Its words that occur in test items are numbered, runs
 of such words are concatenated, and a suffix array gives the Burrows-Wheeler transform, held
 as a wavelet matrix. All test windows are searched backward at once; occurrences are located
 by walking to sampled suffix positions, and covered words merge to removal spans.
@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, read, text_or_empty
+from .common import map_arrow, parts_of, read, text_or_empty
 
 WINDOW = 10
 #: Test texts are searched in blocks of about that many bytes: a block is what a task holds.
 ITEM_BYTES = 4_000_000
 SAMPLED = 8
+#: Bytes of text of a shard.
+SHARD_BYTES = 8_000_000
 
 #: Words: runs of a-z, 0-9 and bytes from 0x80 on, after lower-casing A-Z; other bytes are blanks.
 _FOLD = bytes(
@@ -252,7 +254,7 @@ def _searcher(spark: SparkSession, windows: Windows | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole, 1, SHARD_BYTES)):
             lists = [t.encode("utf-8", "surrogatepass").translate(_FOLD).split() for t in batch.column(1).to_pylist()]
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))
             spans, items = batch.column(3).to_pylist(), batch.column(4).to_pylist()

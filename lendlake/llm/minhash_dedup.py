@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, read, ship, staged, text_or_empty, word_codes
+from .common import map_arrow, parts_of, read, ship, staged, text_or_empty, word_codes
 
 WORDS = 5
 PERCENT = 80
@@ -172,8 +172,7 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 2_000):
-                part = batch.slice(a, 2_000)
+            for part in parts_of(batch, 1):
                 values, sizes, digests = shingle_sets(part.column(1).to_pylist(), words)
                 registers = sketches(values, sizes)
                 arrays = [
@@ -196,8 +195,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 1_000):
-                part = batch.slice(a, 1_000)
+            for part in parts_of(batch, 1):
                 values, sizes, _ = shingle_sets(part.column(1).to_pylist(), words)
                 packed = [x.tobytes() for x in np.split(values, np.cumsum(sizes)[:-1])]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], ["id", "set"])

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, raw_bytes, read, remainder, text_or_empty, word_codes
+from .common import map_arrow, parts_of, raw_bytes, read, remainder, text_or_empty, word_codes
 
 TERMS = 2_048
 RANK = 24
@@ -192,7 +192,7 @@ def score_quality(docs: DataFrame, voters: Voters, keep: list[str] | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = shared.value
         for batch in batches:
-            parts = [batch.slice(a, BLOCK) for a in range(0, batch.num_rows, BLOCK)]
+            parts = [p.slice(a, BLOCK) for p in parts_of(batch, 1) for a in range(0, p.num_rows, BLOCK)]
             scores = [voters.vote(term_counts(p.column(1))) for p in parts]
             score = np.clip(np.concatenate(scores), 0, 1) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["row", "score"])

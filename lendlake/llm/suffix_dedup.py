@@ -20,15 +20,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, raw_bytes, read, ship, staged, text_or_empty
+from .common import map_arrow, parts_of, raw_bytes, read, ship, staged, text_or_empty
 
 LENGTH = 400
 GRAM = 32
 SHALLOW = 32
 #: Types of one anchor string that are sorted together; more of them go by window fingerprints.
 MOST_TYPES = 4_096
-PIECE = 4_000_000
-ROWS_AT_ONCE = 8_000
+PIECE = 1_000_000
+ROWS_AT_ONCE = 4_000
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 _HIGH = ~np.uint64((1 << 24) - 1)
 
@@ -224,8 +224,8 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 2_000):
-                body, offsets = raw_bytes(batch.column(0).slice(a, 2_000))
+            for part in parts_of(batch, 0, 2_000_000):
+                body, offsets = raw_bytes(part.column(0))
                 places = anchor_places(body, offsets, length)
                 raw = body.tobytes()
                 text = np.searchsorted(offsets, places, side="right") - 1

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, read, sums_by, text_or_empty
+from .common import map_arrow, parts_of, read, sums_by, text_or_empty
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -207,7 +207,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = TOKEN_LI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, known = merges_of(path), {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole, 1)):
             texts = batch.column(1).to_pylist()
             lists = [pre_tokens(t) for t in texts]
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, read, remainder, sums_by, text_or_empty, word_codes
+from .common import map_arrow, parts_of, read, remainder, sums_by, text_or_empty, word_codes
 
 BITS = 18
 FOLDS = 5
@@ -194,7 +194,7 @@ def train_chain(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole, 1)):
             rows = rows_of(batch.column(1).to_pylist(), known)
             packed = [x.astype(np.int32).tobytes() for x in np.split(rows.slots, np.cumsum(rows.lengths)[:-1])]
             arrays = [batch.column(0), pa.array(packed[: batch.num_rows], pa.binary()), *batch.columns[2:]]
@@ -224,7 +224,7 @@ def predict_toxicity(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole, 1)):
             rows = rows_of(batch.column(1).to_pylist(), known)
             p = shared.value.probabilities(rows) * (rows.lengths > 0)[:, None]
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, p.T.copy())], ["doc_id", *names])
