@@ -419,7 +419,10 @@ def find_repeats(
     contexts and by their bytes.
     """
     ship(docs.sparkSession)
-    anchors = _anchors(docs, length)
+    every = _anchors(docs, length)
+    # Most anchor strings occur once; what follows sees the others only.
+    repeated = every.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
+    anchors = staged(every.join(repeated, "h"), "repeated-anchors")
     types = staged(
         anchors.groupBy("h", "c").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("at"), F.min("l").alias("l"), F.min("r").alias("r")
