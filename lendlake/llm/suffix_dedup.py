@@ -252,18 +252,18 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of the contexts ``wanted`` (h, c, key, place, l, r): h, c, l, r, context."""
+    """The bytes of the contexts ``wanted`` (h, c, key, place, l, r, types): h, c, l, r, types, context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, own in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 raw = text.as_py()
                 part = pa.array([raw[x["place"] - x["l"] : x["place"] + x["r"]] for x in own], pa.binary())
-                kinds = {"h": pa.int64(), "c": pa.int64(), "l": pa.int32(), "r": pa.int32()}
+                kinds = {"h": pa.int64(), "c": pa.int64(), "l": pa.int32(), "r": pa.int32(), "types": pa.int64()}
                 columns = [pa.array([x[k] for x in own], t) for k, t in kinds.items()]
-                yield pa.RecordBatch.from_arrays([*columns, part], ["h", "c", "l", "r", "context"])
+                yield pa.RecordBatch.from_arrays([*columns, part], ["h", "c", "l", "r", "types", "context"])
 
-    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("h", "c", "place", "l", "r")).alias("own"))
+    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("h", "c", "place", "l", "r", "types")).alias("own"))
     texts = (
         docs.select(text_or_empty().cast("binary").alias("text"))
         .where(F.octet_length("text") >= length)
@@ -273,7 +273,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         .agg(F.first("text").alias("text"))
     )
     joined = texts.join(lists, "key").select("text", "own")
-    return map_arrow(joined, run, "h bigint, c bigint, l int, r int, context binary")
+    return map_arrow(joined, run, "h bigint, c bigint, l int, r int, types bigint, context binary")
 
 
 def _sides(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -432,12 +432,13 @@ def find_repeats(
     several = types.groupBy("h").agg(F.count(F.lit(1)).alias("types"), F.max("n").alias("_n")).where("types > 1")
     wanted = types.join(several.select("h", "types"), "h").select("h", "c", "at.key", "at.place", "l", "r", "types")
     whole = types.where(f"n > 1 and l + r >= {length}").select("h", "c", F.array(-F.col("l"), F.col("r")).alias("spans"))
-    few = _sorted_types(_contexts(docs, wanted.where(f"types <= {most_types}"), length), length)
-    covered = whole.unionByName(few)
+    # The number of types decides behind the contexts, so both ways share one shuffle of texts.
+    contexts = _contexts(docs, wanted, length)
+    covered = whole.unionByName(_sorted_types(contexts.where(f"types <= {most_types}"), length))
     many = several.where(f"types > {most_types}").agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
     if many:
         parts = int(many * length // 2_000_000 + 1)
-        hot = _contexts(docs, wanted.where(f"types > {most_types}"), length)
+        hot = contexts.where(f"types > {most_types}")
         covered = covered.unionByName(_fingerprinted_types(hot, length, parts))
 
     spans = (
