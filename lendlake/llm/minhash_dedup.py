@@ -29,7 +29,7 @@ ZERO_BITS, MANTISSA_BITS = 6, 26
 #: Members of a band that are compared as one block; larger bands are split to pairs of blocks.
 BLOCK = 256
 #: The estimate must be that many standard errors below the threshold to drop a pair unverified.
-MARGIN = 6.0
+MARGIN = 4.5
 
 
 # --- sets and sketches --------------------------------------------------------------------------
@@ -247,24 +247,36 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         for batch in batches:
             registers = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, REGISTERS)
             keys, used = band_keys(registers)
-            row, _ = np.nonzero(used)
+            row, no = np.nonzero(used)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(keys[used])], ["id", "band"])
-
-    banded = map_arrow(classes.select("id", "registers"), bands, "id bigint, band bigint")
-    # A band's size and pivot come from a map-side combined sum; bands of one class go.
-    pivots = banded.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("_last")).where("pivot <> _last").drop("_last")
-    met = staged(banded.join(pivots, "band"), "bands")
-
-    # First one link for a class: to the least pivot of its bands, so copies form stars.
-    first = met.where("id <> pivot").groupBy("id").agg(F.min("pivot").alias("b")).select(F.col("id").alias("a"), "b")
+            arrays = [pa.array(ids[row]), pa.array(keys[used]), pa.array(no.astype(np.int8))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "band", "no"])
+
+    banded = map_arrow(classes.select("id", "registers"), bands, "id bigint, band bigint, no tinyint")
+    # Sizes come from map-side combined counts; bands of one class go.
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    met = staged(banded.join(sizes, "band"), "bands")
+
+    # First one link for a class: to the weightiest pivot of its bands. The text that others are
+    # copies of keeps most of its bands, so it meets the most classes, and copies form stars.
+    weights = met.groupBy("id").agg(F.sum("size").alias("weight"))
+    place = F.struct("weight", (-F.col("id")).alias("minus"))
+    pivots = met.join(weights, "id").groupBy("band").agg(F.max(place).alias("top"))
+    first = (
+        met.join(pivots, "band")
+        .where("-top.minus <> id")
+        .groupBy("id")
+        .agg((-F.max("top")["minus"]).alias("pivot"))
+        .select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b"))
+        .distinct()
+    )
     first = staged(first, "first-pairs")
     ids = classes.select("id").distinct()
     done = _confirmed(first, classes, docs, words, percent)
     labels = components(ids, done)
 
     # Then whatever else shares a band and isn't connected yet.
-    mixed_bands = met.join(labels, "id").select("band", "id", "component")
+    mixed_bands = met.join(labels, "id").select("band", "no", "id", "component")
     spread = (
         mixed_bands.groupBy("band")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n"))
@@ -299,6 +311,8 @@ def _open_pairs(open_bands: DataFrame, classes: DataFrame, percent: int) -> Data
         side = group.column("side").to_numpy(zero_copy_only=False)
         registers = np.frombuffer(b"".join(group.column("registers").to_pylist()), np.uint32).reshape(-1, REGISTERS)
         out_a, out_b = [], []
+        bands = registers.reshape(-1, BANDS, BAND_ROWS)
+        no = group.column("no")[0].as_py()
         same_block = not side.any()
         left = np.flatnonzero(~side) if not same_block else np.arange(len(ids))
         right = np.flatnonzero(side) if not same_block else np.arange(len(ids))
@@ -307,6 +321,11 @@ def _open_pairs(open_bands: DataFrame, classes: DataFrame, percent: int) -> Data
             if same_block:
                 other = other[other > i]
             other = other[(100 * n[other] >= percent * n[i]) & (100 * n[i] >= percent * n[other])]
+            if not len(other):
+                continue
+            # A pair counts in the first band that it shares, and in no other.
+            alike = (bands[other, : no + 1] == bands[i, : no + 1]).all(axis=2) & (bands[i, : no + 1] > 0).any(axis=1)
+            other = other[alike.argmax(axis=1) == no]
             if not len(other):
                 continue
             value, used = estimate(registers[[i]], registers[other], n[i], n[other])
@@ -323,7 +342,7 @@ def _open_pairs(open_bands: DataFrame, classes: DataFrame, percent: int) -> Data
         .withColumn("_own", F.expr("pmod(xxhash64(id, band), _blocks)"))
         .withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
         .select(
-            "band", "id", "component", "n", "registers",
+            "band", "no", "id", "component", "n", "registers",
             F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"),
             (F.col("_own") > F.col("_other")).alias("side"),
         )
