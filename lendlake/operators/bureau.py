@@ -87,7 +87,7 @@ def bureau_base(snapshots: DataFrame, accounts: DataFrame) -> DataFrame:
 
 @column
 def bureau_score() -> str:
-    return f"cast(floor({BUREAU_SCORE.score_sql()} + 0.5D) as int)"
+    return f"cast(rint({BUREAU_SCORE.score_sql()}) as int)"
 
 
 @column

@@ -14,9 +14,9 @@ from ..sources.tables import update_slice
 from .model import PD_DIGITS, calibrated_band
 
 
-def score_groups(df: DataFrame, score: str, label: str, digits: int = PD_DIGITS) -> DataFrame:
-    """Rows and outcome rate per rounded score: at most 10^digits + 1 rows, whatever the input."""
-    return df.groupBy(round_half_even(score, digits).alias("score")).agg(
+def score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Rows and outcome rate per exact score."""
+    return df.groupBy(F.col(score).alias("score")).agg(
         F.expr("cast(count(*) as double)").alias("weight"),
         F.expr(f"avg(cast({label} as int))").alias("outcome"),
     )

@@ -18,7 +18,6 @@ DRIVER_COLUMNS = {
     "top_shap_value_2": "double",
 }
 VALUE_DIGITS = 6
-EXPLAINED_ROWS = 500
 
 
 def background_means(background: DataFrame, model: LinearModel) -> dict[str, float]:

@@ -379,11 +379,10 @@ def linear_attribution(p: Portfolio) -> DataFrame:
 @query(
     "m22_top_drivers",
     """select account_id, month, predicted_pd, top_shap_feature_1, top_shap_value_1, top_shap_feature_2, top_shap_value_2
-    from audit order by predicted_pd desc, account_id, month limit 500""",
+    from audit""",
 )
 def top_drivers(p: Portfolio) -> DataFrame:
-    riskiest = ordering.top_rows(p.baseline_scored, "predicted_pd", ROW_KEY, explain.EXPLAINED_ROWS)
-    return explain.with_top_drivers(riskiest, p.model, p.driver_background).select(
+    return explain.with_top_drivers(p.baseline_scored, p.model, p.driver_background).select(
         *ROW_KEY, "predicted_pd", *explain.DRIVER_COLUMNS
     )
 
@@ -391,7 +390,7 @@ def top_drivers(p: Portfolio) -> DataFrame:
 @query(
     "m23_driver_write_back",
     """with top as (select account_id, month, top_shap_feature_1, top_shap_value_1, top_shap_feature_2, top_shap_value_2
-      from audit order by predicted_pd desc, account_id, month limit 500)
+      from audit)
     select a.account_id, a.month, 'logit_v1' as model_version, t.top_shap_feature_1, t.top_shap_value_1,
       t.top_shap_feature_2, t.top_shap_value_2
     from plain_audit a left join top t on a.account_id = t.account_id and a.month = t.month

@@ -205,9 +205,9 @@ select m.customer_id, m.month, m.total_debt_balance, m.max_days_past_due, m.deli
     rows between 11 preceding and current row) as bigint) as delinquencies_12m
 from customer_month m left join credit_lines l on m.customer_id = l.customer_id""",
     "bureau_scored": """
-select b.*, cast(floor(least(greatest(c.baseline_fico - b.credit_utilization * 75e0 - b.delinquencies_12m * 7e0
+select b.*, cast(round_even(least(greatest(c.baseline_fico - b.credit_utilization * 75e0 - b.delinquencies_12m * 7e0
   - case when b.max_days_past_due >= 90 then 55e0 else 0e0 end - b.default_count * 35e0 - b.chargeoff_count * 65e0
-  + c.baseline_financial_resilience * 25e0 + c.employment_stability_score * 15e0, 300e0), 850e0) + 0.5e0) as int) as fico_score
+  + c.baseline_financial_resilience * 25e0 + c.employment_stability_score * 15e0, 300e0), 850e0), 0) as int) as fico_score
 from bureau_base b left join customers c on b.customer_id = c.customer_id""",
     "bureau_monthly": """
 select b.*, cast((b.customer_id * 13 + month(b.month)) % 4 as int) as num_recent_inquiries,

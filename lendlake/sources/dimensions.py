@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import weakref
-from collections.abc import Hashable
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,26 +9,17 @@ from pyspark.sql import functions as F
 DIMENSION_LIMIT = 20_000
 BROADCAST_LIMIT = 500_000
 
-_seen: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
 
-def bounded_dimension(
-    df: DataFrame, name: Hashable, max_rows: int = DIMENSION_LIMIT
-) -> DataFrame:
+def bounded_dimension(df: DataFrame, max_rows: int = DIMENSION_LIMIT) -> DataFrame:
     """The frame as a literal relation if it has at most ``max_rows`` rows, else unchanged.
 
     Catalyst knows a literal relation's exact size, so joins with it (and with small things
     derived from it) broadcast by the normal threshold; no hint is needed. A larger frame
     stays distributed and joins by shuffle. At most ``max_rows + 1`` rows reach the driver.
-    The outcome is kept per session and name: input tables do not change during a session.
+    Nothing is remembered: a table that was loaded anew is read anew.
     """
-    spark = df.sparkSession
-    kept = _seen.setdefault(spark, {})
-    if name not in kept:
-        rows = df.limit(max_rows + 1).toArrow()
-        kept[name] = rows if rows.num_rows <= max_rows else None
-    rows = kept[name]
-    return df if rows is None else spark.createDataFrame(rows, df.schema)
+    rows = df.limit(max_rows + 1).toArrow()
+    return df if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def literal_frame(spark: SparkSession, **columns: list) -> DataFrame:
@@ -39,18 +27,14 @@ def literal_frame(spark: SparkSession, **columns: list) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
-def checked_broadcast(df: DataFrame, name: Hashable, max_rows: int = BROADCAST_LIMIT) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_LIMIT) -> DataFrame:
     """The frame with a broadcast hint if it has at most ``max_rows`` rows, else unchanged.
 
     For derived dimensions, whose size Catalyst cannot tell before it runs them. Without the
     hint Spark joins by shuffle, and adaptive execution still sees the real sizes. The
-    count stops at the limit and is kept per session and name.
+    count stops at the limit and is made for every query.
     """
-    kept = _seen.setdefault(df.sparkSession, {})
-    key = ("small", name)
-    if key not in kept:
-        kept[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if kept[key] else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def repeat_for(df: DataFrame, dimension: DataFrame) -> DataFrame:

@@ -164,7 +164,7 @@ class Portfolio:
             month_start("l_shipdate").alias("month")
         )
         index = f"(year(month) - {FIRST_YEAR}) * 12 + month(month) - 1 as month_index"
-        found = bounded_dimension(months.distinct(), ("months", self.folder))
+        found = bounded_dimension(months.distinct())
         return found.selectExpr("month", index)
 
     @cached_property
@@ -202,11 +202,11 @@ class Portfolio:
 
     @cached_property
     def macro_dimension(self) -> DataFrame:
-        return checked_broadcast(self.macro_monthly, ("macro_monthly", self.folder))
+        return checked_broadcast(self.macro_monthly)
 
     @cached_property
     def scenario_dimension(self) -> DataFrame:
-        return checked_broadcast(self.panel_scenarios, ("panel_scenarios", self.folder))
+        return checked_broadcast(self.panel_scenarios)
 
     # --- account months -----------------------------------------------------
 

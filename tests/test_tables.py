@@ -89,14 +89,33 @@ def test_key_and_reference_audits(spark):
 
 def test_large_dimension_stays_distributed(spark):
     big = spark.range(50)
-    kept = dimensions.bounded_dimension(big, ("t", "big"), max_rows=10)
+    kept = dimensions.bounded_dimension(big, max_rows=10)
     assert kept is big
-    small = dimensions.bounded_dimension(big, ("t", "small"), max_rows=50)
+    small = dimensions.bounded_dimension(big, max_rows=50)
     assert small is not big and sorted(r[0] for r in small.collect()) == list(range(50))
-    assert dimensions.checked_broadcast(big, ("t", "b"), max_rows=10) is big
+    assert dimensions.checked_broadcast(big, max_rows=10) is big
 
 
 def test_repeat_for_calendar(spark):
     months = spark.createDataFrame([(dt.date(2025, m, 1),) for m in (1, 2, 3)], "month date")
     out = dimensions.repeat_for(spark.range(4), months)
     assert out.columns == ["id", "month"] and out.distinct().count() == 12
+
+
+def test_reloaded_table_is_read_anew(spark, folder, tmp_path):
+    """A folder's lineitem is replaced in one session: months and scenarios follow it."""
+    import os
+
+    from lendlake.plans import catalog
+
+    own = str(tmp_path)
+    for name in os.listdir(folder):
+        if name != "lineitem.parquet":
+            os.symlink(f"{folder}/{name}", f"{own}/{name}")
+    whole = spark.read.parquet(f"{folder}/lineitem.parquet")
+    query = catalog.queries()["q02_scenario_risk"]
+    whole.where("l_shipdate < '2000-01-01'").coalesce(1).write.parquet(f"{own}/lineitem.parquet")
+    query(spark, own).collect()
+    whole.coalesce(1).write.mode("overwrite").parquet(f"{own}/lineitem.parquet")
+    key = lambda r: str(r)
+    assert sorted(query(spark, own).collect(), key=key) == sorted(query(spark, folder).collect(), key=key)
