@@ -113,7 +113,7 @@ class Voters:
     def vote(self, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
         """Share of label 1 among the nearest, weighted by a power of the cosine."""
         if not len(self.vectors):
-            return np.full(len(counts), self.prior)
+            return np.where(counts[:, 32:].sum(axis=1) > 0, self.prior, 0.0)
         vectors, k = self.project(counts), min(neighbours, len(self.vectors))
         out = np.empty(len(counts))
         for a in range(0, len(counts), BLOCK):
