@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, map_arrow, read, ship, staged, sums_by, text_or_empty, word_codes
 
-ORDER = 6
+ORDER = 5
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 24_000_000
 BLANK = 0x20
 WORD, PATH = b"w", b"p"
 
