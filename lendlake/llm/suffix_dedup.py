@@ -25,8 +25,8 @@ from .common import map_arrow, parts_of, raw_bytes, read, ship, staged, text_or_
 LENGTH = 400
 GRAM = 32
 SHALLOW = 32
-#: Types of one anchor string that are sorted together; more of them go by window fingerprints.
-MOST_TYPES = 4_096
+#: Types of one anchor string that are sorted together (26 MB of contexts); more of them go by window fingerprints.
+MOST_TYPES = 32_768
 PIECE = 1_000_000
 ROWS_AT_ONCE = 4_000
 _HASH = np.uint64(0x9E3779B97F4A7C15)
