@@ -25,8 +25,10 @@ from .common import map_arrow, parts_of, raw_bytes, read, ship, staged, text_or_
 LENGTH = 400
 GRAM = 32
 SHALLOW = 32
-#: Types of one anchor string that are sorted together (26 MB of contexts); more of them go by window fingerprints.
+#: Types of one anchor string that are sorted together (26 MB of contexts); more of them are parted by cores first.
 MOST_TYPES = 32_768
+#: Ranges of window offsets whose common bytes (the core) part a hot anchor string.
+RANGES = 4
 PIECE = 1_000_000
 ROWS_AT_ONCE = 4_000
 _HASH = np.uint64(0x9E3779B97F4A7C15)
@@ -333,8 +335,74 @@ def _sorted_types(contexts: DataFrame, length: int) -> DataFrame:
     return map_arrow(together, run, "h bigint, c bigint, spans array<int>")
 
 
+def offset_ranges(length: int) -> list[tuple[int, int]]:
+    """RANGES runs (first, last) of all window offsets."""
+    edges = [(length - GRAM + 1) * i // RANGES for i in range(RANGES + 1)]
+    return [(a, b - 1) for a, b in zip(edges, edges[1:], strict=False) if a < b]
+
+
+def _cored_types(docs: DataFrame, wanted: DataFrame, length: int, most_types: int) -> DataFrame:
+    """h, c, spans for anchor strings of very many types (``wanted``).
+
+    All windows of a range of offsets have a core in common, most of a window's bytes. Contexts
+    that share a window share the core of its range, so they are parted by range and core; cores
+    that come once go, and the bytes of the others are compared over that range alone.
+    """
+    ranges = offset_ranges(length)
+
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            names = ("h", "c", "l", "r", "context")
+            for h, c, l, r, raw in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names), strict=True):
+                for first, last in ranges:
+                    x, y = min(l, last), min(r, length - first)
+                    if x >= first and y >= length - last and x + y >= length:
+                        core = xxhash.xxh3_64_intdigest(raw[l - first : l + length - last], seed=first)
+                        own = xxhash.xxh3_64_intdigest(raw[l - x : l + y], seed=x)
+                        out.append((core, own, h, c, x, y))
+            core, own, h, c, x, y = zip(*out, strict=True) if out else [()] * 6
+            arrays = [
+                pa.array(np.array(core, np.uint64).view(np.int64)),
+                pa.array(np.array(own, np.uint64).view(np.int64)),
+                pa.array(h, pa.int64()),
+                pa.array(c, pa.int64()),
+                pa.array(x, pa.int32()),
+                pa.array(y, pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["core", "own", "h", "c", "l", "r"])
+
+    kind = "core bigint, own bigint, h bigint, c bigint, l int, r int"
+    dealt = staged(map_arrow(_contexts(docs, wanted, length), cores, kind), "cores")
+    common = dealt.groupBy("core").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core")
+    shared = staged(dealt.join(common, "core"), "shared-cores")
+    owns = staged(
+        shared.groupBy("core", "own").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("h", "c")).alias("at"), F.min("l").alias("l"), F.min("r").alias("r")
+        ),
+        "core-types",
+    )
+    several = owns.groupBy("core").agg(F.count(F.lit(1)).alias("types")).where("types > 1")
+    places = wanted.select(F.col("h").alias("_h"), F.col("c").alias("_c"), "key", "place")
+    again = (
+        owns.join(several, "core")
+        .select("core", "own", F.col("at.h").alias("_h"), F.col("at.c").alias("_c"), "l", "r", "types")
+        .join(places, ["_h", "_c"])
+        .select(F.col("core").alias("h"), F.col("own").alias("c"), "key", "place", "l", "r", "types")
+    )
+    contexts = _contexts(docs, staged(again, "core-contexts"), length)
+    found = owns.where("n > 1").select(F.col("core").alias("h"), F.col("own").alias("c"), F.array(-F.col("l"), F.col("r")).alias("spans"))
+    found = found.unionByName(_sorted_types(contexts.where(f"types <= {most_types}"), length))
+    many = several.where(f"types > {most_types}").agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
+    if many:
+        parts = int(many * length // RANGES // 2_000_000 + 1)
+        found = found.unionByName(_fingerprinted_types(contexts.where(f"types > {most_types}"), length, parts))
+    found = found.select(F.col("h").alias("core"), F.col("c").alias("own"), "spans")
+    return shared.select("core", "own", "h", "c").join(found, ["core", "own"]).select("h", "c", "spans")
+
+
 def _fingerprinted_types(contexts: DataFrame, length: int, parts: int) -> DataFrame:
-    """The same for anchor strings of very many types: every window's 64-bit fingerprint is dealt
+    """The same for cores of very many types: every window's 64-bit fingerprint is dealt
     to parts by its value, in packed rows, and fingerprints that come twice are repeats."""
 
     entry = np.dtype([("f", "<u8"), ("c", "<i8"), ("h", "<i8"), ("o", "<i4")])
@@ -432,14 +500,11 @@ def find_repeats(
     several = types.groupBy("h").agg(F.count(F.lit(1)).alias("types"), F.max("n").alias("_n")).where("types > 1")
     wanted = types.join(several.select("h", "types"), "h").select("h", "c", "at.key", "at.place", "l", "r", "types")
     whole = types.where(f"n > 1 and l + r >= {length}").select("h", "c", F.array(-F.col("l"), F.col("r")).alias("spans"))
-    # The number of types decides behind the contexts, so both ways share one shuffle of texts.
-    contexts = _contexts(docs, wanted, length)
-    covered = whole.unionByName(_sorted_types(contexts.where(f"types <= {most_types}"), length))
-    many = several.where(f"types > {most_types}").agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
-    if many:
-        parts = int(many * length // 2_000_000 + 1)
-        hot = contexts.where(f"types > {most_types}")
-        covered = covered.unionByName(_fingerprinted_types(hot, length, parts))
+    contexts = _contexts(docs, wanted.where(f"types <= {most_types}"), length)
+    covered = whole.unionByName(_sorted_types(contexts, length))
+    if not several.where(f"types > {most_types}").isEmpty():
+        hot = staged(wanted.where(f"types > {most_types}"), "hot-types")
+        covered = covered.unionByName(_cored_types(docs, hot, length, most_types))
 
     spans = (
         anchors.select("h", "c", "key", "place")
