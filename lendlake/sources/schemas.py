@@ -17,6 +17,7 @@ from pyspark.sql.types import (
 
 LOAD_TIME = "created_at"
 
+# Table and column names and their types, which stored tables must have.
 _DDL = {
     "customers": """customer_id string, birth_year int, age int, state string, zip3 string,
         employment_type string, annual_income double, monthly_income double, income_band string,

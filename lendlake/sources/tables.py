@@ -61,12 +61,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, fresh_path(df.sparkSession, name))
 
 
-def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Managed table bucketed on a join key, so that joins on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
 def full_refresh(df: DataFrame, path: str, table: str) -> DataFrame:
     """Replace the whole table by rows that follow its contract."""
     return materialize(conform(df, table, missing="error"), path)
