@@ -116,6 +116,18 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return np.maximum(0.0, (raw - chance) / (1 - chance)), used
 
 
+def may_link(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets with register rows ``a`` and ``b`` can have ``percent`` in common; never wrong to say no.
+
+    Registers that differ have different least hashes, and the lesser one is in one set only. So
+    the sets differ in at least as many hashes as in registers, and linked sets of m and n hashes
+    differ in at most (100 - percent) / (100 + percent) * (m + n). For sets that hardly fill their
+    registers, whose estimate rests on few of them, this decides nearly all pairs.
+    """
+    differ = (a != b).sum(axis=1)
+    return (100 + percent) * differ <= (100 - percent) * (size_a + size_b)
+
+
 # --- components ---------------------------------------------------------------------------------
 
 
@@ -321,6 +333,7 @@ def _open_pairs(open_bands: DataFrame, classes: DataFrame, percent: int) -> Data
             if same_block:
                 other = other[other > i]
             other = other[(100 * n[other] >= percent * n[i]) & (100 * n[i] >= percent * n[other])]
+            other = other[may_link(registers[[i]], registers[other], n[i], n[other], percent)]
             if not len(other):
                 continue
             # A pair counts in the first band that it shares, and in no other.

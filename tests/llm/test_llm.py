@@ -201,6 +201,23 @@ def plain_components(rows, words, percent=80):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
+def test_differing_registers_never_part_linked_sets():
+    rng = np.random.default_rng(5)
+    for size in (1, 4, 5, 9, 40, 300, 2000):
+        base = rng.integers(0, 2**63, size, dtype=np.uint64)
+        for _ in range(40):
+            kept = base[rng.random(size) > rng.random() * 0.3]
+            other = np.concatenate([kept, rng.integers(0, 2**63, rng.integers(0, size // 5 + 2), dtype=np.uint64)])
+            x, y = np.unique(base), np.unique(other)
+            both = len(np.intersect1d(x, y))
+            a, b = (minhash_dedup.sketches(v, np.array([len(v)])) for v in (x, y))
+            if 100 * both >= 80 * (len(x) + len(y) - both):
+                assert minhash_dedup.may_link(a, b, np.array([len(x)]), np.array([len(y)]), 80)[0]
+    strangers = [np.unique(rng.integers(0, 2**63, 20, dtype=np.uint64)) for _ in range(2)]
+    a, b = (minhash_dedup.sketches(v, np.array([len(v)])) for v in strangers)
+    assert not minhash_dedup.may_link(a, b, np.array([20]), np.array([20]), 80)[0]
+
+
 def test_near_duplicates(spark, folder, texts, edge):
     for r in queries.QUERIES["op5_minhash_dedup"](spark, folder).collect():
         want = test_near_duplicates.__dict__.setdefault("want", plain_components(list(texts.items()), 2))
