@@ -261,22 +261,26 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             keys, used = band_keys(registers)
             row, no = np.nonzero(used)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            arrays = [pa.array(ids[row]), pa.array(keys[used]), pa.array(no.astype(np.int8))]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "band", "no"])
+            n = batch.column(2).to_numpy(zero_copy_only=False)
+            arrays = [pa.array(ids[row]), pa.array(keys[used]), pa.array(no.astype(np.int8)), pa.array(n[row])]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "band", "no", "n"])
 
-    banded = map_arrow(classes.select("id", "registers"), bands, "id bigint, band bigint, no tinyint")
+    banded = map_arrow(
+        classes.select("id", "registers", "n"), bands, "id bigint, band bigint, no tinyint, n bigint"
+    )
     # Sizes come from map-side combined counts; bands of one class go.
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = staged(banded.join(sizes, "band"), "bands")
 
     # First one link for a class: to the weightiest pivot of its bands. The text that others are
     # copies of keeps most of its bands, so it meets the most classes, and copies form stars.
+    # A pivot whose set is too small or too large for a link is passed over.
     weights = met.groupBy("id").agg(F.sum("size").alias("weight"))
-    place = F.struct("weight", (-F.col("id")).alias("minus"))
+    place = F.struct("weight", (-F.col("id")).alias("minus"), "n")
     pivots = met.join(weights, "id").groupBy("band").agg(F.max(place).alias("top"))
     first = (
         met.join(pivots, "band")
-        .where("-top.minus <> id")
+        .where(f"-top.minus <> id and 100 * least(n, top.n) >= {percent} * greatest(n, top.n)")
         .groupBy("id")
         .agg((-F.max("top")["minus"]).alias("pivot"))
         .select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b"))
