@@ -29,8 +29,8 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def repeated_string_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur more than once are cut out."""
-    return suffix_dedup.remove_repeats(docs)
+    """Passages of over 50 words and strings of 400 bytes that occur more than once are cut out."""
+    return suffix_dedup.remove_repeats(docs, words=suffix_dedup.PASSAGE_WORDS)
 
 
 def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

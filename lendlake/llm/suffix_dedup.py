@@ -20,9 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, parts_of, raw_bytes, read, ship, staged, text_or_empty
+from .common import BLANKS, map_arrow, parts_of, raw_bytes, read, ship, staged, text_or_empty, word_codes
 
 LENGTH = 400
+#: Words of the shortest passage over 50 words, and bytes of a word's hash where words are compared.
+PASSAGE_WORDS = 51
+CODE = 6
 GRAM = 32
 SHALLOW = 32
 #: Types of one anchor string that are sorted together (26 MB of contexts); more of them are parted by cores first.
@@ -475,17 +478,8 @@ def merged_spans(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
 
 
-def find_repeats(
-    docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None, most_types: int = MOST_TYPES
-) -> DataFrame:
-    """row (the columns ``keep``, by default all), text (bytes), spans (flat starts and ends of
-    what is to be removed, unmerged) of every document.
-
-    A null or empty text has no bytes; texts below ``length`` bytes repeat nothing; equal texts
-    of at least ``length`` bytes repeat each other as a whole; an empty table gives no rows.
-    Columns but text are carried along only. Strings are compared by 64-bit hashes of whole
-    contexts and by their bytes.
-    """
+def _spans(docs: DataFrame, length: int, most_types: int) -> DataFrame:
+    """key (of a text), spans (flat starts and ends of what repeats in it, unmerged)."""
     ship(docs.sparkSession)
     every = _anchors(docs, length)
     # Most anchor strings occur once; what follows sees the others only.
@@ -506,19 +500,104 @@ def find_repeats(
         hot = staged(wanted.where(f"types > {most_types}"), "hot-types")
         covered = covered.unionByName(_cored_types(docs, hot, length, most_types))
 
-    spans = (
+    return (
         anchors.select("h", "c", "key", "place")
         .join(covered, ["h", "c"])
         .select("key", F.transform("spans", lambda x: x + F.col("place")).alias("spans"))
         .groupBy("key")
         .agg(F.flatten(F.collect_set("spans")).alias("spans"))
     )
+
+
+def word_bytes(texts: pa.Array) -> pa.Array:
+    """Each text as the hashes of its words, CODE bytes each, so that words are windows of bytes."""
+    lists = [t.split() for t in texts.to_pylist()]
+    codes, distinct = word_codes([w for x in lists for w in x])
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], "<u8")
+    raw = hashes.view(np.uint8).reshape(-1, 8)[codes, :CODE].tobytes()
+    ends = np.cumsum([0] + [len(x) * CODE for x in lists]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw)])
+
+
+_BLANK = np.isin(np.arange(256), list(BLANKS.encode()))
+
+
+def word_edges(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word, and the one after its last."""
+    solid = ~_BLANK[np.frombuffer(raw, np.uint8)]
+    edge = np.flatnonzero(np.diff(solid.astype(np.int8), prepend=0, append=0))
+    return edge[::2], edge[1::2]
+
+
+def passage_spans(raw: bytes, coded: np.ndarray, words: int) -> np.ndarray:
+    """Spans of a text's bytes from spans of its ``word_bytes``: from the first word to the last."""
+    first, after = -(-coded[::2] // CODE), coded[1::2] // CODE
+    some = after - first >= words  # bytes of hashes that agree by chance make no word
+    start, end = word_edges(raw)
+    return np.stack([start[first[some]], end[after[some] - 1]], axis=1).ravel()
+
+
+def _passages(docs: DataFrame, words: int, most_types: int) -> DataFrame:
+    """key (of a text), coded (spans of its ``word_bytes``): passages of ``words`` words that repeat.
+
+    Hashes of words take the place of the text, so the same anchors and sorts find the windows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts_of(batch, 0, 2_000_000):
+                yield pa.RecordBatch.from_arrays([part.column(0), word_bytes(part.column(0))], ["raw", "text"])
+
+    source = docs.select(text_or_empty().cast("binary").alias("raw")).where(F.octet_length("raw") >= 2 * words - 1)
+    coded = map_arrow(source, run, "raw binary, text binary").where(F.octet_length("text") >= CODE * words)
+    names = coded.select(F.expr(TEXT_KEY.replace("text", "raw")).alias("_key"), F.expr(TEXT_KEY).alias("key")).distinct()
+    found = _spans(coded.select("text"), CODE * words, most_types)
+    return staged(names.join(found, "key").select(F.col("_key").alias("key"), F.col("spans").alias("coded")), "passages")
+
+
+def find_repeats(
+    docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None, most_types: int = MOST_TYPES, words: int = 0
+) -> DataFrame:
+    """row (the columns ``keep``, by default all), text (bytes), spans (flat starts and ends of
+    what is to be removed, unmerged) of every document.
+
+    A null or empty text has no bytes; texts below ``length`` bytes repeat nothing; equal texts
+    of at least ``length`` bytes repeat each other as a whole; an empty table gives no rows.
+    Columns but text are carried along only. Strings are compared by 64-bit hashes of whole
+    contexts and by their bytes. With ``words``, passages of that many words (runs of non-blank
+    bytes, whatever blanks part them) that occur more than once are found besides, however few
+    bytes they have; their words are compared by 48-bit hashes.
+    """
+    spans = _spans(docs, length, most_types)
     own = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
     raw = text_or_empty().cast("binary")
     rows = docs.select(own, raw.alias("text")).withColumn(
         "key", F.expr(TEXT_KEY)
     )
-    return rows.join(spans, "key", "left").select("row", "text", "spans")
+    if not words:
+        return rows.join(spans, "key", "left").select("row", "text", "spans")
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = []
+            for text, flat, coded in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
+                flat = np.array(flat.as_py() or [], np.int64)
+                if coded.is_valid:
+                    flat = np.append(flat, passage_spans(text.as_py(), np.array(coded.as_py(), np.int64), words))
+                every.append(flat)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(every, pa.list_(pa.int64()))], ["row", "text", "spans"])
+
+    passages = _passages(docs, words, most_types)
+    none = F.lit(None).cast("array<bigint>")
+    merged = (
+        spans.withColumn("coded", none)
+        .unionByName(passages.withColumn("spans", none))
+        .groupBy("key")
+        .agg(F.first("spans", True).alias("spans"), F.first("coded", True).alias("coded"))
+    )
+    found = rows.join(merged, "key", "left").select("row", "text", "spans", "coded")
+    kind = found.schema["row"].dataType.simpleString()
+    return map_arrow(found, both, f"row {kind}, text binary, spans array<bigint>")
 
 
 def removal_report(repeats: DataFrame) -> DataFrame:
@@ -548,9 +627,10 @@ def removal_report(repeats: DataFrame) -> DataFrame:
     return found.select("row.*", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` without the repeated strings, n_chars set anew; no row goes. A character that a
-    removed run covers in part only is removed with it, so texts stay valid."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
+    """``docs`` without the repeated strings (and passages of ``words`` words), n_chars set anew;
+    no row goes. A character that a removed run covers in part only is removed with it, so texts
+    stay valid."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -567,7 +647,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 texts.append("".join(x.decode("utf-8", "ignore") for x in kept) if len(start) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "new"])
 
-    found = find_repeats(docs, length)
+    found = find_repeats(docs, length, words=words)
     kind = found.schema["row"].dataType.simpleString()
     both = map_arrow(found, run, f"row {kind}, new string")
     columns = []

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 
 import check
 import numpy as np
@@ -272,6 +273,49 @@ def test_repeated_strings(spark, edge, most):
     assert suffix_dedup.removal_report(suffix_dedup.find_repeats(edge.limit(0))).count() == 0
 
 
+def plain_passages(texts, words=51, length=400):
+    """Texts without strings of ``length`` bytes and passages of ``words`` words that repeat."""
+    raw = [t.encode() for t in texts]
+    places = [[m.span() for m in re.finditer(rb"[^ \t-\r]+", t)] for t in raw]
+    runs = [[tuple(t[a:b] for a, b in p[j : j + words]) for j in range(len(p) - words + 1)] for t, p in zip(raw, places, strict=True)]
+    count = collections.Counter(w for x in runs for w in x)
+    strings = collections.Counter(t[j : j + length] for t in raw for j in range(len(t) - length + 1))
+    out = []
+    for t, p, own in zip(raw, places, runs, strict=True):
+        gone = np.zeros(len(t), bool)
+        for j, w in enumerate(own):
+            if count[w] > 1:
+                gone[p[j][0] : p[j + words - 1][1]] = True
+        for j in range(len(t) - length + 1):
+            if strings[t[j : j + length]] > 1:
+                gone[j : j + length] = True
+        kept = np.split(np.arange(len(t)), np.flatnonzero(np.diff(gone)) + 1)
+        out.append("".join(t[x[0] : x[-1] + 1].decode("utf-8", "ignore") for x in kept if len(x) and not gone[x[0]]))
+    return out
+
+
+def test_pipeline_cuts_short_repeated_passages(spark, folder):
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    fresh = lambda n: [f"{rng.choice('abcé')}{rng.randrange(10**6)}" for _ in range(n)]
+    short = lambda n: [rng.choice("abcdefghij") + rng.choice(["", "x", "y"]) for _ in range(n)]
+    exact, under, longer = short(51), short(50), short(70)
+    solid = "".join(rng.choices("mnopq日", k=450))
+    rows = []
+    for part in (exact, exact, under, under, longer, longer[9:], longer[:62], [solid], [solid[20:430]], fresh(60)):
+        words = fresh(rng.randrange(30)) + part + fresh(rng.randrange(30))
+        rows.append("".join(w + rng.choice([" ", "  ", "\n", "\t"]) for w in words))
+    rows += [" ".join(exact), "", "one", " \n"]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(rows)] + [(99, None, 0)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in dict(corpus_pipeline.STAGES)["repeated_strings"](spark, docs, folder).collect()}
+    want = plain_passages(rows)
+    assert [got[i].text for i in range(len(rows))] == want and got[99].text is None
+    assert all(got[i].n_chars == len(want[i]) for i in range(len(rows)))
+    assert " ".join(exact) not in " ".join(want[0].split()) and want[10] == ""
+    assert " ".join(under) in " ".join(want[2].split())  # 50 words stay
+
+
 def test_blind_trie_sorts():
     rng = random.Random(3)
     for _ in range(200):
