@@ -1,8 +1,9 @@
 """Language-model scores of texts by prediction by partial matching, learned from the corpus.
 
-The model is a trie of byte contexts inside words: up to ORDER bytes before a symbol, where
-blanks stand for the word's start, its end is the symbol blank, and an end of text is a word of
-no bytes. It is held as counted paths (context and symbol, ORDER + 1 bytes) of a distributed
+The model is a trie of byte contexts: up to ORDER bytes before a symbol, where blanks stand for
+the text's start, one blank ends every word, and one more the text. Contexts run over the ends
+of words; where texts are taken as single words they stop there, blanks stand for the word's
+start, and an end of text is a word of no bytes. The trie is held as counted paths (context and symbol, ORDER + 1 bytes) of a distributed
 table. A symbol that a context hasn't seen is reached by an escape (method D: half a count of
 every seen symbol) to the next shorter context, where the longer one's symbols are excluded.
 
@@ -20,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_arrow, read, ship, staged, sums_by, text_or_empty, word_codes
+from .common import crc_mod, map_arrow, raw_bytes, read, ship, staged, sums_by, text_or_empty, word_codes
 
-ORDER = 5
+ORDER = 6
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 24_000_000
+#: Words of texts whose paths are made at once.
+SLICE_WORDS = 400_000
 BLANK = 0x20
 WORD, PATH = b"w", b"p"
 
@@ -37,14 +40,40 @@ def paths_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All paths of the words as integers (ORDER context bytes, then the symbol), and how many each has."""
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     gap = b" " * ORDER
-    line = np.frombuffer(gap + gap.join(words) + gap, np.uint8).astype(np.int64)
     # A word and the blank that ends it give a symbol each; the other blanks are only context.
     first = ORDER + np.cumsum(lengths + ORDER - 1) - (lengths + ORDER - 1)
+    return _paths_at(gap + gap.join(words) + gap, first, lengths), lengths
+
+
+def _paths_at(raw: bytes, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Paths of runs of symbols, from where each begins and how many it has."""
+    line = np.frombuffer(raw, np.uint8).astype(np.int64)
     at = np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
     path = np.zeros(len(at), np.int64)
     for back in range(ORDER, -1, -1):
         path = path << 8 | line[at - back]
-    return path, lengths
+    return path
+
+
+def stream_paths(words: list[bytes], codes: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Paths of texts (``lengths`` words each, by their codes), their words joined by one blank.
+
+    For slices of the texts: the first, the one after the last, the slice's distinct paths, the
+    number of each of its symbols' path among them, and how many symbols each text has.
+    """
+    gap, ends = b" " * ORDER, np.cumsum(lengths)
+    part = ends // SLICE_WORDS
+    edge = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+    for a, b in zip(edge, [*edge[1:], len(lengths)], strict=True):
+        texts = []
+        for i in range(a, b):
+            own = [words[c] for c in codes[ends[i] - lengths[i] : ends[i]].tolist()]
+            # Every word is ended by a blank, and the text by one more.
+            texts.append(gap + b" ".join([*own, b" "]))
+        many = np.fromiter(map(len, texts), np.int64, len(texts)) - ORDER
+        first = np.cumsum(many + ORDER) - many
+        coded = pa.array(_paths_at(b"".join(texts), first, many)).dictionary_encode()
+        yield int(a), int(b), coded.dictionary.to_numpy(), coded.indices.to_numpy(), many
 
 
 END_PATH = int.from_bytes(b" " * (ORDER + 1), "big")
@@ -61,7 +90,7 @@ def path_keys(paths: np.ndarray) -> pa.Array:
 
 
 def paths_from(keys: pa.Array) -> np.ndarray:
-    raw = np.frombuffer(b"".join(keys.to_pylist()), np.uint8).reshape(-1, ORDER + 2).astype(np.int64)
+    raw = raw_bytes(keys)[0].reshape(-1, ORDER + 2)
     path = np.zeros(len(raw), np.int64)
     for i in range(ORDER + 1):
         path = path << 8 | raw[:, i + 1]
@@ -126,7 +155,7 @@ def path_scores(paths: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.
 # --- jobs ---------------------------------------------------------------------------------------
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
+def _blocks(docs: DataFrame, over_words: bool) -> DataFrame:
     """Documents as word codes, and the dictionary of their block, in one staged table.
 
     Rows of documents have ``codes``; rows of keys have ``key`` (a word or a path), ``code`` of a
@@ -149,9 +178,15 @@ def _blocks(docs: DataFrame) -> DataFrame:
         yield from rows(number, len(lists), ids=ids, held_out=pa.array(held), codes=pa.array(packed, pa.binary()))
         keys = pa.array([WORD + w for w in words], pa.binary())
         yield from rows(number, len(words), key=keys, code=pa.array(np.arange(len(words), dtype=np.int32)), n=pa.array(counts))
-        path, many = paths_of(words) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        path = np.append(path, END_PATH)
-        weight = np.append(np.repeat(counts, many), (~held).sum())
+        if over_words:
+            path, weight = np.zeros(0, np.int64), np.zeros(0)
+            for a, b, own, place, many in stream_paths(words, codes, lengths):
+                path = np.append(path, own)
+                weight = np.append(weight, np.bincount(place, np.repeat(~held[a:b], many), len(own)))
+        else:
+            path, many = paths_of(words) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            path = np.append(path, END_PATH)
+            weight = np.append(np.repeat(counts, many), (~held).sum())
         paths, place = np.unique(path, return_inverse=True)
         n = np.bincount(place, weight, len(paths)).astype(np.int64)
         yield from rows(number, len(paths), key=path_keys(paths), n=pa.array(n))
@@ -187,17 +222,18 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return staged(map_arrow(source, run, f"doc_id {kind}, {fields}"), "lm-blocks")
 
 
-def score_texts(docs: DataFrame) -> DataFrame:
+def score_texts(docs: DataFrame, over_words: bool = False) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of whole texts.
 
     Learns from documents whose crc32(doc_id as text) mod 7 is not 2 (a null id counts as the
     empty text). A null, empty or blank text is one token, its end; repeated rows count and are
     scored each; other columns are ignored; an empty table has no scores. ``base_score`` is the
     add-one word model, ``score`` the byte-context model, both log10 of the text's probability.
+    With ``over_words`` its contexts run over the ends of words, else they stop there.
     """
     spark = docs.sparkSession
     ship(spark)
-    blocks = _blocks(docs)
+    blocks = _blocks(docs, over_words)
     keys = blocks.where("key is not null").select("block", "key", "code", "n")
     counted = staged(keys.groupBy("key").agg(F.sum("n").alias("count")), "lm-counts")
     is_path = F.expr("substring(key, 1, 1) = X'70'")
@@ -244,18 +280,21 @@ def score_texts(docs: DataFrame) -> DataFrame:
         own = np.argsort(code.drop_null().to_numpy())
         names = [k[1:] for k in key.filter(pa.array(is_word)).take(pa.array(own)).to_pylist()]
         word_count = count[is_word][own]
-        if names:
-            every, many = paths_of(names)
-            word_score = sums_by(path_score[np.searchsorted(path, every)], many)
-        else:
-            word_score = np.zeros(0)
-        end_score = path_score[np.searchsorted(path, END_PATH)]
         packed = texts.column("codes").to_pylist()
         lengths = np.fromiter((len(x) // 4 for x in packed), np.int64, len(packed))
         codes = np.frombuffer(b"".join(packed), np.int32)
         base = sums_by((np.log10(word_count + 1.0) - total)[codes], lengths) + ends[1]
         n_known = sums_by((word_count > 0)[codes].astype(np.int64), lengths) + (ends[0] > 0)
-        full = sums_by(word_score[codes], lengths) + end_score
+        if over_words:
+            full = np.zeros(len(lengths))
+            for a, b, own, place, many in stream_paths(names, codes, lengths):
+                full[a:b] = sums_by(path_score[np.searchsorted(path, own)][place], many)
+        else:
+            word_score = np.zeros(0)
+            if names:
+                every, many = paths_of(names)
+                word_score = sums_by(path_score[np.searchsorted(path, every)], many)
+            full = sums_by(word_score[codes], lengths) + path_score[np.searchsorted(path, END_PATH)]
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
@@ -276,4 +315,4 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of every document under the word model and the byte-context model."""
-    return score_texts(read(spark, folder, "documents"))
+    return score_texts(read(spark, folder, "documents"), over_words=True)

@@ -154,6 +154,30 @@ def test_lm_scores(spark, folder, texts, edge):
     assert lm_scoring.score_texts(edge.limit(0)).count() == 0
 
 
+def test_lm_contexts_run_over_word_ends(spark, folder, texts, edge, monkeypatch):
+    streams = lambda t: b"".join(w + b" " for w in (t or "").encode().lower().split())
+    some = [(i, t) for i, t in texts.items() if i < 40]
+    docs = read(spark, folder, "documents").where("doc_id < 40")
+    for df, rows in ((docs, some), (edge, EDGES + EDGES[3:4])):
+        learned = [streams(t) for i, t in rows if crc_mod(i, 7) != 2]
+        ppm = plain_ppm(collections.Counter(x for x in learned if x), sum(not x for x in learned))
+        want = sorted((str(i), round(ppm(streams(t)), 6)) for i, t in rows)
+        got = sorted((str(r.doc_id), round(r.score, 6)) for r in lm_scoring.score_texts(df, over_words=True).collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=1e-5)
+    assert lm_scoring.score_texts(edge.limit(0), over_words=True).count() == 0
+    assert lm_scoring.ORDER >= 6
+    rows = [(i, "red cat. " * 5 if i % 2 else "old dog. " * 5) for i in range(40)] + [(100, "red cat."), (101, "red dog.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in lm_scoring.score_texts(df, over_words=True).collect() if r.doc_id >= 100}
+    assert score[100] > score[101] + 1  # the word before tells the next one
+    words, codes, lengths = [b"a", b"bc"], np.array([0, 1, 1, 0, 0, 1]), np.array([2, 0, 3, 1])
+    whole = [(own[place].tolist(), many.tolist()) for _, _, own, place, many in lm_scoring.stream_paths(words, codes, lengths)]
+    monkeypatch.setattr(lm_scoring, "SLICE_WORDS", 2)
+    parts = [(own[place].tolist(), many.tolist()) for _, _, own, place, many in lm_scoring.stream_paths(words, codes, lengths)]
+    assert len(whole) == 1 and len(parts) > 2 and whole[0] == (sum((p for p, _ in parts), []), sum((m for _, m in parts), []))
+
+
 # --- archives -----------------------------------------------------------------------------------
 
 
