@@ -5,7 +5,8 @@ hash), cut into blocks of a fixed length. A source whose target is t words of it
 ``t div w`` whole epochs of its blocks and a part of one more. Every slot of an epoch is mapped
 to a block by a permutation of the block numbers (swap-or-not, keyed by source and epoch), so
 that an epoch takes each block once. Slots are thrown at output shards independently, which
-makes the source counts of a shard multinomial, given the totals.
+makes the source counts of a shard multinomial, given the totals. The mix is written out: each
+slot's block packed with its words, one folder for a shard.
 """
 
 from __future__ import annotations
@@ -33,6 +34,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.length(F.translate(marked, BLANKS, "")), F.lit(0)).cast("long")
 
 
+def words_of(text: str) -> str:
+    """The words that ``word_count`` counts, as an expression (the blanks end no pattern of SQL text)."""
+    codes = ", ".join(f"char({ord(c)})" for c in BLANKS)
+    return f"filter(split(translate({text}, concat({codes}), space({len(BLANKS)})), ' +'), x -> x <> '')"
+
+
 def source_targets(
     sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS
 ) -> DataFrame:
@@ -95,48 +102,73 @@ class Mix:
     ``sources``: source, source_no, source_size, weight, target. ``slots``: source_no, epoch,
     slot, shard, block, words (fewer than a whole block only in a source's last slot or in its
     stream's last block). ``documents``: doc_id, source_no, size, start (place in the source's stream).
+    ``texts``: the same with text.
     """
 
     sources: DataFrame
     documents: DataFrame
+    texts: DataFrame
     slots: DataFrame
     block_words: int
+    _written: DataFrame | None = None
 
     def shard_counts(self) -> DataFrame:
         """Slots of each source in each output shard: the multinomial draw."""
         return self.slots.groupBy("shard", "source_no").agg(F.count(F.lit(1)).alias("slots"))
 
-    def pieces(self) -> DataFrame:
-        """The part of a document that lies in a block: words from ``at`` to ``until`` of it."""
+    def blocks(self) -> DataFrame:
+        """source_no, block, pieces of its documents in order: words from ``at`` to ``until`` of the block."""
         n = self.block_words
-        some = self.documents.where("size > 0")
-        block = some.select(
-            "*", F.explode(F.expr(f"sequence(start div {n}, (start + size - 1) div {n})")).alias("block")
+        # The words are the element of an outer array, so that they are split once and not for each block.
+        pieces = F.expr(
+            f"""transform(array({words_of("text")}), w ->
+                  transform(sequence(start div {n}, (start + size - 1) div {n}), b -> named_struct(
+                    'block', b, 'at', greatest(0L, start - b * {n}), 'until', least({n}L, start + size - b * {n}),
+                    'text', array_join(slice(w, cast(greatest(0L, b * {n} - start) as int) + 1, cast(
+                      least({n}L, start + size - b * {n}) - greatest(0L, start - b * {n}) as int)), ' '))))[0]"""
         )
-        return block.select(
-            "doc_id", "source_no", "size", "start", "block",
-            F.greatest(F.lit(0), F.col("start") - F.col("block") * n).alias("at"),
-            F.least(F.lit(n), F.col("start") + F.col("size") - F.col("block") * n).alias("until"),
-        )
+        some = self.texts.where("size > 0").select("doc_id", "source_no", "size", "start", F.explode(pieces).alias("p"))
+        piece = F.struct("p.at", "p.until", "start", "size", "doc_id", "p.text")  # at most a word's piece each
+        return some.groupBy("source_no", F.col("p.block").alias("block")).agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+
+    def written(self) -> DataFrame:
+        """The mix: shard, source_no, epoch, slot, block, words, text, and the documents that it is of.
+
+        Rows of a shard lie in a folder of their own, in the order of a hash. ``pieces`` has
+        doc_id, size, start and the words taken of each document. Made once.
+        """
+        if self._written is None:
+            # Slots are few per block (max_repeats + 1 at most), so blocks join with their uses.
+            every = self.slots.join(self.blocks(), ["source_no", "block"])
+            whole = F.expr("array_join(transform(pieces, p -> p.text), ' ')")
+            rows = every.select(
+                "shard", "source_no", "epoch", "slot", "block", "words",
+                F.when(F.expr("element_at(pieces, -1).until <= words"), whole)
+                .otherwise(F.array_join(F.slice(F.split(whole, " "), 1, F.col("words").cast("int")), " "))
+                .alias("text"),
+                F.expr(
+                    """transform(filter(pieces, p -> p.at < words), p -> named_struct(
+                         'doc_id', p.doc_id, 'size', p.size, 'start', p.start, 'words', least(p.until, words) - p.at))"""
+                ).alias("pieces"),
+            )
+            order = F.xxhash64(F.lit(SEED + 2), "source_no", "slot")
+            laid = rows.repartition("shard").sortWithinPartitions("shard", order, "source_no", "slot")
+            self._written = staged(laid, "mix-shards", by="shard")
+        return self._written
 
     def taken(self) -> DataFrame:
-        """Words that the mix takes of each document, repeats counted."""
-        # Slots are few per block (max_repeats + 1 at most), so blocks join with their uses.
-        uses = self.slots.groupBy("source_no", "block", "words").agg(F.count(F.lit(1)).alias("times"))
-        part = F.greatest(F.lit(0), F.least("until", "words") - F.col("at")) * F.col("times")
+        """Words that the mix takes of each document, repeats counted, from the written mix."""
+        own = self.written().select("source_no", F.explode("pieces").alias("p"))
+        key = ("source_no", "start", "size", "doc_id")
         used = (
-            self.pieces()
-            .join(uses, ["source_no", "block"], "left")
-            .groupBy("source_no", "start", "size", "doc_id")
-            .agg(F.coalesce(F.sum(part), F.lit(0)).cast("long").alias("taken"))
-        )
-        none = self.documents.where("size = 0").select(
-            "source_no", "start", "size", "doc_id", F.lit(0).cast("long").alias("taken")
+            own.select("source_no", "p.start", "p.size", "p.doc_id", F.col("p.words").alias("taken"))
+            .unionByName(self.documents.select(*key, F.lit(0).cast("long").alias("taken")))
+            .groupBy(*key)
+            .agg(F.sum("taken").cast("long").alias("taken"))
         )
         about = self.sources.select("source_no", "source_size", "target", F.col("source").alias("source"))
         return (
-            used.unionByName(none)
-            .join(about, "source_no")
+            used.join(about, "source_no")
             .select("doc_id", "source", "size", "source_size", "target", "taken")
         )
 
@@ -154,38 +186,44 @@ def mix_sources(
     tables. A hot source is spread by hash buckets: no window, slot list or join holds more than
     a bucket, a chunk or a block of it.
     """
-    rows = staged(
-        docs.select(
-            "doc_id",
-            "source",
-            word_count(F.col("text")).alias("size"),
-            F.xxhash64("doc_id", "text").alias("_hash"),
-        ),
-        "mix-rows",
+    full = docs.select(
+        "doc_id",
+        "source",
+        "text",
+        word_count(F.col("text")).alias("size"),
+        F.xxhash64("doc_id", "text").alias("_hash"),
     )
+    rows = staged(full.drop("text"), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = staged(source_targets(sizes, weights, max_repeats), "mix-sources")
 
     buckets = max(1, rows.count() // ROWS_PER_BUCKET)
-    placed = rows.withColumn("_bucket", F.pmod("_hash", F.lit(buckets))).join(
-        sources.select(F.col("source").alias("_source"), "source_no"),
-        F.col("source").eqNullSafe(F.col("_source")),
-    )
+
+    def placed(some: DataFrame) -> DataFrame:
+        return some.withColumn("_bucket", F.pmod("_hash", F.lit(buckets))).join(
+            sources.select(F.col("source").alias("_source"), "source_no"),
+            F.col("source").eqNullSafe(F.col("_source")),
+        )
+
     inside = Window.partitionBy("source_no", "_bucket").orderBy("_hash", "doc_id", "size")
-    bucket_sizes = placed.groupBy("source_no", "_bucket").agg(F.sum("size").alias("_sum"))
+    bucket_sizes = placed(rows).groupBy("source_no", "_bucket").agg(F.sum("size").alias("_sum"))
     along = Window.partitionBy("source_no").orderBy("_bucket")
     starts = bucket_sizes.select(
         "source_no", "_bucket",
         F.coalesce(F.sum("_sum").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"),
     )
-    documents = (
-        placed.withColumn(
-            "_local",
-            F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+
+    def in_stream(some: DataFrame) -> DataFrame:
+        local = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        return (
+            placed(some)
+            .withColumn("_local", local)
+            .join(starts, ["source_no", "_bucket"])
+            .withColumn("start", F.col("_base") + F.col("_local"))
         )
-        .join(starts, ["source_no", "_bucket"])
-        .select("doc_id", "source_no", "size", (F.col("_base") + F.col("_local")).alias("start"))
-    )
+
+    documents = in_stream(rows).select("doc_id", "source_no", "size", "start")
+    texts = in_stream(full.where("size > 0")).select("doc_id", "source_no", "size", "start", "text")
 
     n = block_words
     shared = (
@@ -230,7 +268,7 @@ def mix_sources(
         .withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED + 1), "source_no", "slot"), F.lit(shards)))
         .select("source_no", "epoch", "slot", "shard", "block", "words")
     )
-    return Mix(sources, documents, slots, block_words)
+    return Mix(sources, documents, texts, slots, block_words)
 
 
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:

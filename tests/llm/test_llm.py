@@ -424,6 +424,39 @@ def test_mix(spark, folder, edge):
     assert mixing.mix_sources(edge.limit(0)).taken().count() == 0
 
 
+def test_written_mix(spark, edge, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS_PER_SHARD", 40)
+    rng = random.Random(8)
+    blank = lambda: rng.choice([" ", "  ", "\n", "\t\x0b", "\r\x0c"])
+    rows = [(i, "".join(f"{rng.choice('aé日')}{rng.randrange(99)}" + blank() for _ in range(rng.choice([0, 1, 3, 30, 400]))), rng.choice(["a", "a", "b", None])) for i in range(120)]
+    rows += rows[:3]
+    for docs in (spark.createDataFrame(rows, "doc_id long, text string, source string"), edge):
+        text = {r.doc_id: (r.text or "").encode().split() for r in docs.collect()}
+        mix = mixing.mix_sources(docs)
+        stream, owner = collections.defaultdict(dict), collections.defaultdict(dict)
+        for d in mix.documents.collect():
+            for k in range(d["size"]):
+                stream[d.source_no][d.start + k] = text[d.doc_id][k]
+                owner[d.source_no][d.start + k] = d.doc_id
+        slots = {(s.source_no, s.slot): s for s in mix.slots.collect()}
+        got, taken = mix.written().collect(), collections.Counter()
+        assert len(got) == len(slots) and {(r.source_no, r.slot) for r in got} == set(slots)
+        for r in got:
+            s, place = slots[r.source_no, r.slot], range(r.block * 64, r.block * 64 + r.words)
+            assert (r.shard, r.block, r.words, r.epoch) == (s.shard, s.block, s.words, s.epoch)
+            assert r.text.encode() == b" ".join(stream[r.source_no][k] for k in place)
+            taken.update(owner[r.source_no][k] for k in place)
+        want = collections.Counter((s.shard, s.source_no) for s in slots.values())
+        assert collections.Counter((r.shard, r.source_no) for r in got) == want == {(c.shard, c.source_no): c.slots for c in mix.shard_counts().collect()}
+        shards = max(1, len(slots) // 40)
+        assert {s for s, _ in want} <= set(range(shards)) and (shards == 1 or len({s for s, _ in want}) > shards // 2)
+        assert all(f"/shard={r.shard}/" in r.file for r in mix.written().selectExpr("shard", "input_file_name() as file").collect())
+        totals = collections.Counter()
+        for r in mix.taken().collect():
+            totals[r.doc_id] += r.taken
+        assert totals == taken
+
+
 # --- search -------------------------------------------------------------------------------------
 
 
