@@ -29,7 +29,7 @@ ZERO_BITS, MANTISSA_BITS = 6, 26
 #: Members of a band that are compared as one block; larger bands are split to pairs of blocks.
 BLOCK = 256
 #: The estimate must be that many standard errors below the threshold to drop a pair unverified.
-MARGIN = 4.5
+MARGIN = 6.0
 
 
 # --- sets and sketches --------------------------------------------------------------------------

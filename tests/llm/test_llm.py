@@ -243,6 +243,17 @@ def test_differing_registers_never_part_linked_sets():
     assert not minhash_dedup.may_link(a, b, np.array([20]), np.array([20]), 80)[0]
 
 
+def test_estimates_far_below_the_threshold_are_verified(spark):
+    rng = np.random.default_rng(11)
+    one = rng.integers(1, 2**32, minhash_dedup.REGISTERS, dtype=np.uint32)
+    other = one.copy()
+    other[-95:] = rng.integers(1, 2**32, 95, dtype=np.uint32)  # 193 of 288 agree: 5.5 standard errors below 0.8
+    rows = [(1, 2000, bytearray(one.tobytes())), (2, 2000, bytearray(other.tobytes()))]
+    classes = spark.createDataFrame(rows, "id long, n long, registers binary")
+    met = spark.createDataFrame([(7, 0, i, i, 2) for i in (1, 2)], "band long, no byte, id long, component long, _n long")
+    assert [tuple(r) for r in minhash_dedup._open_pairs(met, classes, 80).collect()] == [(2, 1)]
+
+
 def test_near_duplicates(spark, folder, texts, edge):
     for r in queries.QUERIES["op5_minhash_dedup"](spark, folder).collect():
         want = test_near_duplicates.__dict__.setdefault("want", plain_components(list(texts.items()), 2))
