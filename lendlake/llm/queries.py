@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lm_scoring, minhash_dedup, mixing, quality, suffix_dedup, token_counts, topk, toxicity, warc_index
+from . import (
+    conversations, decontaminate, hard_negatives, lm_scoring, minhash_dedup, mixing, quality, sharding, suffix_dedup,
+    token_counts, topk, toxicity, warc_index,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -21,10 +24,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mixing.op8_mix_sources,
         quality.op9_quality,
         topk.op10_exact_topk,
+        hard_negatives.op11_hard_negatives,
+        sharding.op12_shard_documents,
+        conversations.op13_repair_conversations,
     )
 }
 
 CHECKS: dict[str, str] = {
     "op4_warc_index": warc_index.ORACLE_SQL,
     "op10_exact_topk": topk.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
 }
