@@ -45,7 +45,7 @@ def running(df: DataFrame, by: Sequence[str], at: str, value: str) -> DataFrame:
     inside = Window.partitionBy(*by, "_group").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     return (
         grouped.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(starts, [*by, "_group"])
+        .join(starts.hint("merge"), [*by, "_group"])
         .withColumn("before", F.col("_start") + F.col("_inside"))
         .drop("_group", "_start", "_inside")
     )
@@ -87,7 +87,7 @@ def places(counts: DataFrame, buckets: int, total: int, shards: int, seed: int)
     sizes = counts.groupBy("_source").agg(F.sum("n").alias("_size"))
     offset = (F.pmod(F.xxhash64(F.lit(seed), "_source"), F.lit(1 << 20)) + 0.5) / (1 << 20)
     rows = (
-        ranked.join(sizes, "_source")
+        ranked.join(sizes.hint("merge"), "_source")
         .select("_bucket", "_source", "_size", "before", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("_local"))
         .withColumn("_fraction", (F.col("before") + F.col("_local") + offset) / F.col("_size"))
         .withColumn("_range", F.least(F.floor(F.col("_fraction") * buckets), F.lit(buckets - 1)).cast("long"))
@@ -97,7 +97,7 @@ def places(counts: DataFrame, buckets: int, total: int, shards: int, seed: int)
     order = Window.partitionBy("_range").orderBy("_fraction", (F.col("_source") == "").asc(), "_source")
     placed = (
         rows.withColumn("_inside", F.row_number().over(order) - 1)
-        .join(starts.select("_range", F.col("before").alias("_start")), "_range")
+        .join(starts.select("_range", F.col("before").alias("_start")).hint("merge"), "_range")  # Catalyst can't tell the exploded rows' size
         .withColumn("_place", F.col("_start") + F.col("_inside"))
         .withColumn("_shard", F.expr(f"cast(_place * {shards} div {total} as int)"))
         .withColumn("_slot", F.expr(f"_place - (cast(_shard as bigint) * {total} + {shards - 1}) div {shards}"))
