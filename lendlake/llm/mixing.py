@@ -139,7 +139,8 @@ class Mix:
         """
         if self._written is None:
             # Slots are few per block (max_repeats + 1 at most), so blocks join with their uses.
-            every = self.slots.join(self.blocks(), ["source_no", "block"])
+            # Catalyst takes the exploded slots for a few bytes, so the join is asked for by name.
+            every = self.slots.join(self.blocks().hint("merge"), ["source_no", "block"])
             whole = F.expr("array_join(transform(pieces, p -> p.text), ' ')")
             rows = every.select(
                 "shard", "source_no", "epoch", "slot", "block", "words",
@@ -160,11 +161,14 @@ class Mix:
         """Words that the mix takes of each document, repeats counted, from the written mix."""
         own = self.written().select("source_no", F.explode("pieces").alias("p"))
         key = ("source_no", "start", "size", "doc_id")
+        every = self.documents.select(*key, F.lit(0).cast("long").alias("taken"))
+        # Documents with words have starts of their own; those without share them, and are rows as they are.
         used = (
             own.select("source_no", "p.start", "p.size", "p.doc_id", F.col("p.words").alias("taken"))
-            .unionByName(self.documents.select(*key, F.lit(0).cast("long").alias("taken")))
+            .unionByName(every.where("size > 0"))
             .groupBy(*key)
             .agg(F.sum("taken").cast("long").alias("taken"))
+            .unionByName(every.where("size = 0"))
         )
         about = self.sources.select("source_no", "source_size", "target", F.col("source").alias("source"))
         return (

@@ -435,6 +435,21 @@ def test_mix(spark, folder, edge):
     assert mixing.mix_sources(edge.limit(0)).taken().count() == 0
 
 
+def test_rows_without_words_stay_rows(spark):
+    rows = [(1, None, "s"), (1, None, "s"), (2, "", "s"), (2, "", "s"), (3, "a b c", "s"), (3, "a b c", "s")]
+    mix = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got = mix.taken().collect()
+    assert sorted((r.doc_id, r["size"]) for r in got) == [(1, 0), (1, 0), (2, 0), (2, 0), (3, 3), (3, 3)]
+    assert sum(r.taken for r in got) == 6
+
+
+def test_slots_are_not_broadcast(spark, folder):
+    mix = mixing.mix_sources(read(spark, folder, "documents"))
+    plan = mix.slots.join(mix.blocks().hint("merge"), ["source_no", "block"])._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert "SortMergeJoin" in joins[0]
+
+
 def test_written_mix(spark, edge, monkeypatch):
     monkeypatch.setattr(mixing, "SLOTS_PER_SHARD", 40)
     rng = random.Random(8)
