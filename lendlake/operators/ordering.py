@@ -217,6 +217,22 @@ def top_rows(df: DataFrame, by: str, tie_break: Sequence[str], n: int) -> DataFr
     return df.orderBy(F.col(by).desc_nulls_last(), *[F.asc_nulls_last(k) for k in tie_break]).limit(n)
 
 
+def top_wide_rows(df: DataFrame, by: str, key: Sequence[str], n: int) -> DataFrame:
+    """``top_rows`` of a wide or expensive frame: the n best from (key, value) alone, then their rows.
+
+    The first pass reads the key and the value and keeps n rows a task. Its n keys come back as
+    literals, so the second pass prunes files and row groups by them, and only n rows are joined
+    and computed in full. ``key`` orders ties; a row without a key can't be among them.
+    """
+    best = top_rows(df.select(*dict.fromkeys([*key, by])), by, key, n).select(*key).toArrow()  # n rows
+    if not best.num_rows:
+        return df.limit(0)
+    found = df.sparkSession.createDataFrame(best)
+    first = sorted({v for v in best.column(key[0]).to_pylist() if v is not None})
+    near = df.where(F.col(key[0]).isin(first))
+    return top_rows(near.join(F.broadcast(found.distinct()), list(key), "left_semi"), by, key, n)
+
+
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """Fixed-size random sample without replacement: the n smallest seeded key hashes."""
     h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))

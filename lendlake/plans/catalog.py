@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.portfolio import Portfolio
+from ..sources.store import StoredPortfolio
 from . import model_queries, report_queries, rule_queries, table_queries  # noqa: F401  (register)
 from .registry import CHECKS, QUERIES
 
 
 def _on_folder(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(Portfolio(spark, folder))
+        return fn(StoredPortfolio(spark, folder))
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     return run

@@ -24,7 +24,7 @@ from ..functions.scalars import (
     rounded_mean,
 )
 from ..operators.model import MODEL_VERSION, band_rank
-from ..operators.ordering import top_rows
+from ..operators.ordering import top_wide_rows
 from ..sources.tables import row_count
 
 RATE_METRICS = ["default_rate", "chargeoff_rate", "avg_cashflow_stress", "avg_behavioral_risk"]
@@ -350,7 +350,7 @@ def explained_accounts(
     found = audit.where(
         (F.col("model_version") == version) & F.col("top_shap_feature_1").isNotNull()
     )
-    return top_rows(found, "predicted_pd", tie_break, n).select(
+    return top_wide_rows(found, "predicted_pd", tie_break, n).select(
         "account_id",
         "customer_id",
         "risk_band",
@@ -381,7 +381,7 @@ def spotlight(
         "cashflow_stress_score",
         "behavioral_risk_score",
     ]
-    top = top_rows(
+    top = top_wide_rows(
         _audited(audit, dataset, key, columns, product, band, version), "predicted_pd", tie_break, n
     )
     digits = {"fico_score": 1}

@@ -29,7 +29,7 @@ from ..operators.stress import (
     scenario_months,
 )
 from .dimensions import bounded_dimension, checked_broadcast, repeat_for
-from .tables import load, staged
+from .tables import load
 
 # Columns of the input tables; with them Spark need not open files to find the schema.
 INPUTS = {
@@ -157,15 +157,16 @@ class Portfolio:
             F.max("disc").alias("max_disc"),
         )
 
+    @cached_property
+    def calendar(self) -> DataFrame:
+        """Distinct observed months; one column is read to find them."""
+        return self.table("lineitem", "l_shipdate").select(month_start("l_shipdate").alias("month")).distinct()
+
     @cached_property
     def months(self) -> DataFrame:
-        """Distinct observed months with their index; one column is read to find them."""
-        months = self.table("lineitem", "l_shipdate").select(
-            month_start("l_shipdate").alias("month")
-        )
+        """The calendar with the months' index, as a known small relation."""
         index = f"(year(month) - {FIRST_YEAR}) * 12 + month(month) - 1 as month_index"
-        found = bounded_dimension(months.distinct())
-        return found.selectExpr("month", index)
+        return bounded_dimension(self.calendar).selectExpr("month", index)
 
     @cached_property
     def macro_monthly(self) -> DataFrame:
@@ -358,11 +359,6 @@ class Portfolio:
         """Audit rows as the scoring step writes them, before calibration and explanation."""
         return audit_records(self.baseline_scored)
 
-    @cached_property
-    def stored_audit(self) -> DataFrame:
-        """The audit table as reports meet it: written once, then read with pushed-down filters."""
-        return staged(self.audit, "audit")
-
     @cached_property
     def driver_background(self) -> dict[str, float]:
         """Means of the model inputs over the training rows."""
