@@ -12,6 +12,7 @@ from ..operators import features as ft
 from ..session import fresh_path
 from ..sources import tables
 from ..sources.portfolio import CURVE, ROW_KEY, TRAIN_SHARES, Portfolio
+from .fit_sql import isotonic_sql, newton_sql
 from .registry import query
 from .views import CALIBRATED_BAND, LOG_ODDS, RISK_BAND, interpolated, mean, r, rate, re_, sigmoid
 
@@ -129,13 +130,37 @@ def assembled(p: Portfolio) -> DataFrame:
     )
 
 
-@query("m06_logistic_fit")
+_LEVELS = {
+    "product_type": ["auto_loan", "credit_card", "personal_loan", "student_refi"],
+    "risk_tier_at_origination": ["deep_subprime", "near_prime", "prime", "subprime"],
+    "employment_type": ["hourly", "salaried", "self_employed", "student", "unemployed"],
+    "income_band": ["high", "low", "middle", "upper_middle"],
+    "education_level": ["associate", "bachelor", "graduate", "high_school"],
+    "bankruptcy_flag": ["False", "True"],
+}
+_NEWTON, _FITTED_NAMES, _VECTOR = newton_sql(
+    "modeling_dataset", ft.NUMERIC_FEATURES, _LEVELS, "default_flag", f"{_HASH} < 'c000'"
+)
+
+
+def _train_rows(p: Portfolio, weights: dict[str, float]) -> DataFrame:
+    """The columns of the fit on the training rows, stored: every step of the fit reads them."""
+    train = ft.hash_split(p.modeling_dataset, ROW_KEY, weights).where(F.col("part") == "train")
+    return tables.staged(train.select(*ft.NUMERIC_FEATURES, *ft.CATEGORICAL_FEATURES, ft.TARGET), "train")
+
+
+@query(
+    "m06_logistic_fit",
+    f"""with recursive {_NEWTON}
+    select feature, {r('coefficient', 5)} as coefficient from (
+      select unnest([{', '.join(f"'{n}'" for n in _FITTED_NAMES)}]) as feature, unnest(b) as coefficient,
+        unnest(range(1, {len(_FITTED_NAMES) + 1})) as i from fitted)
+    where i in (select i from fit_rows cross join fit_places group by i having sum(abs(x[i])) > 0)""",
+)
 def logistic_fit(p: Portfolio) -> DataFrame:
-    """Fitted weights of the full feature set on the training rows (iterative, so no SQL check)."""
-    train = ft.hash_split(p.modeling_dataset, ROW_KEY, TRAIN_SHARES).where(F.col("part") == "train")
-    columns = [*ft.NUMERIC_FEATURES, *ft.CATEGORICAL_FEATURES, ft.TARGET]
-    stored = tables.staged(train.select(*columns), "train")
-    return model.fit_default_model(stored).to_frame(p.spark)
+    """Fitted coefficients of the full feature set on the training rows (levels that occur)."""
+    fitted = model.fit_default_model(_train_rows(p, TRAIN_SHARES))
+    return fitted.to_frame(p.spark).select("feature", round_half_up("coefficient", 5).alias("coefficient"))
 
 
 @query(
@@ -276,23 +301,19 @@ def brier(p: Portfolio) -> DataFrame:
 
 # --- calibration ------------------------------------------------------------
 
-_BIN = "floor(predicted_pd * 200e0) / 200e0"
+_CALIBRATION_GROUPS = f"""select predicted_pd as score, count(*) * 1e0 as w, count(case when default_flag then 1 end) * 1e0 as y
+      from scored where {_THREE_WAY_SQL} = 'calibration' group by 1"""
 
 
 @query(
     "m16_isotonic_fit",
-    f"""with g as (select {_BIN} as score, count(*) * 1e0 as w, count(case when default_flag then 1 end) * 1e0 as y
-      from scored where {_THREE_WAY_SQL} = 'calibration' group by 1),
-    c as (select score, w, y, sum(w) over (order by score) as cw, sum(y) over (order by score) as cy from g),
-    s as (select j.score as lo, k.score as hi, (k.cy - j.cy + j.y) / (k.cw - j.cw + j.w) as m from c j join c k on j.score <= k.score),
-    t as (select s.lo, g.score as i, min(s.m) as m from s join g on s.lo <= g.score and s.hi >= g.score group by s.lo, g.score)
-    select g.score, cast(g.w as bigint) as rows, {r('max(t.m)', 9)} as calibrated
-    from t join g on t.i = g.score group by g.score, g.w""",
+    f"""with recursive {isotonic_sql(_CALIBRATION_GROUPS)}
+    select score, cast(w as bigint) as rows, {r('calibrated', 9)} as calibrated from iso_fit""",
 )
 def isotonic_fit(p: Portfolio) -> DataFrame:
+    """The fit on the exact scores of the calibration slice."""
     slice_ = ft.hash_split(p.scored, ROW_KEY, THREE_WAY).where(F.col("part") == "calibration")
-    binned = slice_.withColumn("score_bin", F.floor(F.col("predicted_pd") * 200.0) / F.lit(200.0))
-    groups = calibrate.score_groups(binned, "score_bin", "default_flag")
+    groups = tables.staged(calibrate.score_groups(slice_, "predicted_pd", "default_flag"), "score-groups")
     fitted = calibrate.fit_isotonic(groups)
     return calibrate.apply_isotonic(groups, fitted, "score", "calibrated").select(
         "score", F.col("weight").cast("bigint").alias("rows"), round_half_up("calibrated", 9).alias("calibrated")

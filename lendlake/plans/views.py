@@ -229,27 +229,23 @@ left join bureau_monthly b on s.customer_id = b.customer_id and s.month = b.mont
 where s.scenario_id = 'baseline'""",
     "scored": f"""
 select s.*, floor({sigmoid(LOG_ODDS)} * 1e6 + 0.5e0) / 1e6 as predicted_pd from account_monthly_snapshots s""",
+    "driver_means": "\nselect " + ", ".join(f"avg({c}) as mean_{c}" for c in MODEL_WEIGHTS) + " from train_rows",
     "driver_parts": "\nselect account_id, month, unnest(["
-    + ", ".join(
-        f"{{'name': 'num__{c}', 'value': {w!r}e0 * ({c} - (select avg({c}) from train_rows))}}"
-        for c, w in MODEL_WEIGHTS.items()
-    )
-    + "]) as d from scored where scenario_id = 'baseline'",
+    + ", ".join(f"{{'name': 'num__{c}', 'value': {w!r}e0 * ({c} - mean_{c})}}" for c, w in MODEL_WEIGHTS.items())
+    + "]) as d from scored cross join driver_means where scenario_id = 'baseline'",
     "train_rows": """
 select * from baseline_snapshots
 where substr(md5(concat_ws('|', cast(account_id as varchar), cast(month as varchar))), 1, 4) < 'c000'""",
-    "drivers": f"""
-select account_id, month, d['name'] as name, {re_("d['value']")} as value,
-  row_number() over (partition by account_id, month order by abs(d['value']) desc, d['name'] desc) as place
-from driver_parts""",
+    "drivers": """
+select account_id, month, arg_max(d, {'size': abs(d['value']), 'name': d['name']}, 2) as top
+from driver_parts group by account_id, month""",
     "audit": f"""
 select s.account_id, s.customer_id, s.month, 'logit_v1' as model_version, s.predicted_pd,
-  {RISK_BAND} as risk_band, d1.name as top_shap_feature_1, d1.value as top_shap_value_1,
-  d2.name as top_shap_feature_2, d2.value as top_shap_value_2,
+  {RISK_BAND} as risk_band, top[1]['name'] as top_shap_feature_1, {re_("top[1]['value']")} as top_shap_value_1,
+  top[2]['name'] as top_shap_feature_2, {re_("top[2]['value']")} as top_shap_value_2,
   {re_("raw_calibrated_pd")} as calibrated_pd, {CALIBRATED_BAND} as calibrated_risk_band
 from (select *, {interpolated("predicted_pd")} as raw_calibrated_pd from scored where scenario_id = 'baseline') s
-join drivers d1 on s.account_id = d1.account_id and s.month = d1.month and d1.place = 1
-join drivers d2 on s.account_id = d2.account_id and s.month = d2.month and d2.place = 2""",
+join drivers d on s.account_id = d.account_id and s.month = d.month""",
     "plain_audit": f"""
 select account_id, customer_id, month, 'logit_v1' as model_version, {re_("predicted_pd")} as predicted_pd,
   {RISK_BAND} as risk_band, {interpolated("predicted_pd")} as raw_calibrated_pd
@@ -257,6 +253,10 @@ from scored where scenario_id = 'baseline'""",
 }
 
 
+#: Relations that a check may use more than once: computed once.
+MATERIALIZED = {"account_monthly_snapshots", "modeling_dataset", "driver_means", "drivers"}
+
+
 def _needed(text: str, seen: list[str]) -> None:
     """Collect the views a text uses, each one after the views it uses itself."""
     for name, body in VIEWS.items():
@@ -272,8 +272,10 @@ def with_views(sql: str) -> str:
     _needed(sql, names)
     if not names:
         return sql.strip()
-    head = ",\n".join(f"{n} as ({VIEWS[n].strip()})" for n in names)
+    head = ",\n".join(f"{n} as {'materialized ' * (n in MATERIALIZED)}({VIEWS[n].strip()})" for n in names)
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {head},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {head},\n{body[5:]}"
     return f"with {head}\n{body}"

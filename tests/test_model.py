@@ -33,22 +33,22 @@ def newton(x, y, weight):
 
 def test_fit_equals_newton(spark, logit_data):
     df = spark.createDataFrame(logit_data)
-    fitted = model.fit_default_model(df, ["a", "b", "c"], [], "y", tol=1e-12)
+    fitted = model.fit_default_model(df, ["a", "b", "c"], [], "y", tol=1e-9).model
     x = logit_data[["a", "b", "c"]].to_numpy()
     z = (x - x.mean(0)) / x.std(0)
     y = logit_data["y"].to_numpy().astype(float)
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
     w = newton(z, y, weight)
-    assert fitted.index.intercept == pytest.approx(w[0], abs=1e-5)
-    assert [t.weight for t in fitted.index.terms] == pytest.approx(list(w[1:] / x.std(0)), abs=1e-5)
+    assert fitted.index.intercept == pytest.approx(w[0], abs=1e-8)
+    assert [t.weight for t in fitted.index.terms] == pytest.approx(list(w[1:] / x.std(0)), abs=1e-8)
     p = [r["raw_pd"] for r in fitted.score(df).orderBy("id").collect()]
-    assert p == pytest.approx(list(1 / (1 + np.exp(-(w[0] + z @ w[1:])))), abs=1e-5)
+    assert p == pytest.approx(list(1 / (1 + np.exp(-(w[0] + z @ w[1:])))), abs=1e-8)
 
 
 def test_model_with_categories_survives_storage(spark, logit_data):
     df = spark.createDataFrame(logit_data).withColumn("kind", F.when(F.col("id") % 3 == 0, "it's").otherwise("k2"))
     df = df.withColumn("flag", F.col("id") % 2 == 0)
-    fitted = model.fit_default_model(df, ["a"], ["kind", "flag"], "y")
+    fitted = model.fit_default_model(df, ["a"], ["kind", "flag"], "y").model
     names = [r[0] for r in fitted.to_rows()]
     assert names == ["(intercept)", "num__a", "cat__kind_it's", "cat__kind_k2", "cat__flag_False", "cat__flag_True"]
     path = fresh_path(spark, "model")
@@ -60,6 +60,16 @@ def test_model_with_categories_survives_storage(spark, logit_data):
     assert len(p) == 1 and None not in p
 
 
+def test_fit_ends_at_the_least_loss(spark):
+    """Scaled badly and all but separable: steps are halved where they overshoot, and the gradient vanishes."""
+    rows = [(float(i) ** 3, float(i % 7), i > 30 or i == 5) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, y boolean").repartition(5)
+    fitted = model.fit_default_model(df, ["a", "b"], [], "y", inverse_regularization=1e4)
+    assert fitted.gradient <= 1e-7 and fitted.steps < 100
+    one = model.fit_default_model(df.where("y"), ["a", "b"], [], "y")  # one class only
+    assert one.gradient <= 1e-6 and one.steps <= 100
+
+
 def test_missing_feature_is_an_error(spark):
     df = spark.createDataFrame([(1.0, True), (None, False)], "a double, y boolean")
     with pytest.raises(ValueError, match=r"'a': 1"):
@@ -68,7 +78,7 @@ def test_missing_feature_is_an_error(spark):
 
 def test_attribution_adds_up_to_the_log_odds(spark, logit_data):
     df = spark.createDataFrame(logit_data)
-    fitted = model.fit_default_model(df, ["a", "b", "c"], [], "y")
+    fitted = model.fit_default_model(df, ["a", "b", "c"], [], "y").model
     means = explain.background_means(df, fitted)
     base = fitted.index.intercept + sum(t.weight * (means[t.column] - t.center) for t in fitted.index.terms)
     total = F.aggregate("parts", F.lit(0.0), lambda acc, e: acc + e["value"])
