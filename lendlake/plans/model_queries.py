@@ -6,8 +6,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scalars as fx
 from ..functions.scalars import round_half_up
-from ..operators import calibrate, drift, evaluate, explain, model, ordering
+from ..operators import calibrate, drift, evaluate, explain, lifecycle, model, ordering
 from ..operators import features as ft
 from ..session import fresh_path
 from ..sources import tables
@@ -17,7 +18,7 @@ from .registry import query
 from .views import CALIBRATED_BAND, LOG_ODDS, RISK_BAND, interpolated, mean, r, rate, re_, sigmoid
 
 SNAPSHOT_KEY = [*ROW_KEY, "scenario_id"]
-THREE_WAY = {"train": 0.60, "calibration": 0.20, "test": 0.20}
+THREE_WAY = lifecycle.PARTS
 _HASH = "md5(concat_ws('|', cast(account_id as varchar), cast(month as varchar)))"
 
 
@@ -383,6 +384,63 @@ def raw_vs_calibrated(p: Portfolio) -> DataFrame:
     return evaluate.compare_scores(tables.staged(both, "scores"), ["predicted_pd", "calibrated_pd"], "default_flag")
 
 
+# --- the fitted path --------------------------------------------------------
+
+_NEWTON_60, _, _ = newton_sql("modeling_dataset", ft.NUMERIC_FEATURES, _LEVELS, "default_flag", f"{_HASH} < '999a'")
+_RAW_GROUPS = "select raw_pd as score, count(*) * 1e0 as w, sum(y) * 1e0 as y from run_raw where part = 'calibration' group by 1"
+_RUN = f"""with recursive {_NEWTON_60},
+    run_raw as materialized (select account_id, month, default_flag, cast(default_flag as int) as y, {_THREE_WAY_SQL} as part, x,
+      1e0 / (1e0 + exp(-least(greatest(list_dot_product(x, b), -30e0), 30e0))) as raw_pd
+      from (select account_id, month, default_flag, {_VECTOR} as x from modeling_dataset cross join fit_stat) cross join fitted),
+    {isotonic_sql(_RAW_GROUPS)},
+    run_near as (select a.*, l.score as xa, l.calibrated as ya, h.score as xb, h.calibrated as yb from run_raw a
+      asof left join iso_fit l on a.raw_pd >= l.score asof left join iso_fit h on a.raw_pd <= h.score),
+    run as materialized (select account_id, month, default_flag, part, raw_pd, x, case when xa is null then yb when xb is null then ya
+        when xa = xb then ya else ya + (raw_pd - xa) * (yb - ya) / (xb - xa) end as raw_calibrated_pd from run_near)"""
+
+
+@query(
+    "m29_fitted_path",
+    f"""{_RUN},
+    run_terms as materialized (select c.i, c.b, c.name, t.m from (select unnest(range(1, {len(_FITTED_NAMES) + 1})) as i, unnest(b) as b,
+        unnest([{', '.join(f"'{n}'" for n in _FITTED_NAMES)}]) as name from fitted) c
+      join (select i, avg(v) as m from (select unnest(x) as v, unnest(range(1, {len(_FITTED_NAMES) + 1})) as i from fit_rows) group by i) t on c.i = t.i
+      where c.i < {len(_FITTED_NAMES)}),
+    run_parts as (select account_id, month, b * (v - m) as value, name from (
+        select account_id, month, unnest(x) as v, unnest(range(1, {len(_FITTED_NAMES) + 1})) as i from run) r join run_terms t on r.i = t.i),
+    run_top as (select account_id, month, arg_max(name, {{'size': abs(value), 'name': name}}) as top_shap_feature_1
+      from run_parts group by account_id, month)
+    select {CALIBRATED_BAND} as calibrated_risk_band, top_shap_feature_1, count(*) as rows, {mean('raw_pd')} as avg_raw_pd,
+      {mean('raw_calibrated_pd')} as avg_calibrated_pd, {rate('default_flag')} as actual_default_rate
+    from run r join run_top t on r.account_id = t.account_id and r.month = t.month group by 1, 2""",
+)
+def fitted_path(p: Portfolio) -> DataFrame:
+    """Fit, score, calibrate, band and explain every row of the data set; rows by band and strongest driver."""
+    audit = lifecycle.run_lifecycle(p.modeling_dataset, ROW_KEY).audit()
+    return audit.groupBy("calibrated_risk_band", "top_shap_feature_1").agg(
+        F.count(F.lit(1)).alias("rows"),
+        fx.rounded_mean("raw_pd").alias("avg_raw_pd"),
+        fx.rounded_mean("raw_calibrated_pd").alias("avg_calibrated_pd"),
+        fx.rate("default_flag").alias("actual_default_rate"),
+    )
+
+
+_HELD_OUT = """(select default_flag, unnest(['raw_pd', 'calibrated_pd']) as measure, unnest([raw_pd, raw_calibrated_pd]) as pd
+    from run where part = 'test')"""
+
+
+@query(
+    "m30_held_out_comparison",
+    f"""{_RUN}
+    select a.measure, a.auc, b.brier from ({_auc_sql(_HELD_OUT, 'pd', 'default_flag', 'measure')}) a
+    join (select measure, {r('avg((pd - cast(default_flag as int)) * (pd - cast(default_flag as int)))', 6)} as brier
+      from {_HELD_OUT} group by measure) b on a.measure = b.measure""",
+)
+def held_out_comparison(p: Portfolio) -> DataFrame:
+    """Raw against calibrated probabilities of a fresh fit, on rows that neither the fit nor the calibrator saw."""
+    return lifecycle.run_lifecycle(p.modeling_dataset, ROW_KEY).held_out()
+
+
 # --- explanation ------------------------------------------------------------
 
 
