@@ -398,21 +398,20 @@ _RUN = f"""with recursive {_NEWTON_60},
     run as materialized (select account_id, month, default_flag, part, raw_pd, x, case when xa is null then yb when xb is null then ya
         when xa = xb then ya else ya + (raw_pd - xa) * (yb - ya) / (xb - xa) end as raw_calibrated_pd from run_near)"""
 
+_TERMS = range(1, len(_FITTED_NAMES))  # without the constant
+
 
 @query(
     "m29_fitted_path",
     f"""{_RUN},
-    run_terms as materialized (select c.i, c.b, c.name, t.m from (select unnest(range(1, {len(_FITTED_NAMES) + 1})) as i, unnest(b) as b,
-        unnest([{', '.join(f"'{n}'" for n in _FITTED_NAMES)}]) as name from fitted) c
-      join (select i, avg(v) as m from (select unnest(x) as v, unnest(range(1, {len(_FITTED_NAMES) + 1})) as i from fit_rows) group by i) t on c.i = t.i
-      where c.i < {len(_FITTED_NAMES)}),
-    run_parts as (select account_id, month, b * (v - m) as value, name from (
-        select account_id, month, unnest(x) as v, unnest(range(1, {len(_FITTED_NAMES) + 1})) as i from run) r join run_terms t on r.i = t.i),
-    run_top as (select account_id, month, arg_max(name, {{'size': abs(value), 'name': name}}) as top_shap_feature_1
-      from run_parts group by account_id, month)
+    run_means as materialized (select [{', '.join(f'avg(x[{i}])' for i in _TERMS)}] as m from fit_rows),
+    run_parts as (select r.*, [{', '.join(f'abs(b[{i}] * (x[{i}] - m[{i}]))' for i in _TERMS)}] as sizes
+      from run r cross join fitted cross join run_means),
+    run_top as (select *, [{', '.join(f"'{n}'" for n in _FITTED_NAMES)}][list_position(sizes, list_max(sizes))] as top_shap_feature_1
+      from run_parts)
     select {CALIBRATED_BAND} as calibrated_risk_band, top_shap_feature_1, count(*) as rows, {mean('raw_pd')} as avg_raw_pd,
       {mean('raw_calibrated_pd')} as avg_calibrated_pd, {rate('default_flag')} as actual_default_rate
-    from run r join run_top t on r.account_id = t.account_id and r.month = t.month group by 1, 2""",
+    from run_top group by 1, 2""",
 )
 def fitted_path(p: Portfolio) -> DataFrame:
     """Fit, score, calibrate, band and explain every row of the data set; rows by band and strongest driver."""
