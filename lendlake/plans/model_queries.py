@@ -393,9 +393,9 @@ _RUN = f"""with recursive {_NEWTON_60},
       1e0 / (1e0 + exp(-least(greatest(list_dot_product(x, b), -30e0), 30e0))) as raw_pd
       from (select account_id, month, default_flag, {_VECTOR} as x from modeling_dataset cross join fit_stat) cross join fitted),
     {isotonic_sql(_RAW_GROUPS)},
-    run_near as (select a.*, l.score as xa, l.calibrated as ya, h.score as xb, h.calibrated as yb from run_raw a
+    run_near as (select account_id, month, default_flag, part, raw_pd, l.score as xa, l.calibrated as ya, h.score as xb, h.calibrated as yb from run_raw a
       asof left join iso_fit l on a.raw_pd >= l.score asof left join iso_fit h on a.raw_pd <= h.score),
-    run as materialized (select account_id, month, default_flag, part, raw_pd, x, case when xa is null then yb when xb is null then ya
+    run as materialized (select account_id, month, default_flag, part, raw_pd, case when xa is null then yb when xb is null then ya
         when xa = xb then ya else ya + (raw_pd - xa) * (yb - ya) / (xb - xa) end as raw_calibrated_pd from run_near)"""
 
 _TERMS = range(1, len(_FITTED_NAMES))  # without the constant
@@ -405,13 +405,13 @@ _TERMS = range(1, len(_FITTED_NAMES))  # without the constant
     "m29_fitted_path",
     f"""{_RUN},
     run_means as materialized (select [{', '.join(f'avg(x[{i}])' for i in _TERMS)}] as m from fit_rows),
-    run_parts as (select r.*, [{', '.join(f'abs(b[{i}] * (x[{i}] - m[{i}]))' for i in _TERMS)}] as sizes
-      from run r cross join fitted cross join run_means),
-    run_top as (select *, [{', '.join(f"'{n}'" for n in _FITTED_NAMES)}][list_position(sizes, list_max(sizes))] as top_shap_feature_1
+    run_parts as (select account_id, month, [{', '.join(f'abs(b[{i}] * (x[{i}] - m[{i}]))' for i in _TERMS)}] as sizes
+      from run_raw cross join fitted cross join run_means),
+    run_top as (select account_id, month, [{', '.join(f"'{n}'" for n in _FITTED_NAMES)}][list_position(sizes, list_max(sizes))] as top_shap_feature_1
       from run_parts)
     select {CALIBRATED_BAND} as calibrated_risk_band, top_shap_feature_1, count(*) as rows, {mean('raw_pd')} as avg_raw_pd,
       {mean('raw_calibrated_pd')} as avg_calibrated_pd, {rate('default_flag')} as actual_default_rate
-    from run_top group by 1, 2""",
+    from run r join run_top t on r.account_id = t.account_id and r.month = t.month group by 1, 2""",
 )
 def fitted_path(p: Portfolio) -> DataFrame:
     """Fit, score, calibrate, band and explain every row of the data set; rows by band and strongest driver."""
