@@ -389,7 +389,7 @@ def raw_vs_calibrated(p: Portfolio) -> DataFrame:
 _NEWTON_60, _, _ = newton_sql("modeling_dataset", ft.NUMERIC_FEATURES, _LEVELS, "default_flag", f"{_HASH} < '999a'")
 _RAW_GROUPS = "select raw_pd as score, count(*) * 1e0 as w, sum(y) * 1e0 as y from run_raw where part = 'calibration' group by 1"
 _RUN = f"""with recursive {_NEWTON_60},
-    run_raw as materialized (select account_id, month, default_flag, cast(default_flag as int) as y, {_THREE_WAY_SQL} as part, x,
+    run_raw as materialized (select account_id, month, default_flag, cast(default_flag as int) as y, {_THREE_WAY_SQL} as part,
       1e0 / (1e0 + exp(-least(greatest(list_dot_product(x, b), -30e0), 30e0))) as raw_pd
       from (select account_id, month, default_flag, {_VECTOR} as x from modeling_dataset cross join fit_stat) cross join fitted),
     {isotonic_sql(_RAW_GROUPS)},
@@ -406,8 +406,8 @@ _TERMS = range(1, len(_FITTED_NAMES))  # without the constant
     f"""{_RUN},
     run_means as materialized (select [{', '.join(f'avg(x[{i}])' for i in _TERMS)}] as m from fit_rows),
     run_parts as (select account_id, month, [{', '.join(f'abs(b[{i}] * (x[{i}] - m[{i}]))' for i in _TERMS)}] as sizes
-      from run_raw cross join fitted cross join run_means),
-    run_top as (select account_id, month, [{', '.join(f"'{n}'" for n in _FITTED_NAMES)}][list_position(sizes, list_max(sizes))] as top_shap_feature_1
+      from (select account_id, month, {_VECTOR} as x from modeling_dataset cross join fit_stat) cross join fitted cross join run_means),
+    run_top as materialized (select account_id, month, [{', '.join(f"'{n}'" for n in _FITTED_NAMES)}][list_position(sizes, list_max(sizes))] as top_shap_feature_1
       from run_parts)
     select {CALIBRATED_BAND} as calibrated_risk_band, top_shap_feature_1, count(*) as rows, {mean('raw_pd')} as avg_raw_pd,
       {mean('raw_calibrated_pd')} as avg_calibrated_pd, {rate('default_flag')} as actual_default_rate
