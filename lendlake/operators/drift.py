@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import column, round_half_up, threshold_band
 from ..sources.dimensions import literal_frame
-from .ordering import breakpoints, bucket_of
+from .ordering import cells_of, quantiles_in
 
 # Fixed values of the drift rules.
 EMPTY_SHARE = 0.0001
@@ -41,8 +41,8 @@ def midpoint_month(df: DataFrame, month: str = "month") -> DataFrame:
 
 
 def with_period(df: DataFrame, name: str = "is_reference", month: str = "month") -> DataFrame:
-    """Split at the midpoint month: True before it, False from it on."""
-    return df.withColumn(name, F.col(month) < midpoint_month(df, month).scalar())
+    """Split at the midpoint month: True before it, False from it on. The month is found once, from its column alone."""
+    return df.withColumn(name, F.col(month) < F.lit(midpoint_month(df, month).first()[0]))
 
 
 def _index(counts: DataFrame, by: str) -> DataFrame:
@@ -70,34 +70,26 @@ def psi(
 
     Bins come from the reference quantiles; current values outside the reference range are
     left out and shares are over the rest. A feature with fewer than two bins, or with an
-    empty side, has no PSI. All features share one counting pass, which combines map-side.
+    empty side, has no PSI. Both periods of all features are counted in the cells of the same
+    two passes that find the quantiles, and the bins are made of those cells.
     """
     spark = df.sparkSession
-    borders = breakpoints(df.where(F.col(is_reference)), features, buckets)
-    usable = [f for f in features if len(borders[f]) >= 3]
+    probs = [i / buckets for i in range(buckets + 1)]
+    cells = cells_of(df, features, probs, is_reference)
+    borders = {f: sorted({q for q in qs if q is not None}) for f, qs in quantiles_in(cells, probs).items()}
+    usable = {f: b for f, b in borders.items() if len(b) >= 3}
     names = literal_frame(spark, feature_name=list(features))
     if not usable:
         return names.withColumn("psi_score", F.lit(None).cast("double"))
-    binned = df.select(
-        F.col(is_reference).alias("_ref"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(f).alias("feature_name"), bucket_of(f, borders[f]).alias("bin"))
-                    for f in usable
-                ]
-            )
-        ),
-    ).where(F.col("bin").isNotNull())
-    counted = binned.groupBy("feature_name", "bin").agg(
-        F.count_if("_ref").alias("ref"), F.count_if(~F.col("_ref")).alias("cur")
-    )
-    bins = [(f, b) for f in usable for b in range(1, len(borders[f]))]
-    scaffold = literal_frame(spark, feature_name=[f for f, _ in bins], bin=[b for _, b in bins])
-    # both sides hold one row per feature and bin
-    full = scaffold.join(F.broadcast(counted), ["feature_name", "bin"], "left").fillna(
-        0, ["ref", "cur"]
-    )
+    upto = cells.upto(usable)
+    lowest = cells.at({f: b[0] for f, b in usable.items()})
+    rows = []
+    for f, b in usable.items():
+        for k in range(1, len(b)):
+            counts = [upto[f, b[k]][s] - upto[f, b[k - 1]][s] + (lowest[f][s] if k == 1 else 0) for s in (0, 1)]
+            rows.append((f, k, *counts))
+    # one row per feature and bin
+    full = literal_frame(spark, **dict(zip(("feature_name", "bin", "ref", "cur"), map(list, zip(*rows)), strict=True)))
     return names.join(F.broadcast(_index(full, "feature_name")), "feature_name", "left")
 
 

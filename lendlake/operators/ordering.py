@@ -1,21 +1,35 @@
 """Exact order statistics without a global sort or a single-task window.
 
-Approximate quantiles only decide how values are spread over parts. They are read once and
-used as literals, so a part is a fixed function of the value: retried tasks and repeated
-branches see the same parts, and the results are exact whatever the approximation error.
+A mergeable sketch guides them: one pass gives, for each wanted rank, a narrow interval that
+should hold it. A second pass counts the rows of all cells that the intervals' ends make, and
+keeps the distinct values of the wanted cells alone. The results are exact whatever the sketch's
+error: a rank that its interval missed makes its cell a wanted one, and the pass is made again.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Sequence
+from bisect import bisect_left
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.dimensions import literal_frame
-
+from ..sources.tables import staged
+
+SKETCH_ACCURACY = 10_000
+#: Distance of an interval's ends from the wanted share: three times the sketch's error.
+MARGIN = 3 / SKETCH_ACCURACY
+#: A column with at most so many rows keeps all its values.
+FEW_ROWS = 3 * SKETCH_ACCURACY
+#: Distinct values that are ordered together; larger cells are divided first.
+CELL_VALUES = 1 << 20
+DIVISIONS = 1_024
 MIN_PARTS, MAX_PARTS = 64, 4096
 PART_ACCURACY = 20_000
 
@@ -32,20 +46,6 @@ def _present(c: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def _splits(df: DataFrame, cols: Sequence[str], parts: int | None) -> tuple[dict, dict]:
-    """Rows with a value, and the inner part borders, per column: one pass, one row."""
-    parts = parts or default_parts(df)
-    probs = [i / parts for i in range(1, parts)]
-    row = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in cols],
-        *[F.percentile_approx(c, probs, PART_ACCURACY).alias(f"q_{c}") for c in cols],
-    ).first()
-    borders = {
-        c: [-math.inf, *sorted(set(row[f"q_{c}"] or [0.0])), math.inf] for c in cols
-    }
-    return {c: row[f"n_{c}"] for c in cols}, borders
-
-
 def _bucketize(df: DataFrame, borders: dict[str, list[float]]) -> DataFrame:
     """Add ``part_<col>``: number of the part that holds the value (binary search, JVM side)."""
     cols = list(borders)
@@ -57,78 +57,199 @@ def _bucketize(df: DataFrame, borders: dict[str, list[float]]) -> DataFrame:
     ).transform(df)
 
 
-def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], parts: int | None = None
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each column; NULL and NaN are left out.
+@dataclass
+class Cells:
+    """Counts of values by cell, for some columns, and the values of the wanted cells.
 
-    Materialise an expensive input first, because it is read three times: part borders, part
-    sizes (both combine map-side to a few rows), then only the values of the parts in which a wanted rank lies are grouped and
-    ordered. What reaches the driver is bounded by columns x parts, never by rows.
+    The borders b0 < b1 < ... of a column make the cells: 2k is the open interval below border k
+    (the last one is above all borders), 2k + 1 is border k itself. ``counts`` has the rows of each cell as
+    (reference, other). ``values`` is a stored table (feature, cell, value, ref, cur) of the
+    wanted intervals' distinct values.
     """
-    vals = df.select(*[_present(c).alias(c) for c in cols])
-    n, borders = _splits(vals, cols, parts)
-    entries = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"part_{c}").alias("part"))
-        for c in cols
-    ]
-    long = (
-        _bucketize(vals, borders)
-        .select(F.explode(F.array(*entries)).alias("e"))
-        .select("e.*")
-        .where(F.col("value").isNotNull())
-    )
-    sizes: dict[str, dict[float, int]] = {c: {} for c in cols}
-    for r in long.groupBy("feature", "part").count().collect():
-        sizes[r["feature"]][r["part"]] = r["count"]
-
-    positions = {c: [p * (n[c] - 1) for p in probs] for c in cols if n[c]}
-    wanted = []  # (feature, part, rank inside the part, global rank)
-    for c, pos in positions.items():
-        ranks = sorted({r for h in pos for r in (math.floor(h), math.ceil(h))})
-        start = 0
-        for part in sorted(sizes[c]):
-            end = start + sizes[c][part]
-            wanted += [(c, part, r - start, r) for r in ranks if start <= r < end]
-            start = end
-    if not wanted:
-        return {c: [None] * len(probs) for c in cols}
-
-    picks = F.broadcast(
-        literal_frame(
-            df.sparkSession,
-            **dict(zip(("feature", "part", "local_rank", "global_rank"), map(list, zip(*wanted)))),
-        )
-    )
-    parts_needed = F.broadcast(picks.select("feature", "part").distinct())
-    upto = (
-        Window.partitionBy("feature", "part")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = (
-        long.join(parts_needed, ["feature", "part"], "left_semi")
-        .groupBy("feature", "part", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(upto))
-        .join(picks, ["feature", "part"])
-        .where(
-            (F.col("local_rank") < F.col("upto"))
-            & (F.col("local_rank") >= F.col("upto") - F.col("n"))
-        )
-        .select("feature", "global_rank", "value")
-        .collect()
-    )
-    at = {(r["feature"], r["global_rank"]): r["value"] for r in found}
-
-    def interpolate(c: str, h: float) -> float:
-        low, high = at[c, math.floor(h)], at[c, math.ceil(h)]
-        return low + (high - low) * (h - math.floor(h))
 
-    return {
-        c: [interpolate(c, h) for h in positions[c]] if c in positions else [None] * len(probs)
-        for c in cols
-    }
+    borders: dict[str, list[float]]
+    wanted: dict[str, set[int]]
+    counts: dict[str, dict[int, tuple[int, int]]] = field(default_factory=dict)
+    values: DataFrame | None = None
+
+    def cell_of(self, c: str, value: float) -> int:
+        k = bisect_left(self.borders[c], value)
+        return 2 * k + (k < len(self.borders[c]) and self.borders[c][k] == value)
+
+    def rows(self, c: str) -> int:
+        """Reference rows that have a value."""
+        return sum(ref for ref, _ in self.counts[c].values())
+
+    def holding(self, c: str, rank: int) -> tuple[int, int]:
+        """The cell that holds a rank (from 0) of the reference rows, and the rank inside it."""
+        for cell in sorted(self.counts[c]):
+            size = self.counts[c][cell][0]
+            if rank < size:
+                return cell, rank
+            rank -= size
+        raise IndexError(rank)
+
+    def known(self, c: str, cell: int) -> bool:
+        return cell % 2 == 1 or cell in self.wanted[c]
+
+    def values_at(self, ranks: dict[str, Iterable[int]]) -> dict[tuple[str, int], float]:
+        """The reference value at each rank; every rank lies in a border or a wanted cell."""
+        out, picks = {}, []
+        for c, some in ranks.items():
+            for rank in some:
+                cell, inside = self.holding(c, rank)
+                if cell % 2:
+                    out[c, rank] = self.borders[c][cell // 2]
+                else:
+                    picks.append((c, cell, inside, rank))
+        small = []
+        for (c, cell), group in itertools.groupby(sorted(picks), key=lambda x: x[:2]):
+            if self.counts[c][cell][0] <= CELL_VALUES:
+                small += group
+            else:
+                out |= {(c, rank): self._divided(c, cell, inside) for *_, inside, rank in group}
+        if small:
+            names = ("feature", "cell", "inside", "rank")
+            # as many rows as there are wanted ranks
+            picked = F.broadcast(literal_frame(self.values.sparkSession, **dict(zip(names, map(list, zip(*small)), strict=True))))
+            upto = Window.partitionBy("feature", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            found = (
+                self.values.where("ref > 0")
+                .join(picked.select("feature", "cell").distinct(), ["feature", "cell"], "left_semi")
+                .withColumn("upto", F.sum("ref").over(upto))
+                .join(picked, ["feature", "cell"])
+                .where((F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("ref")))
+            )
+            out |= {(r["feature"], r["rank"]): r["value"] for r in found.select("feature", "rank", "value").collect()}
+        return out
+
+    def _divided(self, c: str, cell: int, rank: int) -> float:
+        """One value of a cell that is too large to order: it is divided evenly until it is not."""
+        some = self.values.where((F.col("feature") == c) & (F.col("cell") == cell) & (F.col("ref") > 0)).select("value", "ref")
+        while True:
+            probs = [i / DIVISIONS for i in range(1, DIVISIONS)]
+            row = some.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", probs, SKETCH_ACCURACY).alias("q")).first()
+            if row["n"] <= CELL_VALUES:
+                upto = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                return some.withColumn("upto", F.sum("ref").over(upto)).where(F.col("upto") > rank).agg(F.min("value")).first()[0]
+            ends = [-math.inf, *sorted(set(row["q"])), math.inf]
+            parts = _bucketize(some, {"value": ends}).groupBy("part_value").agg(F.sum("ref").alias("ref"))
+            for part, ref in sorted((int(r[0]), r[1]) for r in parts.collect()):  # DIVISIONS rows
+                if rank < ref:
+                    some = some.where((F.col("value") >= ends[part]) & (F.col("value") < ends[part + 1]))
+                    break
+                rank -= ref
+
+    def upto(self, points: dict[str, Sequence[float]]) -> dict[tuple[str, float], tuple[int, int]]:
+        """(reference, other) rows with a value of at most each point; points lie in borders or wanted cells."""
+        inside = [(c, self.cell_of(c, x), float(x)) for c, xs in points.items() for x in xs if self.cell_of(c, x) % 2 == 0]
+        part = {}
+        if inside:
+            names = ("feature", "cell", "point")
+            literal = F.broadcast(literal_frame(self.values.sparkSession, **dict(zip(names, map(list, zip(*inside)), strict=True))))
+            sums = (
+                self.values.join(literal, ["feature", "cell"])
+                .where(F.col("value") <= F.col("point"))
+                .groupBy("feature", "point")
+                .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+            )
+            part = {(r["feature"], r["point"]): (r["ref"], r["cur"]) for r in sums.collect()}
+        out = {}
+        for c, xs in points.items():
+            for x in xs:
+                cell = self.cell_of(c, x)
+                whole = [n for k, n in self.counts[c].items() if k < cell or (k == cell and cell % 2)]
+                more = part.get((c, float(x)), (0, 0))
+                out[c, x] = tuple(sum(n[side] for n in whole) + more[side] for side in (0, 1))
+        return out
+
+    def at(self, points: dict[str, float]) -> dict[str, tuple[int, int]]:
+        """(reference, other) rows whose value is exactly a column's point."""
+        out, inside = {}, []
+        for c, x in points.items():
+            cell = self.cell_of(c, x)
+            if cell % 2:
+                out[c] = self.counts[c].get(cell, (0, 0))
+            else:
+                inside.append((F.col("feature") == c) & (F.col("cell") == cell) & (F.col("value") == float(x)))
+                out[c] = (0, 0)
+        if inside:
+            found = self.values.where(reduce(Column.__or__, inside))
+            out |= {r["feature"]: (r["ref"], r["cur"]) for r in found.collect()}  # one row a column
+        return out
+
+
+def _ranks(n: int, probs: Sequence[float]) -> list[int]:
+    return sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}) if n else []
+
+
+def cells_of(df: DataFrame, cols: Sequence[str], probs: Sequence[float], is_reference: str | None = None) -> Cells:
+    """The cells that hold the wanted quantiles of the reference rows (all rows without ``is_reference``).
+
+    Two passes over the rows: the sketch, and the counts by cell. What comes back is bounded by
+    columns x quantiles; values of wanted cells stay distributed.
+    """
+    flag = F.lit(True) if is_reference is None else F.coalesce(F.col(is_reference), F.lit(False))
+    vals = df.select(flag.alias("_ref"), *[_present(c).alias(c) for c in cols])
+    ends = sorted({min(1.0, max(0.0, p + side)) for p in probs for side in (-MARGIN, MARGIN)})
+    ref = {c: F.when(F.col("_ref"), F.col(c)) for c in cols}
+    row = vals.agg(
+        *[F.count(ref[c]).alias(f"n_{c}") for c in cols],
+        *[F.percentile_approx(ref[c], ends, SKETCH_ACCURACY).alias(f"q_{c}") for c in cols],
+    ).first()
+    cells = Cells({c: sorted(set(row[f"q_{c}"] or [0.0])) for c in cols}, {c: set() for c in cols})
+    for c in cols:
+        if row[f"n_{c}"] <= FEW_ROWS:
+            cells.wanted[c] = set(range(0, 2 * len(cells.borders[c]) + 1, 2))
+            continue
+        at = dict(zip(ends, row[f"q_{c}"], strict=True))
+        for p in probs:
+            low, high = (cells.cell_of(c, at[min(1.0, max(0.0, p + side))]) for side in (-MARGIN, MARGIN))
+            cells.wanted[c] |= set(range(low + 1, high, 2))
+    while True:
+        _count(vals, cells)
+        missed = {(c, cell) for c in cols for r in _ranks(cells.rows(c), probs) for cell in [cells.holding(c, r)[0]] if not cells.known(c, cell)}
+        if not missed:
+            return cells
+        for c, cell in missed:
+            cells.wanted[c].add(cell)
+
+
+def _count(vals: DataFrame, cells: Cells) -> None:
+    """The counting pass: all columns in one grouping, combined map-side."""
+    cols = list(cells.borders)
+    placed = _bucketize(vals, {c: [-math.inf, *cells.borders[c], math.inf] for c in cols})
+    entries = []
+    for c in cols:
+        part = F.col(f"part_{c}").cast("int")  # borders that the value reaches
+        on_border = (part > 0) & (F.get(F.lit(cells.borders[c]), part - 1) == F.col(c))
+        cell = F.when(on_border, 2 * part - 1).otherwise(2 * part)
+        wanted = cell.isin(sorted(cells.wanted[c])) if cells.wanted[c] else F.lit(False)
+        value = F.when(wanted, F.col(c))
+        entries.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("feature"), cell.alias("cell"), value.alias("value"))))
+    long = placed.select("_ref", F.explode(F.array_compact(F.array(*entries))).alias("e")).select("_ref", "e.*")
+    grouped = long.groupBy("feature", "cell", "value").agg(F.count_if("_ref").alias("ref"), F.count_if(~F.col("_ref")).alias("cur"))
+    cells.values = staged(grouped, "cells")
+    cells.counts = {c: {} for c in cols}
+    sums = cells.values.groupBy("feature", "cell").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    for r in sums.collect():  # columns x cells
+        cells.counts[r["feature"]][r["cell"]] = (r["ref"], r["cur"])
+
+
+def quantiles_in(cells: Cells, probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of each column's reference rows."""
+    found = cells.values_at({c: _ranks(cells.rows(c), probs) for c in cells.borders})
+
+    def at(c: str, position: float) -> float:
+        low, high = found[c, math.floor(position)], found[c, math.ceil(position)]
+        return low + (high - low) * (position - math.floor(position))
+
+    return {c: [at(c, p * (n - 1)) for p in probs] if (n := cells.rows(c)) else [None] * len(probs) for c in cells.borders}
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of each column; NULL and NaN are left out."""
+    return quantiles_in(cells_of(df, cols, probs), probs)
 
 
 def breakpoints(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str, list[float]]:
@@ -178,11 +299,15 @@ def rank_auc(
 ) -> DataFrame:
     """Tie-aware area under the ROC curve per group (groups are few).
 
-    Counts per distinct score are ordered inside value parts. A part only needs the number
-    of negatives in the parts before it, and those totals are one row per part.
+    The rows are read once, into counts per distinct score. Those are ordered inside value parts
+    whose borders come from the stored counts. A part only needs the number of negatives in the
+    parts before it, and those totals are one row per part.
     """
-    _, borders = _splits(df.select(F.col(score).cast("double").alias("score")), ["score"], parts)
-    counts = _bucketize(class_counts(df, score, label, by), borders)
+    distinct = staged(class_counts(df, score, label, by), "score-counts")
+    parts = parts or default_parts(df)
+    probs = [i / parts for i in range(1, parts)]
+    ends = distinct.agg(F.percentile_approx("score", probs, PART_ACCURACY)).first()[0] or [0.0]
+    counts = _bucketize(distinct, {"score": [-math.inf, *sorted(set(ends)), math.inf]})
     below = (
         Window.partitionBy(*by, "part_score")
         .orderBy("score")

@@ -225,8 +225,7 @@ def _auc_columns(sql: str) -> str:
 
 @query("m11_auc", _auc_columns(_auc_sql("scored", "predicted_pd", "default_flag", "scenario_id")))
 def auc(p: Portfolio) -> DataFrame:
-    scores = tables.staged(p.scored.select("scenario_id", "predicted_pd", "default_flag"), "scores")
-    out = ordering.rank_auc(scores, "predicted_pd", "default_flag", ["scenario_id"])
+    out = ordering.rank_auc(p.scored, "predicted_pd", "default_flag", ["scenario_id"])
     return out.withColumn("auc", round_half_up("auc", 6))
 
 
@@ -285,8 +284,7 @@ _TENTHS = "[0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0]"
     from scored cross join b group by 1""",
 )
 def decile_table(p: Portfolio) -> DataFrame:
-    scores = tables.staged(p.scored.select("predicted_pd", "default_flag"), "scores")
-    return evaluate.decile_table(scores, "predicted_pd", "default_flag")
+    return evaluate.decile_table(p.scored, "predicted_pd", "default_flag")
 
 
 @query(
@@ -381,7 +379,7 @@ def raw_vs_calibrated(p: Portfolio) -> DataFrame:
     both = p.scored.select(
         "default_flag", "predicted_pd", CURVE.value("predicted_pd").alias("calibrated_pd")
     )
-    return evaluate.compare_scores(tables.staged(both, "scores"), ["predicted_pd", "calibrated_pd"], "default_flag")
+    return evaluate.compare_scores(both, ["predicted_pd", "calibrated_pd"], "default_flag")
 
 
 # --- the fitted path --------------------------------------------------------
@@ -518,8 +516,7 @@ def _psi_check(source: str, features: list[str], out: str) -> str:
 )
 def psi(p: Portfolio) -> DataFrame:
     features = ["utilization_rate", "cashflow_stress_score", "predicted_pd"]
-    rows = tables.staged(p.baseline_scored.select("month", *features), "psi")
-    return drift.psi(drift.with_period(rows), features)
+    return drift.psi(drift.with_period(p.baseline_scored.select("month", *features)), features)
 
 
 _LEVEL = """case when psi_score is null then 'not_available' when psi_score >= 0.25e0 then 'significant_drift'
@@ -564,8 +561,8 @@ _DRIFT_ROWS = f"""select feature_name, 'early_baseline_months' as reference_peri
 
 
 def drift_rows(p: Portfolio) -> DataFrame:
-    """Drift of the data set's features; its columns are stored once for the passes over them."""
-    rows = tables.staged(p.modeling_dataset.select("month", *drift.DRIFT_FEATURES), "drift")
+    """Drift of the stored data set's features."""
+    rows = p.modeling_dataset.select("month", *drift.DRIFT_FEATURES)
     return drift.drift_table(drift.psi(drift.with_period(rows), drift.DRIFT_FEATURES))
 
 

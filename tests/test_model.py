@@ -253,3 +253,26 @@ def test_sample_is_fixed_and_without_repeats(spark):
     assert len(first) == 50
     assert first == {r["id"] for r in ordering.sample_rows(df.repartition(9), ["id"], 50).collect()}
     assert first != {r["id"] for r in ordering.sample_rows(df, ["id"], 50, seed=1).collect()}
+
+
+@pytest.mark.parametrize(("accuracy", "few", "most"), [(10_000, 30_000, 1 << 20), (50, 60, 1 << 20), (50, 60, 20), (20, 0, 7)])
+def test_cells_give_exact_quantiles_at_any_size(spark, monkeypatch, accuracy, few, most):
+    """Rough sketches, missed intervals and divided cells change the passes, not the results."""
+    for name, value in (("SKETCH_ACCURACY", accuracy), ("MARGIN", 1 / (2 * accuracy)), ("FEW_ROWS", few), ("CELL_VALUES", most), ("DIVISIONS", 8)):
+        monkeypatch.setattr(ordering, name, value)
+    rng = np.random.default_rng(7)
+    n = 4000
+    frame = pd.DataFrame({"u": rng.random(n), "hot": np.where(rng.random(n) < 0.4, 5.0, rng.integers(0, 50, n)).astype(float)})
+    frame.loc[::17, "u"] = np.nan
+    probs = [0, 0.1, 0.25, 0.5, 0.9, 0.999, 1]
+    got = ordering.exact_quantiles(spark.createDataFrame(frame).repartition(7), list(frame), probs)
+    for c in frame:
+        assert got[c] == pytest.approx(list(frame[c].quantile(probs)), rel=1e-12), c
+
+
+def test_drift_reads_the_rows_twice(spark, monkeypatch):
+    reads = []
+    monkeypatch.setattr(ordering, "_count", lambda vals, cells, run=ordering._count: (reads.append(1), run(vals, cells)))
+    df = spark.range(50_000).select((F.col("id") % 9_973).cast("double").alias("x"), (F.col("id") % 3 == 0).alias("is_reference"))
+    assert drift.psi(df, ["x"]).first()["psi_score"] < 0.01
+    assert len(reads) == 1  # after the sketch, one counting pass
