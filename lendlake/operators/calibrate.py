@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import first_match, literal, round_half_even
-from ..sources.tables import update_slice
+from ..sources.slices import SlicedTable
 from .model import PD_DIGITS, calibrated_band
 
 
@@ -69,9 +69,7 @@ def with_calibration(df: DataFrame, calibrated: str = "raw_calibrated_pd") -> Da
     )
 
 
-def write_calibration(path: str, calibrated: DataFrame, key: Sequence[str], version: str) -> DataFrame:
+def write_calibration(table: SlicedTable, calibrated: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     """Write calibrated values back to one model version's slice of the audit table."""
     columns = {"calibrated_pd": "double", "calibrated_risk_band": "string"}
-    return update_slice(
-        path, calibrated.select(*key, *columns), "model_version", version, key, columns
-    )
+    return table.update(calibrated.select(*key, *columns), version, key, columns)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_half_even
-from ..sources.tables import update_slice
+from ..sources.slices import SlicedTable
 from .model import LinearModel
 
 DRIVER_COLUMNS = {
@@ -47,13 +47,6 @@ def with_top_drivers(df: DataFrame, model: LinearModel, means: dict[str, float])
     return ranked.selectExpr("*", *out).drop("_drivers")
 
 
-def write_drivers(path: str, explained: DataFrame, key: Sequence[str], version: str) -> DataFrame:
+def write_drivers(table: SlicedTable, explained: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     """Write the drivers back to one model version's slice of the audit table."""
-    return update_slice(
-        path,
-        explained.select(*key, *DRIVER_COLUMNS),
-        "model_version",
-        version,
-        key,
-        DRIVER_COLUMNS,
-    )
+    return table.update(explained.select(*key, *DRIVER_COLUMNS), version, key, DRIVER_COLUMNS)

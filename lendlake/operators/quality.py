@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,3 +57,40 @@ def rate_by(df: DataFrame, by: str, flag: str, name: str) -> DataFrame:
 
 def mean_by(df: DataFrame, by: str, value: str, name: str, digits: int = 4) -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), rounded_mean(value, digits).alias(name))
+
+
+def audit_keys(
+    stored: Mapping[str, DataFrame], primary: Mapping[str, str], foreign: Sequence[tuple[str, str, str]]
+) -> DataFrame:
+    """(check, keys, rows): broken keys of every primary key and of every reference (child, parent, key).
+
+    A table is read once: each row gives its keys, tagged with the checks they belong to and the
+    side they stand on. All tags are grouped together, combined map-side, so a hot key is one row.
+    """
+    tags: dict[str, list[tuple[str, str, str]]] = {t: [] for t in stored}  # table: (check, column, side)
+    for table, key in primary.items():
+        tags[table].append((f"{table} key {key}", key, "own"))
+    for child, parent, key in foreign:
+        check = f"{child} to {parent} by {key}"
+        tags[child].append((check, key, "child"))
+        tags[parent].append((check, key, "parent"))
+    sides = ("own", "child", "parent")
+    parts = []
+    for table, own in tags.items():
+        entries = [
+            F.struct(
+                F.lit(check).alias("check"),
+                F.col(key).cast("string").alias("key"),
+                *[F.lit(int(side == s)).cast("long").alias(s) for s in sides],
+            )
+            for check, key, side in own
+        ]
+        if entries:
+            parts.append(stored[table].select(F.inline(F.array(*entries))))
+    counted = reduce(DataFrame.unionByName, parts).groupBy("check", "key").agg(*[F.sum(s).alias(s) for s in sides])
+    doubled = (F.col("own") > 1) | (F.col("key").isNull() & (F.col("own") > 0))
+    orphan = F.col("key").isNotNull() & (F.col("child") > 0) & (F.col("parent") == 0)
+    broken = doubled | orphan
+    return counted.groupBy("check").agg(
+        F.count_if(broken).alias("keys"), F.sum(F.when(broken, F.col("own") + F.col("child")).otherwise(0)).alias("rows")
+    )

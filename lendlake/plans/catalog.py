@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.store import StoredPortfolio
-from . import model_queries, report_queries, rule_queries, table_queries  # noqa: F401  (register)
+from . import contract, model_queries, report_queries, rule_queries, table_queries  # noqa: F401  (register)
 from .registry import CHECKS, QUERIES
 
 

@@ -10,9 +10,9 @@ from ..functions import scalars as fx
 from ..functions.scalars import round_half_up
 from ..operators import calibrate, drift, evaluate, explain, lifecycle, model, ordering
 from ..operators import features as ft
-from ..session import fresh_path
 from ..sources import tables
 from ..sources.portfolio import CURVE, ROW_KEY, TRAIN_SHARES, Portfolio
+from ..sources.slices import SlicedTable
 from .fit_sql import isotonic_sql, newton_sql
 from .registry import query
 from .views import CALIBRATED_BAND, LOG_ODDS, RISK_BAND, interpolated, mean, r, rate, re_, sigmoid
@@ -203,7 +203,7 @@ def risk_band(p: Portfolio) -> DataFrame:
 def audit_records(p: Portfolio) -> DataFrame:
     """Audit rows with their surrogate id, written as one slice of the audit table."""
     keyed = tables.with_surrogate_key(p.plain_audit, "score_id", "SCORE", 10, ROW_KEY)
-    return tables.replace_slice(keyed, fresh_path(p.spark, "audit"), "model_version")
+    return SlicedTable.of(keyed, "model_version", "audit").read()
 
 
 # --- evaluation -------------------------------------------------------------
@@ -339,13 +339,11 @@ def calibrated_band(p: Portfolio) -> DataFrame:
     )
 
 
-def _two_versions(p: Portfolio) -> str:
+def _two_versions(p: Portfolio) -> SlicedTable:
     """A stored audit table with two model versions; only ``logit_v1`` gets write-backs."""
-    path = fresh_path(p.spark, "audit")
     versions = F.explode(F.lit(["logit_v0", "logit_v1"])).alias("model_version")
     rows = p.plain_audit.select(*ROW_KEY, "customer_id", "predicted_pd", "risk_band", versions)
-    tables.replace_slice(rows, path, "model_version")
-    return path
+    return SlicedTable.of(rows, "model_version", "audit")
 
 
 @query(
@@ -355,12 +353,12 @@ def _two_versions(p: Portfolio) -> str:
     union all select account_id, month, 'logit_v0', predicted_pd, null, null from plain_audit""",
 )
 def calibration_write_back(p: Portfolio) -> DataFrame:
-    path = _two_versions(p)
-    stored = p.spark.read.parquet(path).where(F.col("model_version") == "logit_v1")
+    table = _two_versions(p)
+    stored = table.read().where(F.col("model_version") == "logit_v1")
     values = calibrate.with_calibration(
         stored.select(*ROW_KEY, CURVE.value("predicted_pd").alias("raw_calibrated_pd"))
     )
-    return calibrate.write_calibration(path, values, ROW_KEY, "logit_v1").select(
+    return calibrate.write_calibration(table, values, ROW_KEY, "logit_v1").select(
         *ROW_KEY, "model_version", "predicted_pd", "calibrated_pd", "calibrated_risk_band"
     )
 
@@ -473,9 +471,9 @@ def top_drivers(p: Portfolio) -> DataFrame:
     union all select account_id, month, 'logit_v0', null, null, null, null from plain_audit""",
 )
 def driver_write_back(p: Portfolio) -> DataFrame:
-    path = _two_versions(p)
+    table = _two_versions(p)
     explained = top_drivers(p)
-    return explain.write_drivers(path, explained, ROW_KEY, "logit_v1").select(
+    return explain.write_drivers(table, explained, ROW_KEY, "logit_v1").select(
         *ROW_KEY, "model_version", *explain.DRIVER_COLUMNS
     )
 

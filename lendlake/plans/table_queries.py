@@ -12,6 +12,7 @@ from ..session import fresh_path
 from ..sources import schemas, tables
 from ..sources.dimensions import repeat_for
 from ..sources.portfolio import ROW_KEY, Portfolio
+from ..sources.slices import SlicedTable
 from . import reports
 from .registry import query
 from .views import RISK_BAND, clip, mean, r, rate, re_, sigmoid
@@ -119,7 +120,6 @@ def full_refresh(p: Portfolio) -> DataFrame:
     union all select account_id, customer_id, 'v2', interest_rate * 2e0 from accounts""",
 )
 def replace_slice(p: Portfolio) -> DataFrame:
-    path = fresh_path(p.spark, "audit")
     keep = ["account_id", "customer_id"]
     a = p.accounts
 
@@ -127,8 +127,8 @@ def replace_slice(p: Portfolio) -> DataFrame:
         return a.select(*keep, F.lit(name).alias("model_version"), score.alias("score"))
 
     first = version("v1", F.col("origination_fico").cast("double"))
-    tables.replace_slice(first.unionByName(version("v2", F.col("interest_rate"))), path, "model_version")
-    stored = tables.replace_slice(version("v2", F.col("interest_rate") * 2.0), path, "model_version")
+    table = SlicedTable.of(first.unionByName(version("v2", F.col("interest_rate"))), "model_version", "audit")
+    stored = table.replace(version("v2", F.col("interest_rate") * 2.0))
     return stored.select(*keep, "model_version", "score")
 
 

@@ -5,13 +5,13 @@ Tables live as Parquet folders. Nothing here moves rows through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import padded_id
-from ..session import fresh_path, shared_dir
+from ..session import fresh_path
 from .schemas import LOAD_TIME, conform
 
 
@@ -71,21 +71,6 @@ def create_and_insert(df: DataFrame, path: str, table: str, cols: Sequence[str])
     return materialize(conform(df.select(*cols), table), path)
 
 
-def replace_slice(df: DataFrame, path: str, slice_col: str) -> DataFrame:
-    """Replace only the slices (values of ``slice_col``) that occur in ``df``.
-
-    The table is partitioned by the slice column; dynamic overwrite commits the new files of
-    those partitions at the end of the job and leaves the other partitions alone.
-    """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(slice_col)
-        .parquet(path)
-    )
-    return df.sparkSession.read.parquet(path)
-
-
 def ensure_column(df: DataFrame, name: str, data_type: str) -> DataFrame:
     """Add a NULL column unless the frame has it."""
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(data_type))
@@ -116,60 +101,35 @@ def merge_update(
     )
 
 
-def update_slice(
-    path: str,
-    source: DataFrame,
-    slice_col: str,
-    slice_value: str,
-    key: Sequence[str] | str,
-    new_columns: Mapping[str, str],
-) -> DataFrame:
-    """Write ``new_columns`` of ``source`` back to one slice of a stored table, in place.
-
-    Only that slice is read and rewritten. Columns the table lacks are added to it; Spark's
-    ``mergeSchema`` shows them as NULL in the slices that were not touched.
-    """
-    spark = source.sparkSession
-    table = spark.read.option("mergeSchema", "true").parquet(path)
-    part = table.where(F.col(slice_col) == slice_value)
-    for name, data_type in new_columns.items():
-        part = ensure_column(part, name, data_type)
-    replace_slice(merge_update(part, source, key, list(new_columns)), path, slice_col)
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
 # --- surrogate keys ---------------------------------------------------------
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """1-based row number in the global order of ``order`` (unique per row), without a global window.
+    """1-based row number in the global order of ``order`` (unique per row, not NULL), without a global window.
 
-    Rows are range-partitioned and sorted; the number is the position inside the partition
-    plus the size of the partitions before it. The sorted rows are checkpointed first, since
-    both steps must see the same partitions, also after a lost executor. Only one count per
-    partition meets in a single task.
+    Only the keys are stored, range-partitioned and sorted: a row's number is its position inside
+    the partition plus the size of the partitions before it. Other columns meet their number by
+    key and are read once. Only one count per partition meets in a single task.
     """
-    shared_dir(df.sparkSession)
+    keys = staged(df.select(*order), "row-keys")
     in_partition = (1 << 33) - 1  # layout of monotonically_increasing_id
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .checkpoint()
+    placed = staged(
+        keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "row-places"
     )
-    part = F.shiftright("_pos", 33)
+    part = F.shiftright("_id", 33)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(part.alias("_part"))
         .agg(F.count(F.lit(1)).alias("_size"))
         .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_pos").bitwiseAND(F.lit(in_partition)) + 1)
-        .drop("_part", "_pos", "_offset")
+    # one row per partition of the key's sort
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").select(
+        *order, (F.col("_offset") + F.col("_id").bitwiseAND(F.lit(in_partition)) + 1).alias(name)
     )
+    if set(df.columns) == set(order):
+        return numbered.select(*df.columns, name)
+    return df.join(numbered, list(order))
 
 
 def with_surrogate_key(

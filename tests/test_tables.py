@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendlake.operators import quality
-from lendlake.session import fresh_path
 from lendlake.sources import dimensions, schemas, tables
+from lendlake.sources.slices import SlicedTable
 
 
 def test_merge_update_changes_matching_rows_only(spark):
@@ -27,28 +27,47 @@ def test_merge_update_with_repeated_source_key_keeps_the_row_count(spark):
 
 
 def test_slice_replacement_leaves_other_slices(spark):
-    path = fresh_path(spark, "slices")
-    both = spark.createDataFrame([(1, "a"), (2, "b")], "x int, version string")
-    tables.replace_slice(both, path, "version")
-    out = tables.replace_slice(spark.createDataFrame([(7, "b"), (8, "b")], "x int, version string"), path, "version")
-    assert sorted(map(tuple, out.collect())) == [(1, "a"), (7, "b"), (8, "b")]
+    table = SlicedTable.of(spark.createDataFrame([(1, "a"), (2, "b"), (3, "it's 50%/x=y")], "x int, version string"), "version")
+    out = table.replace(spark.createDataFrame([(7, "b"), (8, "b")], "x int, version string"))
+    assert sorted(map(tuple, out.collect())) == [(1, "a"), (3, "it's 50%/x=y"), (7, "b"), (8, "b")]
+    out = table.replace(spark.createDataFrame([(9, "it's 50%/x=y")], "x int, version string"))
+    assert sorted(map(tuple, out.where("version like 'it%'").collect())) == [(9, "it's 50%/x=y")]
+
+
+def test_a_write_that_fails_leaves_the_slice(spark):
+    table = SlicedTable.of(spark.createDataFrame([(1, "a"), (2, "b")], "x int, version string"), "version")
+    files = table.read().where("version = 'b'").inputFiles()
+    rows = spark.range(100).repartition(4).select(
+        F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).cast("int").alias("x"), F.lit("b").alias("version")
+    )
+    with pytest.raises(Exception, match="lost"):
+        table.replace(rows)
+    with pytest.raises(Exception, match="lost"):
+        table.update(rows.select("x", F.col("x").cast("double").alias("pd")), "b", "x", {"pd": "double"})
+    assert sorted((r["x"], r["version"]) for r in table.read().collect()) == [(1, "a"), (2, "b")]
+    table.replace(spark.createDataFrame([(5, "b")], "x int, version string"))
+    assert [r["x"] for r in table.read().where("version = 'b'").collect()] == [5]
+    assert [r["x"] for r in spark.read.parquet(*files).collect()] == [2]  # what runs on the old files can end
 
 
 def test_update_slice_adds_columns_to_one_slice(spark):
-    path = fresh_path(spark, "slices")
-    rows = spark.createDataFrame([(1, "a"), (2, "a"), (1, "b")], "k int, version string")
-    tables.replace_slice(rows, path, "version")
-    new = spark.createDataFrame([(1, 0.5)], "k int, pd double")
-    out = tables.update_slice(path, new, "version", "a", "k", {"pd": "double"})
+    table = SlicedTable.of(spark.createDataFrame([(1, "a"), (2, "a"), (1, "b")], "k int, version string"), "version")
+    out = table.update(spark.createDataFrame([(1, 0.5)], "k int, pd double"), "a", "k", {"pd": "double"})
     assert sorted((r["version"], r["k"], r["pd"]) for r in out.collect()) == [
         ("a", 1, 0.5), ("a", 2, None), ("b", 1, None),
     ]
-    again = tables.update_slice(
-        path, spark.createDataFrame([(2, 0.7)], "k int, pd double"), "version", "a", "k", {"pd": "double"}
-    )
+    again = table.update(spark.createDataFrame([(2, 0.7)], "k int, pd double"), "a", "k", {"pd": "double"})
     assert {(r["version"], r["k"]): r["pd"] for r in again.collect()}[("a", 1)] == 0.5
 
 
+def test_numbering_stores_keys_only(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(tables, "staged", lambda df, name, run=tables.staged: (stored.append(df.columns), run(df, name))[1])
+    df = spark.range(500).select(F.col("id").alias("k"), F.lit("wide").alias("w"))
+    assert sorted((r["k"], r["row_no"]) for r in tables.number_rows(df, ["k"]).collect()) == [(i, i + 1) for i in range(500)]
+    assert stored == [["k"], ["k", "_id"]]
+
+
 def test_surrogate_keys_follow_the_natural_order(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k")).repartition(7)
     keyed = tables.with_surrogate_key(df, "sid", "ROW", 6, ["k"]).orderBy("k").collect()
@@ -87,6 +106,17 @@ def test_key_and_reference_audits(spark):
     assert tuple(total) == ("ref", 1, 2)
 
 
+def test_all_keys_in_one_audit(spark):
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (3, "zz"), (4, "zz"), (None, "a")], "id int, ref string")
+    parent = spark.createDataFrame([("a",), ("b",), (None,), (None,)], "ref string")
+    found = quality.audit_keys({"child": child, "parent": parent}, {"child": "id", "parent": "ref"}, [("child", "parent", "ref")])
+    assert {tuple(r) for r in found.collect()} == {
+        ("child key id", 2, 3), ("parent key ref", 1, 2), ("child to parent by ref", 1, 2),
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_large_dimension_stays_distributed(spark):
     big = spark.range(50)
     kept = dimensions.bounded_dimension(big, max_rows=10)
