@@ -114,21 +114,21 @@ def one_hot(p: Portfolio) -> DataFrame:
 _ASSEMBLED = ["utilization_rate", "days_past_due", "cashflow_stress_score"]
 
 
+_PRODUCT_SLOTS = ["auto_loan", "credit_card", "personal_loan", "student_refi"]
+
+
 @query(
     "m05_assembled",
-    """select account_id, month, 7 as n_features, utilization_rate as first_value, cast(days_past_due as double) as second_value,
-    case when product_type = 'auto_loan' then 1e0 else 0e0 end as fourth_value from modeling_dataset""",
+    "select account_id, month, 7 as n_features, utilization_rate as slot_0, cast(days_past_due as double) as slot_1, cashflow_stress_score as slot_2, "
+    + ", ".join(f"case when product_type = '{v}' then 1e0 else 0e0 end as slot_{i}" for i, v in enumerate(_PRODUCT_SLOTS, 3))
+    + " from modeling_dataset",
 )
 def assembled(p: Portfolio) -> DataFrame:
-    rows = tables.staged(p.modeling_dataset.select(*ROW_KEY, *_ASSEMBLED, "product_type"), "features")
+    rows = p.modeling_dataset.select(*ROW_KEY, *_ASSEMBLED, "product_type")
     encoder = ft.one_hot_encoder(["product_type"]).fit(rows)
     vectors = ft.assembler(_ASSEMBLED, ["product_type"]).transform(encoder.transform(rows))
     v = vector_to_array("features")
-    return vectors.select(
-        *ROW_KEY,
-        F.size(v).alias("n_features"),
-        *[F.get(v, i).alias(f"{name}_value") for i, name in ((0, "first"), (1, "second"), (3, "fourth"))],
-    )
+    return vectors.select(*ROW_KEY, F.size(v).alias("n_features"), *[F.get(v, i).alias(f"slot_{i}") for i in range(7)])
 
 
 _LEVELS = {
@@ -583,10 +583,7 @@ _MIX = ["income_band", "product_type", "risk_tier_at_origination"]
     select feature_name, {r('sum((cur - ref) * ln(cur / ref))', 6)} as psi_score from g group by 1""",
 )
 def mix_shift(p: Portfolio) -> DataFrame:
-    rows = p.baseline.select("account_id", "month").join(
-        p.borrowers.select("account_id", *_MIX), "account_id"
-    )
-    return drift.mix_shift(drift.with_period(rows), _MIX)
+    return drift.mix_shift(drift.with_period(p.modeling_dataset.select("month", *_MIX)), _MIX)
 
 
 @query(

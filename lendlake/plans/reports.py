@@ -60,6 +60,15 @@ SCENARIO_MESSAGES = {
     ),
 }
 ALL_PRODUCTS_MESSAGE = "The view covers the full account portfolio."
+OTHER_SCENARIO_MESSAGE = "The selected scenario is {}."
+ONE_PRODUCT_MESSAGE = "The view is focused on `{}` accounts."
+DEFAULT_RISK_MESSAGE = "The selected view has a default rate of {}."
+CASHFLOW_MESSAGE = "The average borrower cashflow stress score is {}."
+INTERPRETATION_MESSAGE = (
+    "Higher stress, utilization, and lower FICO scores are associated with higher "
+    "model-predicted default risk."
+)
+# End of the fixed values.
 
 
 def _where(df: DataFrame, *predicates: Column | None) -> DataFrame:
@@ -184,40 +193,19 @@ def chart_series(report: DataFrame, index: str, metrics: Sequence[str]) -> DataF
 
 def takeaways(kpis: DataFrame, scenario: str, product: str | None = None) -> DataFrame:
     """The executive summary as text rows, from the one-row scenario figures."""
-    view = SCENARIO_MESSAGES.get(
-        scenario, f"The selected scenario is {scenario}."
-    )
-    scope = (
-        ALL_PRODUCTS_MESSAGE
-        if product in NO_FILTER
-        else f"The view is focused on `{product}` accounts."
-    )
+    view = SCENARIO_MESSAGES.get(scenario, OTHER_SCENARIO_MESSAGE.format(scenario))
+    scope = ALL_PRODUCTS_MESSAGE if product in NO_FILTER else ONE_PRODUCT_MESSAGE.format(product)
+
+    def with_percent(message: str, column: str) -> Column:
+        before, after = message.split("{}")
+        return F.concat(F.lit(before), percent_text(column), F.lit(after))
+
     lines = [
         ("Scenario view", F.lit(view)),
         ("Product scope", F.lit(scope)),
-        (
-            "Default risk",
-            F.concat(
-                F.lit("The selected view has a default rate of "),
-                percent_text("selected_default_rate"),
-                F.lit("."),
-            ),
-        ),
-        (
-            "Cashflow stress",
-            F.concat(
-                F.lit("The average borrower cashflow stress score is "),
-                percent_text("selected_cashflow_stress"),
-                F.lit("."),
-            ),
-        ),
-        (
-            "Interpretation",
-            F.lit(
-                "Higher stress, utilization, and lower FICO scores are associated with higher "
-                "model-predicted default risk."
-            ),
-        ),
+        ("Default risk", with_percent(DEFAULT_RISK_MESSAGE, "selected_default_rate")),
+        ("Cashflow stress", with_percent(CASHFLOW_MESSAGE, "selected_cashflow_stress")),
+        ("Interpretation", F.lit(INTERPRETATION_MESSAGE)),
     ]
     return kpis.select(
         F.inline(

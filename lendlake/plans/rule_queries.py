@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_up, rounded_mean
+from ..functions.scalars import lookup, round_half_up
 from ..operators import bureau, rules, stress
 from ..operators.dataset import COLUMNS as DATASET_COLUMNS
+from ..sources.dimensions import repeat_for
 from ..sources.portfolio import ACTIVATION_MONTH, ROW_KEY, Portfolio
 from .registry import query
-from .views import case_of, clip, mean, r, re_, sigmoid
+from .views import case_of, clip, mean, r, sigmoid
 
 SNAPSHOT_KEY = [*ROW_KEY, "scenario_id"]
 _KEY = "account_id, month, scenario_id"
@@ -121,7 +122,7 @@ _SHOCKS = {"interest_rate_shock_bps": 2, "unemployment_shock": 4, "inflation_sho
 @query(
     "d10_scenario_months",
     f"""select scenario_id, scenario_name, month, student_loan_restart_flag, student_loan_payment_multiplier,
-    {', '.join(f'{re_(c, d)} as {c}' for c, d in _SHOCKS.items())} from policy_scenarios""",
+    {', '.join(_SHOCKS)} from policy_scenarios""",
 )
 def scenario_months(p: Portfolio) -> DataFrame:
     return stress.scenario_months(p.scenario_defs, p.months, activation_month=ACTIVATION_MONTH)
@@ -156,15 +157,22 @@ _EXPANDED = """(select a.*, c.state, c.baseline_dti, c.baseline_financial_resili
     from {_EXPANDED} group by month, scenario_id""",
 )
 def panel_expansion(p: Portfolio) -> DataFrame:
-    return (
-        _expanded(p)
-        .groupBy("month", "scenario_id")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_distinct("account_id").alias("accounts"),
-            rounded_mean("unemployment_rate", 6).alias("avg_unemployment"),
-            F.max("policy_stress_index").alias("policy_stress_index"),
-        )
+    # Accounts are counted by region first: only regions are repeated for months and scenarios.
+    places = p.customers.select("customer_id", "state", "zip3")
+    each = p.accounts.groupBy("account_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
+    regions = (
+        each.join(places, "customer_id", "left")
+        .groupBy("state", "zip3")
+        .agg(F.sum("n").alias("n"), F.count("account_id").alias("accounts"))
+    )
+    expanded = stress.fan_out_scenarios(
+        stress.join_macro(repeat_for(regions, p.months.select("month")), p.macro_dimension), p.scenario_dimension
+    )
+    return expanded.groupBy("month", "scenario_id").agg(
+        F.sum("n").alias("rows"),
+        F.sum("accounts").alias("accounts"),
+        round_half_up("(sum(unemployment_rate * n) / sum(if(unemployment_rate is null, 0, n)))", 6).alias("avg_unemployment"),
+        F.max("policy_stress_index").alias("policy_stress_index"),
     )
 
 
@@ -352,13 +360,28 @@ _CHANNEL_CLASS = """case when behavioral_risk_score >= 0.60e0 then 'high_risk' w
     count(case when not (case channel_class when 'low_risk' then payment_channel in ('autopay', 'online', 'mobile')
       when 'medium_risk' then payment_channel in ('autopay', 'online', 'mobile', 'branch')
       else payment_channel in ('online', 'mobile', 'branch', 'failed_autopay') end) then 1 end) as breaks
-    from (select *, {_CHANNEL_CLASS} as channel_class from payment_events) group by 1, 2""",
+    from (select behavioral_risk_score, case account_id % 6 when 0 then 'autopay' when 1 then 'online' when 2 then 'mobile'
+        when 3 then 'branch' when 4 then 'failed_autopay' end as payment_channel, {_CHANNEL_CLASS} as channel_class
+      from account_monthly_snapshots) group by 1, 2
+    union all select channel_class, 'as derived', count(*), count(case when not (case channel_class
+        when 'low_risk' then payment_channel in ('autopay', 'online', 'mobile')
+        when 'medium_risk' then payment_channel in ('autopay', 'online', 'mobile', 'branch')
+        else payment_channel in ('online', 'mobile', 'branch', 'failed_autopay') end) then 1 end)
+      from (select *, {_CHANNEL_CLASS} as channel_class from payment_events) group by 1""",
 )
 def channel_validity(p: Portfolio) -> DataFrame:
     from ..operators.quality import rule_breaks
 
-    classed = p.payment_events.withColumn("channel_class", rules.channel_risk_class())
-    return rule_breaks(classed, rules.channel_allowed("channel_class"), ["channel_class", "payment_channel"])
+    # Channels that know nothing of the class, none among them, break the rule; derived ones must not.
+    names = {0: "autopay", 1: "online", 2: "mobile", 3: "branch", 4: "failed_autopay"}
+    reported = p.account_monthly_snapshots.withColumns(
+        {"channel_class": rules.channel_risk_class(), "payment_channel": F.expr(lookup.sql("account_id % 6", names))}
+    )
+    derived = p.payment_events.withColumn("channel_class", rules.channel_risk_class())
+    allowed = rules.channel_allowed("channel_class")
+    found = rule_breaks(reported, allowed, ["channel_class", "payment_channel"])
+    own = rule_breaks(derived, allowed, ["channel_class"])
+    return found.unionByName(own.withColumn("payment_channel", F.lit("as derived")))
 
 
 # --- bureau and data set ----------------------------------------------------

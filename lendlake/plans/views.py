@@ -8,9 +8,29 @@ from __future__ import annotations
 
 import re
 
-from ..operators.model import CALIBRATED_BANDS, RISK_BANDS
-from ..operators.dataset import ACCOUNT_COLUMNS, BUREAU_COLUMNS, CUSTOMER_COLUMNS, SNAPSHOT_COLUMNS
-from ..sources.portfolio import CURVE, MODEL_INTERCEPT, MODEL_WEIGHTS
+# The constants of the checks are written out here, apart from those that the library uses.
+RISK_BANDS = [(0.50, "critical"), (0.20, "high"), (0.05, "medium")]
+CALIBRATED_BANDS = [(0.10, "critical"), (0.04, "high"), (0.015, "medium")]
+CURVE_KNOTS = [(0.0, 0.0), (0.02, 0.02), (0.05, 0.04), (0.1, 0.08), (0.25, 0.16), (0.5, 0.24), (1.0, 0.5)]
+MODEL_INTERCEPT = -7.2
+MODEL_WEIGHTS = {
+    "cashflow_stress_score": 3.2,
+    "behavioral_risk_score": 1.4,
+    "utilization_rate": 0.8,
+    "macro_stress_score": 0.7,
+    "policy_stress_index": 0.8,
+    "days_past_due": 0.018,
+    "baseline_financial_resilience": -1.3,
+}
+SNAPSHOT_COLUMNS = """account_month_id account_id customer_id month scenario_id default_flag current_balance available_credit
+    utilization_rate minimum_payment_due actual_payment_amount days_past_due cashflow_stress_score behavioral_risk_score
+    macro_stress_score""".split()
+ACCOUNT_COLUMNS = """product_type credit_limit interest_rate term_months origination_fico origination_income origination_dti
+    risk_tier_at_origination""".split()
+CUSTOMER_COLUMNS = """age state employment_type annual_income monthly_income income_band education_level baseline_fico baseline_dti
+    baseline_financial_resilience employment_stability_score""".split()
+BUREAU_COLUMNS = """fico_score total_debt_balance total_credit_limit credit_utilization num_open_accounts num_recent_inquiries
+    delinquencies_12m bankruptcy_flag""".split()
 
 
 def r(x: str, digits: int = 4) -> str:
@@ -58,7 +78,7 @@ LOG_ODDS = f"{MODEL_INTERCEPT!r}e0 + " + " + ".join(f"{c} * {w!r}e0" for c, w in
 
 
 def interpolated(x: str) -> str:
-    knots = list(CURVE.knots)
+    knots = CURVE_KNOTS
     parts = [f"when {x} <= {knots[0][0]!r}e0 then {knots[0][1]!r}e0"]
     for (xa, ya), (xb, yb) in zip(knots, knots[1:]):
         slope = (yb - ya) / (xb - xa)
@@ -134,10 +154,10 @@ select * from (values ('baseline', 'Baseline Economy', 0e0, 0e0, 0e0, 0.10e0),
     "policy_scenarios": """
 select d.scenario_id, d.scenario_name, m.month,
   false as student_loan_restart_flag, 1e0 as student_loan_payment_multiplier,
-  d.bps * case when m.month_index < 42 then 0.35e0 else 1e0 end as interest_rate_shock_bps,
-  d.unemp * case when m.month_index < 42 then 0.35e0 else 1e0 end as unemployment_shock,
-  d.infl * case when m.month_index < 42 then 0.35e0 else 1e0 end as inflation_shock,
-  d.stress * case when m.month_index < 42 then 0.35e0 else 1e0 end as policy_stress_index
+  round_even(d.bps * case when m.month_index < 42 then 0.35e0 else 1e0 end * 1e2, 0) / 1e2 as interest_rate_shock_bps,
+  round_even(d.unemp * case when m.month_index < 42 then 0.35e0 else 1e0 end * 1e4, 0) / 1e4 as unemployment_shock,
+  round_even(d.infl * case when m.month_index < 42 then 0.35e0 else 1e0 end * 1e4, 0) / 1e4 as inflation_shock,
+  round_even(d.stress * case when m.month_index < 42 then 0.35e0 else 1e0 end * 1e4, 0) / 1e4 as policy_stress_index
 from scenario_defs d cross join months m""",
     "panel": """
 select o.account_id, a.customer_id, o.month, s.scenario_id, a.product_type, a.credit_limit, a.interest_rate,

@@ -194,7 +194,7 @@ class Portfolio:
     @cached_property
     def policy_scenarios(self) -> DataFrame:
         return scenario_months(
-            self.scenario_defs, self.months, activation_month=ACTIVATION_MONTH, rounded=False
+            self.scenario_defs, self.months, activation_month=ACTIVATION_MONTH
         )
 
     @cached_property
