@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import os
 import tempfile
 import weakref
@@ -57,7 +58,7 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The frame as a table in the shared folder: read several times, safe from lost executors.
 
-    With ``by``, each value of that column has a folder of its own. The folder is removed when the application ends, or earlier by ``drop_staged``.
+    With ``by``, each value of that column has a folder of its own. The folder is removed when the application ends, or earlier by ``free`` or ``drop_staged``.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
@@ -66,21 +67,51 @@ def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         atexit.register(drop_staged, spark)
     _paths[spark].append(path)
     (df.write.partitionBy(by) if by else df.write).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._staged_at = path
+    return stored
+
+
+def free(*frames: DataFrame) -> None:
+    """Remove staged frames that nothing reads any more, and let Spark drop the shuffle files of finished steps.
+
+    Spark removes a shuffle's files once the driver has collected the plan that made them, so both
+    garbage collectors are asked for.
+    """
+    for df in frames:
+        spark, path = df.sparkSession, df._staged_at
+        _paths.get(spark, []).remove(path)
+        _delete(spark, path)
+    gc.collect()
+    SparkSession.active()._jvm.System.gc()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Remove the staged tables of this session; frames built on them can't be read afterwards."""
     for path in _paths.pop(spark, []):
         with contextlib.suppress(Exception):  # the session may be gone
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _delete(spark, path)
 
 
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def named(column: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def row_of(docs: DataFrame, keep: list[str] | None = None) -> Column:
+    """The columns ``keep`` (by default all) as one struct, so that no name clashes."""
+    return F.struct(*[named(c).alias(c) for c in keep or docs.columns])
+
+
 def remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, parts_of, read, text_or_empty
+from .common import map_arrow, parts_of, read, row_of, text_or_empty
 
 WINDOW = 10
 #: Test texts are searched in blocks of about that many bytes: a block is what a task holds.
@@ -227,7 +227,7 @@ def find_leaks(
     Test items are a query set: they come in bounded blocks, each searched in one pass over the
     documents without a shuffle.
     """
-    own = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
+    own = row_of(docs, keep).alias("row")
     state = docs.select(
         own,
         text_or_empty().alias("text"),
@@ -324,7 +324,7 @@ def remove_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
                 F.when(F.size("spans") > 0, F.length("new").cast(kind)).otherwise(F.col("row.n_chars")).alias(c)
             )
         else:
-            columns.append(F.col(f"row.`{c}`").alias(c))
+            columns.append(F.col("row").getField(c).alias(c))
     return both.select(*columns)
 
 

@@ -16,8 +16,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import map_arrow, parts_of, raw_bytes, read, remainder, text_or_empty, word_codes
+from .common import map_arrow, parts_of, raw_bytes, read, remainder, row_of, text_or_empty, word_codes
 
 TERMS = 2_048
 RANK = 24
@@ -197,10 +198,9 @@ def score_quality(docs: DataFrame, voters: Voters, keep: list[str] | None = None
             score = np.clip(np.concatenate(scores), 0, 1) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["row", "score"])
 
-    own = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
+    own = row_of(docs, keep).alias("row")
     both = docs.select(own, text_or_empty().alias("text"))
-    kind = both.schema["row"].dataType.simpleString()
-    return map_arrow(both, run, f"row {kind}, score double")
+    return map_arrow(both, run, StructType([both.schema["row"]]).add("score", "double"))
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -221,7 +221,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRE
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier doesn't reject, unchanged."""
     scored = score_quality(docs, train(docs, labels)).where(F.col("score") >= threshold)
-    return scored.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return scored.select("row.*")
 
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
-from .common import read, staged
+from .common import named, read, row_of, staged
 
 SHARDS = 8
 SEED = 20_263
@@ -62,10 +62,9 @@ def _hashable(kind: DataType) -> bool:
 
 def _hashed(docs: DataFrame, seed: int) -> DataFrame:
     """The row as a struct, its source as a key without nulls, and its seeded hash."""
-    named = {f.name: F.col(f"`{f.name.replace('`', '``')}`") for f in docs.schema}
-    parts = [named[f.name] for f in docs.schema if _hashable(f.dataType)]
+    parts = [named(f.name) for f in docs.schema if _hashable(f.dataType)]
     return docs.select(
-        F.struct(*[c.alias(name) for name, c in named.items()]).alias("doc"),
+        row_of(docs).alias("doc"),
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("_source"),
         F.xxhash64(F.lit(seed), *parts).alias("_hash"),
     )

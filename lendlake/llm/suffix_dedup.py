@@ -19,8 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import BLANKS, map_arrow, parts_of, raw_bytes, read, ship, staged, text_or_empty, word_codes
+from .common import BLANKS, free, map_arrow, parts_of, raw_bytes, read, row_of, ship, staged, text_or_empty, word_codes
 
 LENGTH = 400
 #: Words of the shortest passage over 50 words, and bytes of a word's hash where words are compared.
@@ -483,8 +484,10 @@ def _spans(docs: DataFrame, length: int, most_types: int) -> DataFrame:
     ship(docs.sparkSession)
     every = _anchors(docs, length)
     # Most anchor strings occur once; what follows sees the others only.
-    repeated = every.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
+    repeated = staged(every.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h"), "repeated-strings")
+    # Both sides of the join are stored, so Spark can split the rows of a hot anchor string.
     anchors = staged(every.join(repeated, "h"), "repeated-anchors")
+    free(every, repeated)
     types = staged(
         anchors.groupBy("h", "c").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("at"), F.min("l").alias("l"), F.min("r").alias("r")
@@ -499,14 +502,19 @@ def _spans(docs: DataFrame, length: int, most_types: int) -> DataFrame:
     if not several.where(f"types > {most_types}").isEmpty():
         hot = staged(wanted.where(f"types > {most_types}"), "hot-types")
         covered = covered.unionByName(_cored_types(docs, hot, length, most_types))
+    covered = staged(covered, "covered-types")
+    free(types)
 
-    return (
+    spans = staged(
         anchors.select("h", "c", "key", "place")
         .join(covered, ["h", "c"])
         .select("key", F.transform("spans", lambda x: x + F.col("place")).alias("spans"))
         .groupBy("key")
-        .agg(F.flatten(F.collect_set("spans")).alias("spans"))
+        .agg(F.flatten(F.collect_set("spans")).alias("spans")),
+        "spans",
     )
+    free(anchors, covered)
+    return spans
 
 
 def word_bytes(texts: pa.Array) -> pa.Array:
@@ -559,7 +567,8 @@ def find_repeats(
     docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None, most_types: int = MOST_TYPES, words: int = 0
 ) -> DataFrame:
     """row (the columns ``keep``, by default all), text (bytes), spans (flat starts and ends of
-    what is to be removed, unmerged) of every document.
+    the strings that repeat, unmerged) of every document; with ``words`` also passages (the same
+    of passages).
 
     A null or empty text has no bytes; texts below ``length`` bytes repeat nothing; equal texts
     of at least ``length`` bytes repeat each other as a whole; an empty table gives no rows.
@@ -569,7 +578,7 @@ def find_repeats(
     bytes they have; their words are compared by 48-bit hashes.
     """
     spans = _spans(docs, length, most_types)
-    own = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
+    own = row_of(docs, keep).alias("row")
     raw = text_or_empty().cast("binary")
     rows = docs.select(own, raw.alias("text")).withColumn(
         "key", F.expr(TEXT_KEY)
@@ -577,15 +586,14 @@ def find_repeats(
     if not words:
         return rows.join(spans, "key", "left").select("row", "text", "spans")
 
-    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = []
-            for text, flat, coded in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
-                flat = np.array(flat.as_py() or [], np.int64)
-                if coded.is_valid:
-                    flat = np.append(flat, passage_spans(text.as_py(), np.array(coded.as_py(), np.int64), words))
-                every.append(flat)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(every, pa.list_(pa.int64()))], ["row", "text", "spans"])
+            every = [
+                passage_spans(text.as_py(), np.array(coded.as_py(), np.int64), words) if coded.is_valid else None
+                for text, coded in zip(batch.column(1), batch.column(3), strict=True)
+            ]
+            arrays = [*batch.columns[:3], pa.array(every, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "text", "spans", "passages"])
 
     passages = _passages(docs, words, most_types)
     none = F.lit(None).cast("array<bigint>")
@@ -596,12 +604,13 @@ def find_repeats(
         .agg(F.first("spans", True).alias("spans"), F.first("coded", True).alias("coded"))
     )
     found = rows.join(merged, "key", "left").select("row", "text", "spans", "coded")
-    kind = found.schema["row"].dataType.simpleString()
-    return map_arrow(found, both, f"row {kind}, text binary, spans array<bigint>")
+    return map_arrow(found, located, StructType(found.schema.fields[:3]).add("passages", ArrayType(LongType())))
 
 
 def removal_report(repeats: DataFrame) -> DataFrame:
-    """Digest per document of ``find_repeats``."""
+    """Digest per document of ``find_repeats``; where passages were looked for, also n_passages and
+    n_passage_bytes (runs of repeated passages, and their bytes)."""
+    wide = "passages" in repeats.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -620,11 +629,16 @@ def removal_report(repeats: DataFrame) -> DataFrame:
                 runs.append(len(start))
                 digests.append(kept.hexdigest())
             arrays = [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, removed, runs)), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            if wide:
+                merged = [merged_spans(np.array(flat.as_py() or [], np.int64)) for flat in batch.column(3)]
+                arrays += [pa.array([len(a) for a, _ in merged], pa.int64()), pa.array([int((b - a).sum()) for a, b in merged], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
-    kind = repeats.schema["row"].dataType.simpleString()
-    found = map_arrow(repeats, run, f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    return found.select("row.*", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["n_passages", "n_passage_bytes"][: 2 * wide]]
+    schema = StructType([repeats.schema["row"]])
+    for name in names[1:]:
+        schema = schema.add(name, "string" if name == "kept_sha256" else "long")
+    return map_arrow(repeats, run, schema).select("row.*", *names[1:])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
@@ -635,9 +649,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, flat in zip(batch.column(1), batch.column(2), strict=True):
+            for text, *flats in zip(*batch.columns[1:], strict=True):
                 raw = text.as_py()
-                start, end = merged_spans(np.array(flat.as_py() or [], np.int64))
+                start, end = merged_spans(np.array([x for flat in flats for x in flat.as_py() or []], np.int64))
                 kept, at = [], 0
                 for a, b in zip(start.tolist(), end.tolist(), strict=True):
                     kept.append(raw[at:a])
@@ -648,11 +662,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "new"])
 
     found = find_repeats(docs, length, words=words)
-    kind = found.schema["row"].dataType.simpleString()
-    both = map_arrow(found, run, f"row {kind}, new string")
+    both = map_arrow(found, run, StructType([found.schema["row"]]).add("new", "string"))
     columns = []
     for c in docs.columns:
-        old = F.col(f"row.`{c}`")
+        old = F.col("row").getField(c)
         if c == "text":
             columns.append(F.coalesce("new", old).alias(c))
         elif c == "n_chars":
@@ -663,5 +676,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int = 0) -> Dat
 
 
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Removed bytes of all documents: strings of 400 bytes that start anywhere else too."""
-    return removal_report(find_repeats(read(spark, folder, "documents"), keep=["doc_id"]))
+    """Removed bytes of all documents (strings of 400 bytes that start anywhere else too), and their repeated passages of over 50 words."""
+    return removal_report(find_repeats(read(spark, folder, "documents"), keep=["doc_id"], words=PASSAGE_WORDS))

@@ -275,6 +275,31 @@ def test_near_duplicates(spark, folder, texts, edge):
     assert sorted(r.doc_id or 0 for r in minhash_dedup.drop_near_duplicates(edge).collect()) == [0, 1, 2, 3, 4, 6, 7, 8]
 
 
+def test_one_id_on_several_texts(spark):
+    rng = random.Random(12)
+    one, other, alone = ([f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(3))
+    near = [*one[:30], "changed", *one[31:]]
+    rows = [(1, " ".join(one)), (7, " ".join(near)), (7, " ".join(other)), (9, " ".join([*other[:30], "x", *other[31:]])), (7, " ".join(alone))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.component_id) for r in minhash_dedup.link_documents(docs, 2).collect())
+    assert found == [(1, 1), (7, 1), (7, 7), (7, 7), (9, 7)]
+    kept = sorted((r.doc_id, r.text) for r in minhash_dedup.drop_near_duplicates(docs, 2).collect())
+    assert kept == sorted([rows[0], rows[2], rows[4]])
+
+
+def test_stages_keep_columns_of_any_name(spark, folder):
+    import corpus_pipeline
+
+    columns = ["doc_id", "text", "lang", "source", "n_chars", "_row", "a.b", "x y", "text_hash", "component", "shard", "bl`ock"]
+    rows = [(i, f"w{i} " * 40 + "some plain words of a text", "en", "s", 0, 1, 2, 3, 4, 5, 6, 7) for i in range(4)]
+    docs = spark.createDataFrame(rows, columns)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, folder)
+        assert got.columns == columns, name
+        assert all(tuple(r)[5:] == (1, 2, 3, 4, 5, 6, 7) for r in got.collect()), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == 4
+
+
 # --- repeated strings ---------------------------------------------------------------------------
 
 
@@ -351,6 +376,21 @@ def test_pipeline_cuts_short_repeated_passages(spark, folder):
     assert " ".join(under) in " ".join(want[2].split())  # 50 words stay
 
 
+def test_repeat_query(spark, folder, texts):
+    raw = {i: t.encode() for i, t in texts.items()}
+    count = collections.Counter(t[j : j + 400] for t in raw.values() for j in range(len(t) - 399))
+    spans = {i: [m.span() for m in re.finditer(rb"[^ \t-\r]+", t)] for i, t in raw.items()}
+    windows = {i: [tuple(raw[i][a:b] for a, b in p[j : j + 51]) for j in range(len(p) - 50)] for i, p in spans.items()}
+    often = collections.Counter(w for x in windows.values() for w in x)
+    for r in queries.QUERIES["op6_suffix_dedup"](spark, folder).collect():
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == plain_removal(raw[r.doc_id], count)
+        gone = np.zeros(len(raw[r.doc_id]) + 1, np.int8)
+        for j, w in enumerate(windows[r.doc_id]):
+            if often[w] > 1:
+                gone[spans[r.doc_id][j][0] : spans[r.doc_id][j + 50][1]] = 1
+        assert (r.n_passage_bytes, r.n_passages) == (gone.sum(), (np.diff(gone, prepend=0) == 1).sum())
+
+
 def test_blind_trie_sorts():
     rng = random.Random(3)
     for _ in range(200):
