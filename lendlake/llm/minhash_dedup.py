@@ -16,10 +16,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, parts_of, read, ship, staged, text_or_empty, word_codes
+from .common import free, map_arrow, parts_of, read, row_of, ship, staged, text_or_empty, word_codes
 
 WORDS = 5
 PERCENT = 80
@@ -139,7 +139,7 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     written to the shared folder; no round collects links or labels.
     """
     labels = staged(nodes.select("id", F.col("id").alias("component")), "labels")
-    links = links.where("a <> b").select("a", "b")
+    links, before = links.where("a <> b").select("a", "b"), None
     while True:
         # Links between the labels of their ends.
         ends = (
@@ -150,28 +150,33 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             .distinct()
         )
         ends = staged(ends, "links")
+        if before is not None:
+            free(before)
         if ends.isEmpty():
+            free(ends)
             return labels
-        parents = ends.groupBy("high").agg(F.min("low").alias("low"))
-        parents = staged(parents, "parents")
+        parents = staged(ends.groupBy("high").agg(F.min("low").alias("low"), F.lit(True).alias("moved")), "parents")
         # Pointer jumping until no parent has a parent: chains end at their least label.
         while True:
             up = parents.select(F.col("high").alias("low"), F.col("low").alias("up"))
             jumped = staged(
-                parents.join(up, "low", "left").select(
+                parents.select("high", "low").join(up, "low", "left").select(
                     "high", F.coalesce("up", "low").alias("low"), F.col("up").isNotNull().alias("moved")
                 ),
                 "parents",
             )
-            parents = jumped.select("high", "low")
+            free(parents)
+            parents = jumped
             if jumped.where("moved").isEmpty():
                 break
-        labels = staged(
-            labels.join(parents.withColumnRenamed("high", "component"), "component", "left").select(
+        hung = staged(
+            labels.join(parents.select(F.col("high").alias("component"), "low"), "component", "left").select(
                 "id", F.coalesce("low", "component").alias("component")
             ),
             "labels",
         )
+        free(labels, parents)
+        labels, before = hung, ends
         links = ends.select(F.col("low").alias("a"), F.col("high").alias("b"))
         # Ends are labels, and every label is the id of one of its members.
 
@@ -180,37 +185,45 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _sketched(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, digest, registers (binary) of each row; staged."""
+    """doc_id, text_hash, n_shingles, digest, registers (binary) of each row; staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, 1):
-                values, sizes, digests = shingle_sets(part.column(1).to_pylist(), words)
+            for part in parts_of(batch, 2):
+                values, sizes, digests = shingle_sets(part.column(2).to_pylist(), words)
                 registers = sketches(values, sizes)
                 arrays = [
                     part.column(0),
+                    part.column(1),
                     pa.array(sizes),
                     pa.array(digests, pa.binary()),
                     pa.array([r.tobytes() if n else None for r, n in zip(registers, sizes, strict=True)], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "digest", "registers"])
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "n_shingles", "digest", "registers"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    return staged(
-        map_arrow(source, run, "doc_id bigint, n_shingles bigint, digest binary, registers binary"), "sketches"
-    )
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("text_hash"),
+        text_or_empty().cast("binary").alias("text"),
+    )
+    fields = "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, registers binary"
+    return staged(map_arrow(source, run, fields), "sketches")
+
+
+def _text_hash() -> Column:
+    """Tells the rows of one id apart; null and empty texts differ."""
+    return F.xxhash64("text", F.col("text").isNull())
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class ids whose full sets are similar enough; sets are made anew from
-    the texts of the members that occur in pairs, so no set is ever stored."""
+    """The pairs (a, b) of class numbers whose full sets are similar enough; sets are made anew
+    from the texts of the classes that occur in pairs."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, 1):
-                values, sizes, _ = shingle_sets(part.column(1).to_pylist(), words)
+            for part in parts_of(batch, 0):
+                values, sizes, digests = shingle_sets(part.column(0).to_pylist(), words)
                 packed = [x.tobytes() for x in np.split(values, np.cumsum(sizes)[:-1])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], ["id", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(packed, pa.binary())], ["digest", "set"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,38 +235,37 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    # Class ids are ids of documents of that class; of rows that share the id, one with its digest.
-    own = classes.join(needed, "id").select("id", "digest")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().cast("binary").alias("text"))
-    with_sets = map_arrow(texts.join(own.select("id"), "id", "left_semi"), sets, "id bigint, set binary")
-    chosen = staged(with_sets.groupBy("id").agg(F.first("set").alias("set")), "sets")
+    # A class is found again by its least doc_id; of the rows with that id, by the digest of its words.
+    own = staged(classes.join(needed, "id").select("id", "digest", F.col("least").alias("doc_id")), "needed-classes")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
+    with_sets = map_arrow(texts.join(own.select("doc_id").distinct(), "doc_id", "left_semi").select("text"), sets, "digest binary, set binary")
+    chosen = staged(with_sets.join(own.select("id", "digest"), "digest").groupBy("id").agg(F.first("set").alias("set")), "sets")
+    free(own)
     joined = pairs.join(chosen.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a").join(
         chosen.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b"
     )
-    return staged(map_arrow(joined.select("a", "b", "set_a", "set_b"), compare, "a bigint, b bigint"), "confirmed")
+    found = staged(map_arrow(joined.select("a", "b", "set_a", "set_b"), compare, "a bigint, b bigint"), "confirmed")
+    free(chosen)
+    return found
 
 
-def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of whole texts: documents linked when
-    100 * intersection >= ``percent`` * union of their sets of ``words``-word shingles.
-
-    Words are runs of non-blank bytes, A-Z lower-cased. A text with fewer words is one shingle;
-    a null, empty or blank text has none and is linked with nothing. Rows that repeat an id are
-    documents of their own with that id; they are linked by their texts like others (equal ids
-    alone link nothing). A null id takes no part and comes back as its own component (null). Other
-    columns are ignored, and an empty table gives none.
-    """
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, digest, component (a number, null without words) and
+    component_id of every row."""
     spark = docs.sparkSession
     ship(spark)
-    rows = _sketched(docs, words)
-    # Classes of equal word sequences, named by their least id. Ids that repeat with different
-    # texts would give two classes one name, so a class is a (digest) and its number a hash rank.
+    sketched = _sketched(docs, words)
+    # Classes of equal word sequences. Their numbers, not their ids, are the nodes: an id may
+    # stand on several texts.
     classes = staged(
-        rows.where("digest is not null and doc_id is not null")
+        sketched.where("digest is not null and doc_id is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")),
+        .agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
+    rows = staged(sketched.drop("registers"), "rows")
+    free(sketched)
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,7 +299,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .distinct()
     )
     first = staged(first, "first-pairs")
-    ids = classes.select("id").distinct()
+    ids = classes.select("id")
     done = _confirmed(first, classes, docs, words, percent)
     labels = components(ids, done)
 
@@ -299,17 +311,34 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .where("_low <> _high")
         .select("band", "_n")
     )
-    open_ = mixed_bands.join(spread, "band")
-    pairs = _open_pairs(staged(open_, "open-bands"), classes, percent)
-    pairs = staged(pairs.join(first, ["a", "b"], "left_anti"), "more-pairs")
+    open_ = staged(mixed_bands.join(spread, "band"), "open-bands")
+    free(met)
+    pairs = staged(_open_pairs(open_, classes, percent).join(first, ["a", "b"], "left_anti"), "more-pairs")
+    free(open_, first)
     if not pairs.isEmpty():
         more = _confirmed(pairs, classes, docs, words, percent)
+        free(labels)
         labels = components(ids, done.unionByName(more))
 
-    named = classes.select("digest", "id").join(labels, "id").select("digest", "component")
-    return rows.join(named, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
-    )
+    # A component is named by the least doc_id of its classes.
+    of_class = classes.select("id", "digest", "least").join(labels, "id")
+    names = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = of_class.join(names, "component").select("digest", "component", "component_id")
+    return rows.join(named, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
+def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id of whole texts: documents linked when
+    100 * intersection >= ``percent`` * union of their sets of ``words``-word shingles.
+
+    Words are runs of non-blank bytes, A-Z lower-cased. A text with fewer words is one shingle;
+    a null, empty or blank text has none and is linked with nothing. Rows that repeat an id are
+    documents of their own with that id; they are linked by their texts like others (equal ids
+    alone link nothing). A component has the least doc_id of its rows. A null id takes no part
+    with its row (null is its component, unless its words are those of another row). Other
+    columns are ignored, and an empty table gives none.
+    """
+    return _linked(docs, words, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def _open_pairs(open_bands: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -374,15 +403,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component: the one of the least doc_id.
+    """``docs`` with one document of each component: that of the least doc_id.
 
-    Rows with a null id stay. Of rows that repeat the kept id, one stays for each component.
+    Documents without words and rows with a null id stay. Of rows that are equal in id and text
+    one stays; where the least id stands on several texts of a component, one of them does.
+    Columns may have any name.
     """
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    rest = keyed.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "_row"])
-    null = keyed.where("doc_id is null")
-    return rest.unionByName(null).drop("_row").select(*docs.columns)
+    linked = _linked(docs, words, percent).where("doc_id is not null and doc_id = component_id")
+    one = linked.where("digest is not null").groupBy("component").agg(F.first(F.struct("doc_id", "text_hash"), True).alias("_one"))
+    firsts = one.select("_one.doc_id", "_one.text_hash").unionByName(linked.where("digest is null").select("doc_id", "text_hash").distinct())
+    firsts = staged(firsts, "kept-rows")
+    rows = docs.select(
+        row_of(docs).alias("doc"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        _text_hash().alias("text_hash"),
+    )
+    rest = rows.join(firsts, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return rest.unionByName(rows.where("doc_id is null")).select("doc.*")
 
 
 def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
