@@ -36,12 +36,14 @@ CAPTURE = (
 # --- writing ------------------------------------------------------------------------------------
 
 
-def with_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, first (the page whose record is the response).
+def with_records(pages: DataFrame, least: int = LEAST_REVISIT, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """page_id, url, payload, payload_bytes, payload_digest, refers_to (the page that a revisit repeats),
+    dealt so that a partition is an archive of about ``archive_bytes`` of payload.
 
     Of payloads of at least ``least`` bytes that are equal, the smallest page_id's is stored.
-    Group minima are made before rows are shuffled, and only groups of several pages are joined
-    back; a payload that a third of all pages share is a skewed but splittable join.
+    The first pages are found on ids, lengths and digests alone, with group minima made before rows are
+    shuffled. Payloads are shuffled once, by archive, and meet their revisit marks there. Pages
+    are dealt by page and digest, so that neither a hot host nor a hot page id makes a large archive.
     """
     body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     keyed = pages.select(
@@ -50,17 +52,21 @@ def with_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         body.alias("payload"),
         F.octet_length(body).cast("long").alias("payload_bytes"),
         F.sha2(body, 256).alias("payload_digest"),
-    )
+    ).withColumn("_deal", F.xxhash64("page_id", "url", "payload_digest"))
+    slim = staged(keyed.select("page_id", "payload_bytes", "payload_digest", "_deal"), "payloads")
     groups = (
-        keyed.where(F.col("payload_bytes") >= least)
+        slim.where(F.col("payload_bytes") >= least)
         .groupBy("payload_digest")
         .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
         .drop("_n")
     )
-    return keyed.join(groups, "payload_digest", "left").withColumn(
-        "refers_to", F.when(F.col("first") != F.col("page_id"), F.col("first"))
-    )
+    # Both sides of the join are stored, so Spark can split a payload that a third of all pages share.
+    marks = slim.join(staged(groups, "first-pages"), "payload_digest")
+    revisits = marks.where("first <> page_id").select("_deal", F.col("first").alias("refers_to")).distinct()
+    archives = slim.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()[0] // archive_bytes + 1
+    dealt = keyed.repartition(archives, "_deal")
+    return dealt.join(revisits.repartition(archives, "_deal").hint("merge"), "_deal", "left").drop("_deal")
 
 
 def _line(name: str, value: Column) -> Column:
@@ -105,13 +111,9 @@ def record_of() -> Column:
     return F.concat(head.cast("binary"), stored)
 
 
-def write_archives(records: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+def write_archives(records: DataFrame, path: str) -> None:
     """Write one WARC record a row; a text file whose rows end with two line ends is an archive."""
-    total = records.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()[0]
-    archives = total // archive_bytes + 1
-    # Dealt by page and digest, so that neither a hot host nor a hot page id makes a large archive.
-    dealt = records.repartition(archives, F.xxhash64("page_id", "url", "payload_digest"))
-    dealt.select(record_of().cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
+    records.select(record_of().cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
 
 
 # --- reading ------------------------------------------------------------------------------------

@@ -197,7 +197,7 @@ def test_archives(spark, tmp_path):
 
 
 def test_merge_in_many_ranges(spark, folder, tmp_path):
-    warc_index.write_archives(warc_index.with_records(read(spark, folder, "pages")), str(tmp_path / "w"), 20_000)
+    warc_index.write_archives(warc_index.with_records(read(spark, folder, "pages"), archive_bytes=20_000), str(tmp_path / "w"))
     got = warc_index.merge_runs(warc_index.read_runs(spark, str(tmp_path / "w")), 8).collect()
     keys = [warc_index.capture_key(r[2:]) for r in sorted(got, key=lambda r: (r.range_no, r.rank))]
     assert keys == sorted(keys) and len({r.range_no for r in got}) > 3
