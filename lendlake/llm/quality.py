@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ THRESHOLD = 0.3
 #: Labelled documents that the vectors come from, by the least hash; and bytes of text of them.
 SAMPLE_ROWS = 6_000
 SAMPLE_BYTES = 64_000_000
+#: Bytes of text whose terms are counted at once.
+PART_BYTES = 2_000_000
 BLOCK = 512
 
 _SHAPE = bytes(
@@ -193,13 +196,18 @@ def score_quality(docs: DataFrame, voters: Voters, keep: list[str] | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = shared.value
         for batch in batches:
-            parts = [p.slice(a, BLOCK) for p in parts_of(batch, 1) for a in range(0, p.num_rows, BLOCK)]
-            scores = [voters.vote(term_counts(p.column(1))) for p in parts]
+            rows = batch.column(0)
+            # Texts that come back are taken from their rows, so that a batch holds them once.
+            texts = batch.column(1) if batch.num_columns > 1 else pc.struct_field(rows, [place])
+            texts = pa.RecordBatch.from_arrays([texts.cast(pa.string()).fill_null("")], ["text"])
+            parts = [p.slice(a, BLOCK) for p in parts_of(texts, 0, PART_BYTES) for a in range(0, p.num_rows, BLOCK)]
+            scores = [voters.vote(term_counts(p.column(0))) for p in parts]
             score = np.clip(np.concatenate(scores), 0, 1) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["row", "score"])
+            yield pa.RecordBatch.from_arrays([rows, pa.array(score)], ["row", "score"])
 
+    place = -1 if keep else docs.columns.index("text")
     own = row_of(docs, keep).alias("row")
-    both = docs.select(own, text_or_empty().alias("text"))
+    both = docs.select(own, text_or_empty().alias("text")) if keep else docs.select(own)
     return map_arrow(both, run, StructType([both.schema["row"]]).add("score", "double"))
 
 
