@@ -28,6 +28,8 @@ REGISTERS = BANDS * BAND_ROWS
 ZERO_BITS, MANTISSA_BITS = 6, 26
 #: Members of a band that are compared as one block; larger bands are split to pairs of blocks.
 BLOCK = 256
+#: Bytes of text whose shingles are made at once.
+PART_BYTES = 2_000_000
 #: The estimate must be that many standard errors below the threshold to drop a pair unverified.
 MARGIN = 6.0
 
@@ -189,7 +191,7 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, 2):
+            for part in parts_of(batch, 2, PART_BYTES):
                 values, sizes, digests = shingle_sets(part.column(2).to_pylist(), words)
                 registers = sketches(values, sizes)
                 arrays = [
@@ -220,7 +222,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, 0):
+            for part in parts_of(batch, 0, PART_BYTES):
                 values, sizes, digests = shingle_sets(part.column(0).to_pylist(), words)
                 packed = [x.tobytes() for x in np.split(values, np.cumsum(sizes)[:-1])]
                 yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(packed, pa.binary())], ["digest", "set"])
@@ -228,8 +230,8 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
