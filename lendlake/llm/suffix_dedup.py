@@ -230,7 +230,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, 0, 2_000_000):
+            for part in parts_of(batch, 0, 1_000_000):
                 body, offsets = raw_bytes(part.column(0))
                 places = anchor_places(body, offsets, length)
                 raw = body.tobytes()
@@ -553,7 +553,7 @@ def _passages(docs: DataFrame, words: int, most_types: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, 0, 2_000_000):
+            for part in parts_of(batch, 0, 1_000_000):
                 yield pa.RecordBatch.from_arrays([part.column(0), word_bytes(part.column(0))], ["raw", "text"])
 
     source = docs.select(text_or_empty().cast("binary").alias("raw")).where(F.octet_length("raw") >= 2 * words - 1)
