@@ -1,6 +1,7 @@
 """Headline timings: one JSON line.
 
-Every query starts from the input tables, so the time includes building the account panel.
+The first query that needs a stored table pays for building it from the input tables (q02: the account months;
+q05: bureau and data set); later ones read it. The total covers both.
 BENCH_SF_DIR, BENCH_CPUS and BENCH_QUERIES (comma-separated names) change the run.
 """
 
