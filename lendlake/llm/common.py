@@ -55,7 +55,7 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None, compression: str | None = None) -> DataFrame:
     """The frame as a table in the shared folder: read several times, safe from lost executors.
 
     With ``by``, each value of that column has a folder of its own. The folder is removed when the application ends, or earlier by ``free`` or ``drop_staged``.
@@ -66,7 +66,7 @@ def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         _paths[spark] = []
         atexit.register(drop_staged, spark)
     _paths[spark].append(path)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path, compression=compression)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._staged_at = path
     return stored

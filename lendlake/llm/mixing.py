@@ -11,6 +11,8 @@ slot's block packed with its words, one folder for a shard.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,14 +32,13 @@ SLOTS_PER_CHUNK = 8_192
 
 def word_count(text: Column) -> Column:
     """Number of runs of non-blank characters; null has none."""
-    marked = F.regexp_replace(text, r"[^\x20\x09-\x0D]+", "x")
-    return F.coalesce(F.length(F.translate(marked, BLANKS, "")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def words_of(text: str) -> str:
     """The words that ``word_count`` counts, as an expression (the blanks end no pattern of SQL text)."""
     codes = ", ".join(f"char({ord(c)})" for c in BLANKS)
-    return f"filter(split(translate({text}, concat({codes}), space({len(BLANKS)})), ' +'), x -> x <> '')"
+    return f"array_remove(split(translate({text}, concat({codes}), space({len(BLANKS)})), ' '), '')"
 
 
 def source_targets(
@@ -83,16 +84,30 @@ def source_targets(
     return rest.select("source", "source_no", "source_size", "weight", target.alias("target"))
 
 
-def permuted(index: str, size: str, *key: str, rounds: int = ROUNDS) -> Column:
-    """Pseudorandom permutation of 0 .. size-1 (swap-or-not), as an expression."""
+def permuted(df: DataFrame, index: str, size: str, *key: str, rounds: int = ROUNDS) -> DataFrame:
+    """``df`` with ``place``: a pseudorandom permutation of 0 .. size-1 (swap-or-not) at ``index``.
+
+    Each round is a projection of its own, so that all of them stay generated code.
+    """
     keys = ", ".join(key)
-    return F.expr(
-        f"""aggregate(sequence(0, {rounds - 1}), cast({index} as bigint), (x, r) ->
-              case when xxhash64({SEED}, {keys}, r, greatest(x, pmod(
-                       pmod(xxhash64({keys}, r, {SEED}), {size}) - x, {size}))) % 2 = 0
-                   then x
-                   else pmod(pmod(xxhash64({keys}, r, {SEED}), {size}) - x, {size}) end)"""
-    )
+    df = df.withColumn("place", F.expr(f"cast({index} as bigint)"))
+    for r in range(rounds):
+        mirror = F.expr(f"pmod(pmod(xxhash64({keys}, {r}, {SEED}), {size}) - place, {size})")
+        swap = F.expr(f"xxhash64({SEED}, {keys}, {r}, greatest(place, _mirror)) % 2 <> 0")
+        df = df.withColumn("_mirror", mirror).withColumn("place", F.when(swap, F.col("_mirror")).otherwise(F.col("place")))
+    return df.drop("_mirror")
+
+
+@contextmanager
+def subset_keys(spark: SparkSession) -> Iterator[None]:
+    """Joins planned inside may use a partitioning by some of their keys as it is."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 @dataclass
@@ -102,12 +117,14 @@ class Mix:
     ``sources``: source, source_no, source_size, weight, target. ``slots``: source_no, epoch,
     slot, shard, block, words (fewer than a whole block only in a source's last slot or in its
     stream's last block). ``documents``: doc_id, source_no, size, start (place in the source's stream).
-    ``texts``: the same with text.
+    ``texts``: the same with text and bucket, dealt by source_no and bucket. ``buckets``: source_no,
+    bucket, first and last block that the bucket's words reach.
     """
 
     sources: DataFrame
     documents: DataFrame
     texts: DataFrame
+    buckets: DataFrame
     slots: DataFrame
     block_words: int
     _written: DataFrame | None = None
@@ -116,8 +133,9 @@ class Mix:
         """Slots of each source in each output shard: the multinomial draw."""
         return self.slots.groupBy("shard", "source_no").agg(F.count(F.lit(1)).alias("slots"))
 
-    def blocks(self) -> DataFrame:
-        """source_no, block, pieces of its documents in order: words from ``at`` to ``until`` of the block."""
+    def pieces(self) -> DataFrame:
+        """source_no, bucket, block, piece: what each document gives to each block, words from ``at`` to
+        ``until`` of the block. They lie where ``texts`` are dealt to."""
         n = self.block_words
         # The words are the element of an outer array, so that they are split once and not for each block.
         pieces = F.expr(
@@ -127,9 +145,24 @@ class Mix:
                     'text', array_join(slice(w, cast(greatest(0L, b * {n} - start) as int) + 1, cast(
                       least({n}L, start + size - b * {n}) - greatest(0L, start - b * {n}) as int)), ' '))))[0]"""
         )
-        some = self.texts.where("size > 0").select("doc_id", "source_no", "size", "start", F.explode(pieces).alias("p"))
-        piece = F.struct("p.at", "p.until", "start", "size", "doc_id", "p.text")  # at most a word's piece each
-        return some.groupBy("source_no", F.col("p.block").alias("block")).agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+        some = self.texts.where("size > 0").select("doc_id", "source_no", "bucket", "size", "start", F.explode(pieces).alias("p"))
+        piece = F.struct("p.at", "p.until", "start", "size", "doc_id", "p.text")
+        return some.select("source_no", "bucket", F.col("p.block").alias("block"), piece.alias("piece"))
+
+    def placed_slots(self) -> DataFrame:
+        """The slots with each bucket that has words of their blocks, dealt as ``texts``: numbers alone move."""
+        homes = self.buckets.select("source_no", "bucket", F.explode(F.expr("sequence(first, last)")).alias("block"))
+        # Catalyst takes the exploded slots for a few bytes, so merge joins are asked for by name.
+        return self.slots.join(homes.hint("merge"), ["source_no", "block"]).repartition("source_no", "bucket")
+
+    def packed(self) -> DataFrame:
+        """Each slot with the pieces of its block. Texts move once to their buckets, where slots come to
+        meet them, and once to the shards: the pieces of a block from several buckets meet there."""
+        key = ("shard", "source_no", "epoch", "slot", "block", "words")
+        met = self.pieces().join(self.placed_slots().hint("merge"), ["source_no", "bucket", "block"])
+        # Pieces behind a short slot's words are not taken.
+        used = met.where("piece.at < words").select(*key, "piece").repartition("shard")
+        return used.groupBy(*key).agg(F.sort_array(F.collect_list("piece")).alias("pieces"))  # at most a word's piece each
 
     def written(self) -> DataFrame:
         """The mix: shard, source_no, epoch, slot, block, words, text, and the documents that it is of.
@@ -138,23 +171,21 @@ class Mix:
         doc_id, size, start and the words taken of each document. Made once.
         """
         if self._written is None:
-            # Slots are few per block (max_repeats + 1 at most), so blocks join with their uses.
-            # Catalyst takes the exploded slots for a few bytes, so the join is asked for by name.
-            every = self.slots.join(self.blocks().hint("merge"), ["source_no", "block"])
             whole = F.expr("array_join(transform(pieces, p -> p.text), ' ')")
-            rows = every.select(
+            rows = self.packed().select(
                 "shard", "source_no", "epoch", "slot", "block", "words",
                 F.when(F.expr("element_at(pieces, -1).until <= words"), whole)
                 .otherwise(F.array_join(F.slice(F.split(whole, " "), 1, F.col("words").cast("int")), " "))
                 .alias("text"),
                 F.expr(
-                    """transform(filter(pieces, p -> p.at < words), p -> named_struct(
+                    """transform(pieces, p -> named_struct(
                          'doc_id', p.doc_id, 'size', p.size, 'start', p.start, 'words', least(p.until, words) - p.at))"""
                 ).alias("pieces"),
             )
             order = F.xxhash64(F.lit(SEED + 2), "source_no", "slot")
-            laid = rows.repartition("shard").sortWithinPartitions("shard", order, "source_no", "slot")
-            self._written = staged(laid, "mix-shards", by="shard")
+            laid = rows.sortWithinPartitions("shard", order, "source_no", "slot")
+            with subset_keys(laid.sparkSession):
+                self._written = staged(laid, "mix-shards", by="shard", compression="zstd")
         return self._written
 
     def taken(self) -> DataFrame:
@@ -213,23 +244,30 @@ def mix_sources(
     bucket_sizes = placed(rows).groupBy("source_no", "_bucket").agg(F.sum("size").alias("_sum"))
     along = Window.partitionBy("source_no").orderBy("_bucket")
     starts = bucket_sizes.select(
-        "source_no", "_bucket",
+        "source_no", "_bucket", "_sum",
         F.coalesce(F.sum("_sum").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"),
     )
+    starts = staged(starts, "mix-buckets")
 
     def in_stream(some: DataFrame) -> DataFrame:
         local = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         return (
             placed(some)
             .withColumn("_local", local)
-            .join(starts, ["source_no", "_bucket"])
+            .join(starts.drop("_sum"), ["source_no", "_bucket"])
             .withColumn("start", F.col("_base") + F.col("_local"))
         )
 
     documents = in_stream(rows).select("doc_id", "source_no", "size", "start")
-    texts = in_stream(full.where("size > 0")).select("doc_id", "source_no", "size", "start", "text")
+    texts = in_stream(full.where("size > 0")).select(
+        "doc_id", "source_no", F.col("_bucket").alias("bucket"), "size", "start", "text"
+    )
 
     n = block_words
+    reached = starts.where("_sum > 0").select(
+        "source_no", F.col("_bucket").alias("bucket"),
+        F.expr(f"_base div {n}").alias("first"), F.expr(f"(_base + _sum - 1) div {n}").alias("last"),
+    )
     shared = (
         sources.where("source_size > 0")
         .withColumn("_take", F.least(F.round("target"), F.col("source_size") * max_repeats).cast("long"))
@@ -242,7 +280,8 @@ def mix_sources(
     )
     chunks = shared.select(
         "*", F.explode(F.expr(f"sequence(0L, (_slots - 1) div {SLOTS_PER_CHUNK})")).alias("_chunk")
-    ).repartition("source_no", "_chunk")
+    ).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_no", "_chunk")
+    # With a number of its own, the exchange of these few rows is not coalesced: each becomes many slots.
     slots = chunks.select(
         "*",
         F.explode(
@@ -253,16 +292,11 @@ def mix_sources(
     )
     total = shared.agg(F.coalesce(F.sum("_slots"), F.lit(0))).first()[0]
     shards = max(1, total // SLOTS_PER_SHARD)
+    numbered = slots.withColumn("epoch", F.expr("slot div _blocks")).withColumn("_index", F.expr("slot % _blocks"))
     slots = (
-        slots.withColumn("epoch", F.expr("slot div _blocks"))
-        .withColumn("_index", F.expr("slot % _blocks"))
+        permuted(numbered, "_index", "greatest(_whole, 1L)", "source_no", "epoch")
         # The short last block of the stream stays last, so a partial epoch takes whole blocks.
-        .withColumn(
-            "block",
-            F.when(
-                F.expr("_index < _whole"), permuted("_index", "greatest(_whole, 1L)", "source_no", "epoch")
-            ).otherwise(F.col("_index")),
-        )
+        .withColumn("block", F.when(F.expr("_index < _whole"), F.col("place")).otherwise(F.col("_index")))
         .withColumn(
             "words",
             F.when(
@@ -272,7 +306,7 @@ def mix_sources(
         .withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED + 1), "source_no", "slot"), F.lit(shards)))
         .select("source_no", "epoch", "slot", "shard", "block", "words")
     )
-    return Mix(sources, documents, texts, slots, block_words)
+    return Mix(sources, documents, texts, reached, slots, block_words)
 
 
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:

@@ -485,9 +485,16 @@ def test_rows_without_words_stay_rows(spark):
 
 def test_slots_are_not_broadcast(spark, folder):
     mix = mixing.mix_sources(read(spark, folder, "documents"))
-    plan = mix.slots.join(mix.blocks().hint("merge"), ["source_no", "block"])._jdf.queryExecution().executedPlan().toString()
-    joins = [line for line in plan.splitlines() if "Join" in line]
-    assert "SortMergeJoin" in joins[0]
+    with mixing.subset_keys(spark):
+        plan = mix.packed()._jdf.queryExecution().executedPlan().toString().splitlines()
+    joins = [line for line in plan if "Join" in line]
+    assert "SortMergeJoin" in joins[0] and "bucket" in joins[0]
+    # Texts move twice: to their buckets, where the pieces stay for the join with slots, and to the shards.
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(plan)}
+    top = plan.index(joins[0])
+    below = next(i for i in range(top + 1, len(plan)) if "Window" in plan[i])
+    assert not [line for line in plan[top:below] if "Exchange" in line]
+    assert len([i for i in range(top) if "Exchange" in plan[i] and depth[i] < depth[top]]) == 1
 
 
 def test_written_mix(spark, edge, monkeypatch):
