@@ -1,7 +1,7 @@
 """Quality classifier: votes of the nearest labelled documents in a latent space.
 
-Documents become term counts over word shapes (letters, capitals, digits and marks, runs
-shortened) and over how words repeat. Weighted counts of a bounded sample of labelled documents
+Documents become term counts over words, over word shapes (letters, capitals, digits and marks,
+runs shortened) and over how words repeat. Weighted counts of a bounded sample of labelled documents
 are factored; their latent vectors are broadcast. Every document is projected, compared with
 all of them by blocked cosine products, and takes the labels of the nearest, by similarity.
 """
@@ -21,14 +21,16 @@ from pyspark.sql.types import StructType
 
 from .common import map_arrow, parts_of, raw_bytes, read, remainder, row_of, text_or_empty, word_codes
 
-TERMS = 2_048
+#: Columns of the term matrix: 32 for repeats, hashed shapes up to SHAPES, hashed words behind them.
+SHAPES, TERMS = 2_048, 3_072
+#: Weight of a word's column beside a shape's.
+WORD_WEIGHT = 0.25
 RANK = 24
 NEIGHBOURS = 15
 POWER = 4.0
 THRESHOLD = 0.3
-#: Labelled documents that the vectors come from, by the least hash; and bytes of text of them.
+#: Labelled documents that the vectors come from, by the least hash.
 SAMPLE_ROWS = 6_000
-SAMPLE_BYTES = 64_000_000
 #: Bytes of text whose terms are counted at once.
 PART_BYTES = 2_000_000
 BLOCK = 512
@@ -43,15 +45,15 @@ _SHAPE = bytes(
 )
 
 
-def _slots(terms: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(t) % (TERMS - 32) + 32 for t in terms], np.int64)
+def _slots(terms: list[bytes], first: int = 32, last: int = SHAPES) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(t) % (last - first) + first for t in terms], np.int64)
 
 
 def term_counts(texts: pa.Array) -> np.ndarray:
     """Counts of terms per text (rows), as a dense matrix of TERMS columns.
 
-    Columns 0-31 hold how words repeat; the others are hashed word shapes and pairs of
-    neighbouring shapes. Null and empty texts have a row of zeros.
+    Columns 0-31 hold how words repeat; then come hashed word shapes and pairs of neighbouring
+    shapes, and from SHAPES on hashed words (A-Z lower-cased). Null and empty texts have a row of zeros.
     """
     body, offsets = raw_bytes(texts)
     n = len(offsets) - 1
@@ -72,8 +74,9 @@ def term_counts(texts: pa.Array) -> np.ndarray:
     keep = np.ones(len(line), bool)
     keep[1:] = line[1:] != line[:-1]
     shape, shapes = word_codes(line[keep].tobytes().split())
-    word, _ = word_codes(words)
+    word, distinct_words = word_codes(words)
     doc = np.repeat(np.arange(n), lengths)
+    np.add.at(out, (doc, _slots(distinct_words.to_pylist(), SHAPES, TERMS)[word]), 1)
 
     slot = _slots(shapes.to_pylist())[shape]
     np.add.at(out, (doc, slot), 1)
@@ -98,6 +101,12 @@ def term_counts(texts: pa.Array) -> np.ndarray:
     return out
 
 
+def scaled(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted square roots of the terms' shares."""
+    total = counts[:, 32:SHAPES].sum(axis=1, keepdims=True)
+    return np.sqrt(counts / np.maximum(total, 1)) * weights
+
+
 @dataclass
 class Voters:
     """Labelled latent vectors: ``weights`` per term, ``basis`` (terms x rank), unit vectors, labels."""
@@ -109,9 +118,7 @@ class Voters:
     prior: float
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        total = counts[:, 32:].sum(axis=1, keepdims=True)
-        scaled = np.sqrt(counts / np.maximum(total, 1)) * self.weights
-        latent = scaled @ self.basis
+        latent = scaled(counts, self.weights) @ self.basis
         return latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
 
     def vote(self, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
@@ -134,12 +141,12 @@ def fit_voters(counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Vote
     n = len(labels)
     prior = float(labels.mean()) if n else 0.5
     weights = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 0.1
+    weights[SHAPES:] *= WORD_WEIGHT
     voters = Voters(weights, np.eye(TERMS, dtype=np.float32), np.zeros((0, TERMS), np.float32), labels, prior)
     if n == 0:
         return voters
-    total = counts[:, 32:].sum(axis=1, keepdims=True)
-    scaled = (np.sqrt(counts / np.maximum(total, 1)) * weights).astype(float)
-    values, vectors = np.linalg.eigh(scaled.T @ scaled)
+    rows = scaled(counts, weights).astype(float)
+    values, vectors = np.linalg.eigh(rows.T @ rows)
     voters.basis = vectors[:, ::-1][:, :rank].astype(np.float32)
     voters.vectors = voters.project(counts).astype(np.float32)
     voters.labels = labels.astype(float)

@@ -8,6 +8,7 @@ import re
 
 import check
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lendlake.llm import decontaminate, lm_scoring, minhash_dedup, mixing, quality, queries, suffix_dedup, token_counts, topk, toxicity, warc_index
@@ -75,6 +76,33 @@ def test_quality_of_held_out_rows(spark, edge):
     assert quality.keep_good(edge, labels).columns == edge.columns
 
 
+def test_votes_equal_a_plain_version(spark, folder):
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    voters = quality.train(docs, labels)
+    rows = docs.select("doc_id", "text").collect()
+    got = {r.doc_id: r.score for r in quality.classify_quality(docs, labels).collect()}
+    for r in rows[::3]:
+        counts = quality.term_counts(pa.array([r.text], pa.string()))
+        if not (r.text or "").split():
+            assert got[r.doc_id] == 0
+            continue
+        vector = voters.project(counts)[0].astype(float)
+        cosines = [(float(sum(x * y for x, y in zip(vector, v.astype(float), strict=True))), label) for v, label in zip(voters.vectors, voters.labels, strict=True)]
+        near = sorted(cosines, key=lambda c: -c[0])[: quality.NEIGHBOURS + 1]
+        if abs(near[quality.NEIGHBOURS - 1][0] - near[-1][0]) < 1e-6:
+            continue  # a tie at the last place, decided by rounding
+        votes = [(max(c, 0.0) ** quality.POWER + 1e-9, label) for c, label in near[: quality.NEIGHBOURS]]
+        assert got[r.doc_id] == pytest.approx(sum(w * y for w, y in votes) / sum(w for w, _ in votes), abs=1e-4)
+
+
+def test_words_are_terms():
+    counts = quality.term_counts(pa.array(["the river runs past the old stone mill at dawn", "win cash now click here the free pills best deal", "The RIVER", None]))
+    assert (counts[0, quality.SHAPES :] != counts[1, quality.SHAPES :]).any()
+    assert counts[0, quality.SHAPES :].sum() == counts[1, quality.SHAPES :].sum() == 10
+    assert counts[2, quality.SHAPES :].sum() == 2 and (counts[0, quality.SHAPES :][counts[2, quality.SHAPES :] > 0] > 0).all()
+    assert not counts[3].any()
+
+
 def test_toxicity_chain(spark, edge):
     rng = np.random.default_rng(0)
     plain = [f"plain{i}" for i in range(30)]
