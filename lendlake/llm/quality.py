@@ -145,10 +145,13 @@ def fit_voters(counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Vote
     voters = Voters(weights, np.eye(TERMS, dtype=np.float32), np.zeros((0, TERMS), np.float32), labels, prior)
     if n == 0:
         return voters
-    rows = scaled(counts, weights).astype(float)
-    values, vectors = np.linalg.eigh(rows.T @ rows)
+    gram = np.zeros((TERMS, TERMS))
+    for a in range(0, n, BLOCK):
+        rows = scaled(counts[a : a + BLOCK], weights).astype(float)
+        gram += rows.T @ rows
+    _, vectors = np.linalg.eigh(gram)
     voters.basis = vectors[:, ::-1][:, :rank].astype(np.float32)
-    voters.vectors = voters.project(counts).astype(np.float32)
+    voters.vectors = np.concatenate([voters.project(counts[a : a + BLOCK]) for a in range(0, n, BLOCK)]).astype(np.float32)
     voters.labels = labels.astype(float)
     return voters
 
