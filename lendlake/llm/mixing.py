@@ -84,18 +84,16 @@ def source_targets(
     return rest.select("source", "source_no", "source_size", "weight", target.alias("target"))
 
 
-def permuted(df: DataFrame, index: str, size: str, *key: str, rounds: int = ROUNDS) -> DataFrame:
-    """``df`` with ``place``: a pseudorandom permutation of 0 .. size-1 (swap-or-not) at ``index``.
-
-    Each round is a projection of its own, so that all of them stay generated code.
-    """
+def permuted(index: str, size: str, *key: str, rounds: int = ROUNDS) -> Column:
+    """Pseudorandom permutation of 0 .. size-1 (swap-or-not), as an expression."""
     keys = ", ".join(key)
-    df = df.withColumn("place", F.expr(f"cast({index} as bigint)"))
-    for r in range(rounds):
-        mirror = F.expr(f"pmod(pmod(xxhash64({keys}, {r}, {SEED}), {size}) - place, {size})")
-        swap = F.expr(f"xxhash64({SEED}, {keys}, {r}, greatest(place, _mirror)) % 2 <> 0")
-        df = df.withColumn("_mirror", mirror).withColumn("place", F.when(swap, F.col("_mirror")).otherwise(F.col("place")))
-    return df.drop("_mirror")
+    return F.expr(
+        f"""aggregate(sequence(0, {rounds - 1}), cast({index} as bigint), (x, r) ->
+              case when xxhash64({SEED}, {keys}, r, greatest(x, pmod(
+                       pmod(xxhash64({keys}, r, {SEED}), {size}) - x, {size}))) % 2 = 0
+                   then x
+                   else pmod(pmod(xxhash64({keys}, r, {SEED}), {size}) - x, {size}) end)"""
+    )
 
 
 @contextmanager
@@ -292,11 +290,16 @@ def mix_sources(
     )
     total = shared.agg(F.coalesce(F.sum("_slots"), F.lit(0))).first()[0]
     shards = max(1, total // SLOTS_PER_SHARD)
-    numbered = slots.withColumn("epoch", F.expr("slot div _blocks")).withColumn("_index", F.expr("slot % _blocks"))
     slots = (
-        permuted(numbered, "_index", "greatest(_whole, 1L)", "source_no", "epoch")
+        slots.withColumn("epoch", F.expr("slot div _blocks"))
+        .withColumn("_index", F.expr("slot % _blocks"))
         # The short last block of the stream stays last, so a partial epoch takes whole blocks.
-        .withColumn("block", F.when(F.expr("_index < _whole"), F.col("place")).otherwise(F.col("_index")))
+        .withColumn(
+            "block",
+            F.when(
+                F.expr("_index < _whole"), permuted("_index", "greatest(_whole, 1L)", "source_no", "epoch")
+            ).otherwise(F.col("_index")),
+        )
         .withColumn(
             "words",
             F.when(
