@@ -27,31 +27,41 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import fresh_path
 from .portfolio import INPUTS, Portfolio
 
-BYTES_PER_BUCKET = 64 << 20
+#: Input bytes of a bucket. A packed input byte becomes some 25 bytes of wide rows, and a task sorts a bucket in memory.
+BYTES_PER_BUCKET = 8 << 20
 MIN_BUCKETS = 8
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How a table lies: buckets by a key, in the order of ``sort``, in a folder per ``partition`` value."""
+    """How a table lies: buckets by a key, in the order of ``sort``, in a folder per ``partition`` value.
+
+    With ``inputs`` the table holds those rows of the portfolio, and ``read`` makes the table's rows
+    from them one by one: computed columns are many times the size of what they come from. A table
+    that is ``projected`` from another stored one is read through it, and nothing is written.
+    """
 
     bucket: str | None = None
     sort: tuple[str, ...] = ()
     partition: tuple[str, ...] = ()
+    inputs: str | None = None
+    read: Callable[[DataFrame], DataFrame] | None = None
+    projected: bool = False
 
 
-_BY_ACCOUNT = Layout("account_id", ("account_id", "month"))
-_BY_ACCOUNT_AND_SCENARIO = Layout("account_id", ("account_id", "month"), ("scenario_id",))
+_BY_ACCOUNT_MONTH = ("account_id", "month")
 LAYOUTS = {
     "customers": Layout("customer_id", ("customer_id",)),
     "borrowers": Layout("account_id", ("account_id",)),
     "calendar": Layout(),
     "macro_monthly": Layout(),
     "policy_scenarios": Layout(),
-    "account_monthly_snapshots": _BY_ACCOUNT_AND_SCENARIO,
-    "payment_events": _BY_ACCOUNT_AND_SCENARIO,
+    "account_monthly_snapshots": Layout(
+        "account_id", _BY_ACCOUNT_MONTH, ("scenario_id",), inputs="snapshot_inputs", read=Portfolio.snapshots_of
+    ),
+    "payment_events": Layout(projected=True),
     "bureau_monthly": Layout("customer_id", ("customer_id", "month")),
-    "modeling_dataset": _BY_ACCOUNT,
+    "modeling_dataset": Layout("account_id", _BY_ACCOUNT_MONTH, inputs="dataset_inputs", read=Portfolio.dataset_of),
 }
 
 _stores: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
@@ -109,7 +119,7 @@ class Store:
         if layout.bucket:
             # One file for each bucket (and partition value): rows are dealt as buckets are.
             df = df.repartition(self.buckets, layout.bucket)
-        writer = df.write.format("parquet").option("path", f"{self.folder}/{stored}")
+        writer = df.write.format("parquet").option("compression", "zstd").option("path", f"{self.folder}/{stored}")
         if layout.partition:
             writer = writer.partitionBy(*layout.partition)
         if layout.bucket:
@@ -134,13 +144,29 @@ class StoredPortfolio(Portfolio):
         super().__init__(spark, folder)
         self.store = store_of(spark, folder)
 
+    @cached_property
+    def bureau_rolled(self) -> DataFrame:
+        """Customer months laid into the buckets as they leave their grouping: what follows moves no rows."""
+        return super().bureau_rolled.repartition(self.store.buckets, "customer_id")
+
+
+def _stored(name: str, rows: str, layout: Layout) -> cached_property:
+    lazy = Portfolio.__dict__[rows].func
+    return cached_property(lambda self: self.store.table(name, lambda: lazy(self), layout))
+
+
+def _read(inputs: str, layout: Layout) -> cached_property:
+    return cached_property(lambda self: layout.read(getattr(self, inputs)))
+
 
-def _stored(name: str, layout: Layout) -> cached_property:
-    lazy = Portfolio.__dict__[name].func
-    prop = cached_property(lambda self: self.store.table(name, lambda: lazy(self), layout))
+def _set(name: str, prop: cached_property) -> None:
     prop.__set_name__(StoredPortfolio, name)
-    return prop
+    setattr(StoredPortfolio, name, prop)
 
 
 for _name, _layout in LAYOUTS.items():
-    setattr(StoredPortfolio, _name, _stored(_name, _layout))
+    if _layout.inputs:
+        _set(_layout.inputs, _stored(_name, _layout.inputs, _layout))
+        _set(_name, _read(_layout.inputs, _layout))
+    elif not _layout.projected:
+        _set(_name, _stored(_name, _name, _layout))
