@@ -149,6 +149,10 @@ class StoredPortfolio(Portfolio):
         """Customer months laid into the buckets as they leave their grouping: what follows moves no rows."""
         return super().bureau_rolled.repartition(self.store.buckets, "customer_id")
 
+    @cached_property
+    def credit_lines(self) -> DataFrame:
+        return super().credit_lines.repartition(self.store.buckets, "customer_id")
+
 
 def _stored(name: str, rows: str, layout: Layout) -> cached_property:
     lazy = Portfolio.__dict__[rows].func
