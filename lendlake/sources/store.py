@@ -146,7 +146,7 @@ class StoredPortfolio(Portfolio):
 
     @cached_property
     def bureau_rolled(self) -> DataFrame:
-        """Customer months laid into the buckets as they leave their grouping: what follows moves no rows."""
+        """Customer months, laid into the buckets. With fewer buckets than shuffle partitions the planner moves them again."""
         return super().bureau_rolled.repartition(self.store.buckets, "customer_id")
 
     @cached_property
