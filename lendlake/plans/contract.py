@@ -1,12 +1,15 @@
 """The data chain in the shape of the schema contract: ids as text, every column, every type.
 
-Each table follows ``schemas.SCHEMAS`` and is stored beside the tables it comes from, bucketed by the
-same keys. Ids are numbers of the natural order, or the padded form of the table's own number.
+Each table follows ``schemas.SCHEMAS``. Small ones are stored beside the tables they come from, bucketed by
+the same keys. The large ones (account months, payments, scores, bureau rows) are made row by row from
+stored tables when they are read; of them only the numbers of their ids are stored, in the same buckets.
+Ids are numbers of the natural order, or the padded form of the table's own number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +41,12 @@ def _texts(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: _id(kinds[n], n) for n in names})
 
 
+def _numbered_rows(p: StoredPortfolio, df: DataFrame, table: str, column: str, kind: tuple[str, int], order: list[str]) -> DataFrame:
+    """The rows with their id; only (key, number) is stored, in the buckets of the rows."""
+    numbers = p.store.table(f"numbers_{table}", lambda: tables.number_rows_by(df, order, "_row_no"), Layout(order[0], tuple(order)))
+    return df.join(numbers, order).withColumn(column, _id(kind, "_row_no")).drop("_row_no")
+
+
 def _customers(p: StoredPortfolio) -> DataFrame:
     return _texts(p.customers, "customer_id")
 
@@ -55,7 +64,7 @@ def _scenarios(p: StoredPortfolio) -> DataFrame:
 
 
 def _bureau(p: StoredPortfolio) -> DataFrame:
-    keyed = tables.with_surrogate_key(p.bureau_monthly, "bureau_snapshot_id", *BUREAU_ID, ["customer_id", "month"])
+    keyed = _numbered_rows(p, p.bureau_monthly, "bureau_monthly", "bureau_snapshot_id", BUREAU_ID, ["customer_id", "month"])
     return _texts(keyed, "customer_id")
 
 
@@ -64,13 +73,13 @@ def _snapshots(p: StoredPortfolio) -> DataFrame:
 
 
 def _payments(p: StoredPortfolio) -> DataFrame:
-    keyed = tables.with_surrogate_key(p.payment_events, "payment_id", *PAYMENT_ID, ["account_id", "month", "scenario_id"])
+    keyed = _numbered_rows(p, p.payment_events, "payment_events", "payment_id", PAYMENT_ID, ["account_id", "month", "scenario_id"])
     return _texts(keyed, "account_id", "customer_id")
 
 
 def _audit(p: StoredPortfolio) -> DataFrame:
     """Scores, calibration, drivers and the governance columns, of the baseline's account months."""
-    keyed = tables.with_surrogate_key(p.audit, "score_id", *SCORE_ID, ROW_KEY)
+    keyed = _numbered_rows(p, p.audit, "model_scoring_audit", "score_id", SCORE_ID, ROW_KEY)
     flags = {c: F.lit(False) for c in ("drift_alert_flag", "fairness_alert_flag", "override_flag")}
     named = keyed.withColumn("account_month_id", F.concat_ws("|", F.col("account_id").cast("string"), F.col("month").cast("string"), F.lit("baseline")))
     return _texts(named.withColumns({"psi_score": F.lit(0.0), **flags}), "account_id", "customer_id")
@@ -81,23 +90,27 @@ def _drift(p: StoredPortfolio) -> DataFrame:
     return drift.drift_table(drift.psi(drift.with_period(rows), drift.DRIFT_FEATURES))
 
 
+_READ = Layout(projected=True)
 _BY_CUSTOMER, _BY_ACCOUNT = Layout("customer_id", ("customer_id",)), Layout("account_id", ("account_id",))
 CONTRACT: dict[str, tuple[Callable[[StoredPortfolio], DataFrame], Layout]] = {
     "customers": (_customers, _BY_CUSTOMER),
     "accounts": (_accounts, _BY_ACCOUNT),
     "macro_monthly": (_macro, Layout()),
     "policy_scenarios": (_scenarios, Layout()),
-    "bureau_monthly": (_bureau, _BY_CUSTOMER),
-    "account_monthly_snapshots": (_snapshots, Layout("account_id", ("account_id",), ("scenario_id",))),
-    "payment_events": (_payments, Layout("account_id", ("account_id",), ("scenario_id",))),
-    "model_scoring_audit": (_audit, Layout("account_id", ("account_id",), ("model_version",))),
+    "bureau_monthly": (_bureau, _READ),
+    "account_monthly_snapshots": (_snapshots, _READ),
+    "payment_events": (_payments, _READ),
+    "model_scoring_audit": (_audit, _READ),
     "model_feature_psi": (_drift, Layout()),
 }
 
 
 def contract_table(p: StoredPortfolio, name: str) -> DataFrame:
-    """One table of the contract, built and stored when it is first asked for."""
+    """One table of the contract; what is stored of it is built when it is first asked for."""
     make, layout = CONTRACT[name]
+    if layout.projected:  # its load time is that of the first call
+        loaded = p.store.asked.setdefault(name, datetime.now())
+        return schemas.conform(make(p).withColumn(schemas.LOAD_TIME, F.lit(loaded)), name, missing="error")
     return p.store.table(f"contract_{name}", lambda: schemas.conform(make(p), name, missing="error"), layout)
 
 

@@ -20,6 +20,7 @@ import uuid
 import weakref
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,7 @@ class Store:
         self.folder = fresh_path(spark, "store")
         self.buckets = max(MIN_BUCKETS, -(-size // BYTES_PER_BUCKET))
         self.built: dict[str, str] = {}
+        self.asked: dict[str, datetime] = {}  # tables that are read through others: when first asked for
         self._lock = threading.RLock()
         if spark not in _folders:
             _folders[spark] = []
@@ -143,15 +145,26 @@ class StoredPortfolio(Portfolio):
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark, folder)
         self.store = store_of(spark, folder)
+        self.buckets = self.store.buckets
+
+    # Rows are laid into the buckets before they are grouped, joined or widened, and stay there: a
+    # grouping by (account, month) would else move them by both keys, and once more to the account.
+
+    @cached_property
+    def borrower_inputs(self) -> DataFrame:
+        return super().borrower_inputs.repartition(self.buckets, "account_id")
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return super().lines.repartition(self.buckets, "account_id")
 
     @cached_property
-    def bureau_rolled(self) -> DataFrame:
-        """Customer months, laid into the buckets. With fewer buckets than shuffle partitions the planner moves them again."""
-        return super().bureau_rolled.repartition(self.store.buckets, "customer_id")
+    def customer_rows(self) -> DataFrame:
+        return super().customer_rows.repartition(self.buckets, "customer_id")
 
     @cached_property
-    def credit_lines(self) -> DataFrame:
-        return super().credit_lines.repartition(self.store.buckets, "customer_id")
+    def customer_lines(self) -> DataFrame:
+        return super().customer_lines.repartition(self.buckets, "customer_id")
 
 
 def _stored(name: str, rows: str, layout: Layout) -> cached_property:
