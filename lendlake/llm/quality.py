@@ -8,6 +8,7 @@ all of them by blocked cosine products, and takes the labels of the nearest, by
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -136,13 +137,37 @@ class Voters:
         return np.where(counts[:, 32:].sum(axis=1) > 0, out, 0.0)
 
 
-def fit_voters(counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Voters:
-    """Latent vectors of labelled documents; ``counts`` as ``term_counts`` makes them."""
+class PackedCounts:
+    """Rows of term counts held by their cells that are not zero; a slice gives them as a dense matrix."""
+
+    def __init__(self, rows: list[bytes]):
+        self.rows = rows
+
+    @staticmethod
+    def pack(counts: np.ndarray) -> list[bytes]:
+        at = [np.flatnonzero(row) for row in counts]
+        return [np.concatenate([a.astype(np.float32), row[a]]).tobytes() for a, row in zip(at, counts, strict=True)]
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        rows = self.rows[part]
+        counts = np.zeros((len(rows), TERMS), np.float32)
+        for i, packed in enumerate(rows):
+            both = np.frombuffer(packed, np.float32)
+            counts[i, both[: len(both) // 2].astype(np.int64)] = both[len(both) // 2 :]
+        return counts
+
+
+def fit_voters(counts: np.ndarray | PackedCounts, labels: np.ndarray, rank: int = RANK) -> Voters:
+    """Latent vectors of labelled documents; ``counts`` as ``term_counts`` makes them, dense a block at a time."""
     n = len(labels)
     prior = float(labels.mean()) if n else 0.5
-    weights = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 0.1
+    seen = np.zeros(TERMS, np.int64)
+    for a in range(0, n, BLOCK):
+        seen += (counts[a : a + BLOCK] > 0).sum(axis=0)
+    weights = np.log((1 + n) / (1 + seen)).astype(np.float32) + 0.1
     weights[SHAPES:] *= WORD_WEIGHT
-    voters = Voters(weights, np.eye(TERMS, dtype=np.float32), np.zeros((0, TERMS), np.float32), labels, prior)
+    none = np.zeros((0, TERMS), np.float32)
+    voters = Voters(weights, none.T if n else np.eye(TERMS, dtype=np.float32), none, labels, prior)
     if n == 0:
         return voters
     gram = np.zeros((TERMS, TERMS))
@@ -179,24 +204,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> Voters:
-    """Voters of the sample: counted on executors, factored on the driver (``rows`` x TERMS)."""
-    sample = labelled_sample(docs, labels, label, rows)
+    """Voters of the sample: counted in many tasks, factored in one (``rows`` x TERMS at most), so not on the driver."""
+    sample = labelled_sample(docs, labels, label, rows).select("text", "label", F.monotonically_increasing_id().alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = term_counts(batch.column(0))
-            sparse = []
-            for row in counts:
-                at = np.flatnonzero(row)
-                sparse.append(np.concatenate([at.astype(np.float32), row[at]]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(sparse, pa.binary()), batch.column(1)], ["terms", "label"])
-
-    table = map_arrow(sample, run, "terms binary, label double").toArrow()
-    counts = np.zeros((table.num_rows, TERMS), np.float32)
-    for i, packed in enumerate(table.column("terms").to_pylist()):
-        both = np.frombuffer(packed, np.float32)
-        counts[i, both[: len(both) // 2].astype(np.int64)] = both[len(both) // 2 :]
-    return fit_voters(counts, table.column("label").to_numpy().astype(float))
+            terms = pa.array(PackedCounts.pack(term_counts(batch.column(0))), pa.binary())
+            yield pa.RecordBatch.from_arrays([terms, batch.column(1), batch.column(2)], ["terms", "label", "at"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, marks = [], []
+        for batch in batches:
+            terms += batch.column(0).to_pylist()
+            marks += batch.column(1).to_pylist()
+        if terms:
+            voters = pickle.dumps(fit_voters(PackedCounts(terms), np.array(marks, float)))
+            yield pa.RecordBatch.from_arrays([pa.array([voters], pa.binary())], ["voters"])
+
+    counted = map_arrow(sample, run, "terms binary, label double, at long").repartition(1).sortWithinPartitions("at")
+    fitted = map_arrow(counted.select("terms", "label"), fit, "voters binary").toArrow().column(0).to_pylist()
+    return pickle.loads(fitted[0]) if fitted else fit_voters(PackedCounts([]), np.zeros(0))
 
 
 def score_quality(docs: DataFrame, voters: Voters, keep: list[str] | None = None) -> DataFrame:

@@ -602,3 +602,24 @@ def test_pipeline(spark, folder):
     assert fourth.columns == docs.columns
     assert decontaminate.leak_report(decontaminate.find_leaks(fourth, read(spark, folder, "benchmark"))).where("contaminated").count() == 0
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_voters_are_fitted_off_the_driver(spark, monkeypatch):
+    """The factoring needs some 400 MB; the driver gets the voters only, those of the plain fit."""
+    rows = [(i, ("good plain words of a story " if i % 2 else "win CASH now!!! ") * (1 + i % 5) + str(i)) for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    sample = quality.labelled_sample(docs, labels, "quality").collect()
+    counts = quality.term_counts(pa.array([r.text for r in sample]))
+    want = quality.fit_voters(counts, np.array([r.label for r in sample], float))
+    packed = quality.PackedCounts(quality.PackedCounts.pack(counts))
+    assert (packed[0:99] == counts).all()
+
+    def refuse(*_):
+        raise AssertionError("factored on the driver")
+
+    monkeypatch.setattr(np.linalg, "eigh", refuse)
+    got = quality.train(docs, labels)
+    assert (got.labels == want.labels).all() and np.allclose(got.weights, want.weights)
+    assert np.allclose(got.vectors @ got.vectors.T, want.vectors @ want.vectors.T, atol=1e-3)
+    assert quality.train(docs, labels.limit(0)).prior == 0.5
