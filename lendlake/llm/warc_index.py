@@ -17,13 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, read, staged
+from .common import free, map_arrow, read, staged
 
 LEAST_REVISIT = 100
 EPOCH = 1_700_000_000
 #: Bytes of payload that an archive holds on average, and captures of a range of the index.
 ARCHIVE_BYTES = 8_000_000
 RANGE_ROWS = 20_000
+#: Shares of the pages that are dealt to archives one after the other: only one share's payloads lie in shuffle files.
+SHARES = 4
 #: Keys that the splitters are chosen from, for each range.
 SAMPLED_KEYS = 64
 
@@ -38,12 +40,20 @@ CAPTURE = (
 
 def with_records(pages: DataFrame, least: int = LEAST_REVISIT, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest, refers_to (the page that a revisit repeats),
-    dealt so that a partition is an archive of about ``archive_bytes`` of payload.
+    dealt so that a partition is an archive of about ``archive_bytes`` of payload."""
+    return next(record_shares(pages, least, archive_bytes, shares=1))
+
+
+def record_shares(
+    pages: DataFrame, least: int = LEAST_REVISIT, archive_bytes: int = ARCHIVE_BYTES, shares: int = SHARES
+) -> Iterator[DataFrame]:
+    """The rows of ``with_records`` in up to ``shares`` frames, each page in one of them.
 
     Of payloads of at least ``least`` bytes that are equal, the smallest page_id's is stored.
     The first pages are found on ids, lengths and digests alone, with group minima made before rows are
     shuffled. Payloads are shuffled once, by archive, and meet their revisit marks there. Pages
     are dealt by page and digest, so that neither a hot host nor a hot page id makes a large archive.
+    Every share reads the pages again, for its own payloads.
     """
     body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     keyed = pages.select(
@@ -64,9 +74,15 @@ def with_records(pages: DataFrame, least: int = LEAST_REVISIT, archive_bytes: in
     # Both sides of the join are stored, so Spark can split a payload that a third of all pages share.
     marks = slim.join(staged(groups, "first-pages"), "payload_digest")
     revisits = marks.where("first <> page_id").select("_deal", F.col("first").alias("refers_to")).distinct()
-    archives = slim.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()[0] // archive_bytes + 1
-    dealt = keyed.repartition(archives, "_deal")
-    return dealt.join(revisits.repartition(archives, "_deal").hint("merge"), "_deal", "left").drop("_deal")
+    size = slim.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()[0]
+    shares = int(min(shares, size // archive_bytes + 1))
+    archives = size // archive_bytes // shares + 1
+    if shares > 1:
+        revisits = staged(revisits, "revisits")
+    for i in range(shares):
+        own = F.pmod("_deal", F.lit(shares)) == i
+        dealt = keyed.where(own).repartition(archives, "_deal")
+        yield dealt.join(revisits.where(own).repartition(archives, "_deal").hint("merge"), "_deal", "left").drop("_deal")
 
 
 def _line(name: str, value: Column) -> Column:
@@ -111,9 +127,10 @@ def record_of() -> Column:
     return F.concat(head.cast("binary"), stored)
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """Write one WARC record a row; a text file whose rows end with two line ends is an archive."""
-    records.select(record_of().cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
+def write_archives(records: DataFrame, path: str, more: bool = False) -> None:
+    """Write one WARC record a row to a new folder (or, for ``more``, to one that has archives); a text file whose rows end with two line ends is an archive."""
+    lines = records.select(record_of().cast("string").alias("value"))
+    lines.write.mode("append" if more else "errorifexists").option("lineSep", "\r\n\r\n").text(path)
 
 
 # --- reading ------------------------------------------------------------------------------------
@@ -325,7 +342,10 @@ def archive_and_index(pages: DataFrame, path: str) -> DataFrame:
     page_id that is the smallest, every such row is a response. An empty table gives no captures.
     Other columns are ignored.
     """
-    write_archives(with_records(pages), path)
+    for i, share in enumerate(record_shares(pages)):
+        write_archives(share, path, more=i > 0)
+        del share
+        free()  # the share's payloads
     return merge_runs(staged(read_runs(pages.sparkSession, path), "capture-runs"))
 
 

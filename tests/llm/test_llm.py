@@ -224,6 +224,22 @@ def test_archives(spark, tmp_path):
     assert warc_index.archive_and_index(pages.limit(0), str(tmp_path / "none")).count() == 0
 
 
+def test_shares_of_archives(spark, tmp_path, monkeypatch):
+    rows = [(i if i % 9 else None, f"http://h{i % 7}.x/{i}", f"<p>{i % 40}" + "y" * 150 if i % 5 else None) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    shares = list(warc_index.record_shares(pages, archive_bytes=2_000))
+    assert len(shares) == warc_index.SHARES
+    parts = [{r.url for r in x.collect()} for x in shares]
+    assert all(parts) and sum(map(len, parts)) == 400 and set.union(*parts) == {r[1] for r in rows}  # every page in one share
+    key = lambda r: (r.url, r.page_id, r.payload_digest, r.refers_to, r.record_type)
+    whole = sorted(map(key, warc_index.archive_and_index(pages, str(tmp_path / "one")).collect()), key=str)
+    monkeypatch.setattr(warc_index.record_shares, "__defaults__", (warc_index.LEAST_REVISIT, 2_000, 3))
+    assert sorted(map(key, warc_index.archive_and_index(pages, str(tmp_path / "three")).collect()), key=str) == whole
+    assert any(r[3] is not None for r in whole) and len(list((tmp_path / "three").glob("*.txt"))) > len(list((tmp_path / "one").glob("*.txt")))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        warc_index.archive_and_index(pages, str(tmp_path / "one"))
+
+
 def test_merge_in_many_ranges(spark, folder, tmp_path):
     warc_index.write_archives(warc_index.with_records(read(spark, folder, "pages"), archive_bytes=20_000), str(tmp_path / "w"))
     got = warc_index.merge_runs(warc_index.read_runs(spark, str(tmp_path / "w")), 8).collect()
