@@ -8,20 +8,23 @@ table. A symbol that a context hasn't seen is reached by an escape (method D: ha
 every seen symbol) to the next shorter context, where the longer one's symbols are excluded.
 
 Texts are cut to blocks of documents, each with its own dictionary: only the distinct words and
-paths of a block are shuffled to the counts of the whole corpus and back.
+paths of a block are shuffled to the counts of the whole corpus and back, dealt to parts and in packed
+runs: paths sorted by their context from its last byte on, a byte column after the other, compressed.
 """
 
 from __future__ import annotations
 
 import secrets
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_arrow, raw_bytes, read, ship, staged, sums_by, text_or_empty, word_codes
+from .common import crc_mod, free, map_arrow, read, ship, staged, sums_by, text_or_empty, word_codes
 
 ORDER = 6
 FOLDS, HELD_OUT = 7, 2
@@ -30,7 +33,11 @@ BLOCK_BYTES = 24_000_000
 #: Words of texts whose paths are made at once.
 SLICE_WORDS = 400_000
 BLANK = 0x20
-WORD, PATH = b"w", b"p"
+#: Parts that paths are dealt to by the last two bytes of their context (and as many, numbered behind
+#: them, for words by their checksum), and paths or words of a packed run.
+PARTS, RUN_PATHS = 1024, 50_000
+#: Paths that a task gathers before it adds up equal ones.
+GATHERED = 2_000_000
 
 
 # --- paths --------------------------------------------------------------------------------------
@@ -79,22 +86,72 @@ def stream_paths(words: list[bytes], codes: np.ndarray, lengths: np.ndarray) ->
 END_PATH = int.from_bytes(b" " * (ORDER + 1), "big")
 
 
-def path_keys(paths: np.ndarray) -> pa.Array:
-    """PATH followed by the path's bytes."""
-    raw = np.empty((len(paths), ORDER + 2), np.uint8)
-    raw[:, 0] = PATH[0]
-    for i in range(ORDER + 1):
-        raw[:, ORDER + 1 - i] = (paths >> (8 * i)) & 0xFF
-    offsets = pa.py_buffer((np.arange(len(paths) + 1) * (ORDER + 2)).astype(np.int32).tobytes())
-    return pa.Array.from_buffers(pa.binary(), len(paths), [None, offsets, pa.py_buffer(raw.tobytes())])
+def turned(paths: np.ndarray) -> np.ndarray:
+    """The paths with their context's bytes from the last to the first; turned twice they are as before."""
+    out = paths & 0xFF
+    for i in range(1, ORDER + 1):
+        out = out | ((paths >> (8 * i)) & 0xFF) << (8 * (ORDER + 1 - i))
+    return out
 
 
-def paths_from(keys: pa.Array) -> np.ndarray:
-    raw = raw_bytes(keys)[0].reshape(-1, ORDER + 2)
-    path = np.zeros(len(raw), np.int64)
-    for i in range(ORDER + 1):
-        path = path << 8 | raw[:, i + 1]
-    return path
+def dealt(paths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Part of each path, the turned paths, and the order by both."""
+    keys = turned(paths)
+    part = ((keys >> (8 * (ORDER - 1))) * 2654435761 >> 16) % PARTS
+    return part, keys, np.lexsort((keys, part))
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers of 8 bytes, a byte column after the other, compressed; behind how many there are."""
+    columns = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T)
+    if not len(values):
+        return bytes(8)
+    return len(values).to_bytes(8, "little") + pa.compress(columns.tobytes(), "zstd", asbytes=True)
+
+
+def unpack(raw: bytes, kind: type = np.int64) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    if not size:
+        return np.zeros(0, kind)
+    columns = np.frombuffer(pa.decompress(raw[8:], size * 8, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(columns.reshape(8, -1).T).reshape(-1).view(kind)
+
+
+def pack_scores(scores: np.ndarray) -> bytes:
+    """Scores by their distinct values, as many paths have the same."""
+    values, place = np.unique(scores, return_inverse=True)
+    first = pack(values)
+    return len(first).to_bytes(8, "little") + first + pack(place.astype(np.int64))
+
+
+def unpack_scores(raw: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(raw[:8], "little")
+    return unpack(raw[8:end], np.float64)[unpack(raw[end:])]
+
+
+def pack_words(words: list[bytes]) -> bytes:
+    """Words (which hold no blanks), compressed; behind their size."""
+    raw = b" ".join(words)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpack_words(raw: bytes) -> list[bytes]:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True).split(b" ")
+
+
+def word_parts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Part of each word, and the order by part and place."""
+    part = PARTS + np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % PARTS
+    return part, np.argsort(part, kind="stable")
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of all runs, sorted, and the sums of their counts."""
+    every, each = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, each = every[order], each[order]
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+    return every[first], np.add.reduceat(each, first)
 
 
 # --- the model ----------------------------------------------------------------------------------
@@ -155,15 +212,26 @@ def path_scores(paths: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.
 # --- jobs ---------------------------------------------------------------------------------------
 
 
+def runs_of(part: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Runs of up to RUN_PATHS equal (sorted) parts: begin, end, and the run's number in its part."""
+    edge = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+    for a, b in zip(edge, [*edge[1:], len(part)], strict=False):  # without parts there is no run
+        for no, at in enumerate(range(a, b, RUN_PATHS)):
+            yield at, min(b, at + RUN_PATHS), no
+
+
 def _blocks(docs: DataFrame, over_words: bool) -> DataFrame:
     """Documents as word codes, and the dictionary of their block, in one staged table.
 
-    Rows of documents have ``codes``; rows of keys have ``key`` (a word or a path), ``code`` of a
-    word, and ``n``, its count in the block's training documents.
+    Rows of documents have ``codes``. Rows with a ``part`` have a run of the block's distinct paths or
+    words (number ``code`` of the part) and their ``counts`` in the block's training documents. Rows
+    with ``words`` alone have the words of codes from RUN_PATHS * ``code`` on; rows with only ``code``
+    and ``n`` count the symbol code % 256 after the byte code // 256.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = pa.schema(
-        [("block", pa.int64()), ("held_out", pa.bool_()), ("codes", pa.binary()), ("key", pa.binary()), ("code", pa.int32()), ("n", pa.int64())]
+        [("block", pa.int64()), ("held_out", pa.bool_()), ("codes", pa.binary()), ("code", pa.int32()), ("n", pa.int64()),
+         ("part", pa.int32()), ("paths", pa.binary()), ("counts", pa.binary()), ("words", pa.binary())]
     )
 
     def block(ids: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -174,10 +242,18 @@ def _blocks(docs: DataFrame, over_words: bool) -> DataFrame:
         held = np.array([crc_mod(i, FOLDS) == HELD_OUT for i in ids.to_pylist()], bool)
         words = distinct.to_pylist()
         counts = np.bincount(codes[np.repeat(~held, lengths)], minlength=len(words))
-        packed = [x.tobytes() for x in np.split(codes.astype(np.int32), np.cumsum(lengths)[:-1])]
+        packed = [pack(x) for x in np.split(codes, np.cumsum(lengths)[:-1])]
         yield from rows(number, len(lists), ids=ids, held_out=pa.array(held), codes=pa.array(packed, pa.binary()))
-        keys = pa.array([WORD + w for w in words], pa.binary())
-        yield from rows(number, len(words), key=keys, code=pa.array(np.arange(len(words), dtype=np.int32)), n=pa.array(counts))
+        names = [pack_words(words[a : a + RUN_PATHS]) for a in range(0, len(words), RUN_PATHS)]
+        yield from rows(number, len(names), code=pa.array(range(len(names)), pa.int32()), words=pa.array(names, pa.binary()))
+        own: dict[str, list] = {"code": [], "part": [], "words": [], "counts": []}
+        part, order = word_parts(words)
+        for a, b, run_no in runs_of(part[order]):
+            own["code"].append(run_no)
+            own["part"].append(part[order[a]])
+            own["words"].append(pack_words([words[i] for i in order[a:b].tolist()]))
+            own["counts"].append(pack(counts[order[a:b]].astype(np.int64)))
+        yield from rows(number, len(own["part"]), **{c: pa.array(v, schema.field(c).type) for c, v in own.items()})
         if over_words:
             path, weight = np.zeros(0, np.int64), np.zeros(0)
             for a, b, own, place, many in stream_paths(words, codes, lengths):
@@ -189,13 +265,24 @@ def _blocks(docs: DataFrame, over_words: bool) -> DataFrame:
             weight = np.append(np.repeat(counts, many), (~held).sum())
         paths, place = np.unique(path, return_inverse=True)
         n = np.bincount(place, weight, len(paths)).astype(np.int64)
-        yield from rows(number, len(paths), key=path_keys(paths), n=pa.array(n))
+        pairs = np.bincount(paths & 0xFFFF, n, 1 << 16).astype(np.int64)
+        seen = np.flatnonzero(pairs)
+        yield from rows(number, len(seen), code=pa.array(seen.astype(np.int32)), n=pa.array(pairs[seen]))
+        part, turn, order = dealt(paths)
+        part, turn, n = part[order], turn[order], n[order]
+        own = {"code": [], "part": [], "paths": [], "counts": []}
+        for a, b, run_no in runs_of(part):
+            own["code"].append(run_no)
+            own["part"].append(part[a])
+            own["paths"].append(pack(turn[a:b]))
+            own["counts"].append(pack(n[a:b]))
+        yield from rows(number, len(own["part"]), **{c: pa.array(v, schema.field(c).type) for c, v in own.items()})
 
     def rows(number: int, size: int, ids: pa.Array | None = None, **own: pa.Array) -> Iterator[pa.RecordBatch]:
         columns = {"block": pa.array(np.full(size, number)), **own}
         arrays = [columns.get(f.name, pa.nulls(size, f.type)) for f in schema]
         table = pa.Table.from_arrays([ids if ids is not None else pa.nulls(size, id_type[0]), *arrays], names=["doc_id", *schema.names])
-        yield from table.to_batches(max_chunksize=20_000)
+        yield from table.to_batches(max_chunksize=2_000 if "part" in own else 20_000)
 
     id_type: list = []
 
@@ -218,7 +305,7 @@ def _blocks(docs: DataFrame, over_words: bool) -> DataFrame:
             yield from block(pa.concat_arrays(ids), texts)
 
     source = docs.select("doc_id", text_or_empty().cast("binary").alias("text"))
-    fields = "block bigint, held_out boolean, codes binary, key binary, code int, n bigint"
+    fields = "block bigint, held_out boolean, codes binary, code int, n bigint, part int, paths binary, counts binary, words binary"
     return staged(map_arrow(source, run, f"doc_id {kind}, {fields}"), "lm-blocks")
 
 
@@ -234,66 +321,124 @@ def score_texts(docs: DataFrame, over_words: bool = False) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     blocks = _blocks(docs, over_words)
-    keys = blocks.where("key is not null").select("block", "key", "code", "n")
-    counted = staged(keys.groupBy("key").agg(F.sum("n").alias("count")), "lm-counts")
-    is_path = F.expr("substring(key, 1, 1) = X'70'")
-    words, paths = counted.where(~is_path), counted.where(is_path)
-    trained = blocks.where("codes is not null").where(~F.col("held_out")).count()
-    known = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.sum((F.col("count") > 0).cast("long")), F.lit(0))).first()
-    tokens, distinct = known[0] + trained, known[1] + (trained > 0)
+    runs = blocks.where("part is not null").select("block", "part", F.col("code").alias("no"), "paths", "words", "counts")
+    texts = blocks.where("codes is not null").agg(F.count_if(~F.col("held_out")), F.count_distinct("block")).first()
+    trained, tasks = texts[0], min(PARTS, max(24, 2 * texts[1]))
 
     # Symbols after one byte: 256 x 256 sums at most, whatever the corpus.
-    last = F.expr(f"substring(key, {ORDER + 1}, 2)")
     pairs = np.zeros((256, 256))
-    for r in paths.groupBy(last.alias("pair")).agg(F.sum("count").alias("n")).collect():
-        pairs[r.pair[0], r.pair[1]] = r.n
+    of_pairs = blocks.where("n is not null")
+    for r in of_pairs.groupBy("code").agg(F.sum("n").alias("n")).collect():
+        pairs[r.code >> 8, r.code & 0xFF] = r.n
     shared = spark.sparkContext.broadcast(pairs)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if got:
-            table = pa.Table.from_batches(got)
-            path = np.concatenate([paths_from(b.column(0)) for b in got])
-            value = path_scores(path, table.column(1).to_numpy().astype(float), shared.value)
-            out = pa.Table.from_arrays([table.column(0), table.column(1), pa.array(value)], names=["key", "count", "score"])
-            yield from out.to_batches(max_chunksize=20_000)
+        """Adds up the blocks' runs of each part: (part, run of paths, their scores), (part, words, their counts)."""
+        held, gathered, counts, size, least = None, [], [], 0, GATHERED
+        of_words: dict[bytes, int] = {}
+
+        def row(paths: bytes | None, words: bytes | None, scores: bytes, total: int = 0, known: int = 0) -> pa.RecordBatch:
+            values = [(held, pa.int32()), (paths, pa.binary()), (words, pa.binary()), (scores, pa.binary()), (total, pa.int64()), (known, pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values], ["part", "paths", "words", "scores", "total", "known"])
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if gathered:
+                key, n = summed(gathered, counts)
+                value = path_scores(turned(key), n.astype(float), shared.value)
+                for a in range(0, len(key), RUN_PATHS):
+                    yield row(pack(key[a : a + RUN_PATHS]), None, pack_scores(value[a : a + RUN_PATHS]))
+            names, n = list(of_words), np.fromiter(of_words.values(), np.int64, len(of_words))
+            for a in range(0, len(names), RUN_PATHS):
+                own = n[a : a + RUN_PATHS]
+                yield row(None, pack_words(names[a : a + RUN_PATHS]), pack(own), int(own.sum()), int((own > 0).sum()))
+
+        for batch in batches:
+            for part, paths, words, own in zip(*(batch.column(i) for i in range(4)), strict=True):
+                if part.as_py() != held:
+                    yield from done()
+                    held, gathered, counts, size, least, of_words = part.as_py(), [], [], 0, GATHERED, {}
+                if words.is_valid:
+                    for w, n in zip(unpack_words(words.as_py()), unpack(own.as_py()).tolist(), strict=True):
+                        of_words[w] = of_words.get(w, 0) + n
+                    continue
+                gathered.append(unpack(paths.as_py()))
+                counts.append(unpack(own.as_py()))
+                size += len(gathered[-1])
+                if size > least:
+                    key, n = summed(gathered, counts)
+                    gathered, counts, size, least = [key], [n], len(key), 2 * len(key) + GATHERED
+        yield from done()
 
     # A task has whole subtries: all paths whose context ends with the same two bytes.
-    together = paths.repartition(F.expr(f"substring(key, {ORDER}, 2)"))
-    trie = map_arrow(together, score, "key binary, count bigint, score double")
-    values = words.withColumn("score", F.lit(None).cast("double")).unionByName(trie)
-    found = keys.select("block", "key", "code").join(values, "key").select(
-        F.col("block").alias("of_block"), "key", "code", "count", "score"
-    )
+    together = runs.select("part", "paths", "words", "counts").repartition(tasks, "part").sortWithinPartitions("part")
+    trie = staged(map_arrow(together, score, "part int, paths binary, words binary, scores binary, total bigint, known bigint"), "lm-trie")
+    free()  # the runs that were dealt for it
+    known = trie.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+    tokens, distinct = known[0] + trained, known[1] + (trained > 0)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Scores or counts of each run of a block: the rows of its whole part come first."""
+        held, key, value, of_words, sorted_ = None, [], [], {}, False
+        for batch in batches:
+            for part, block, no, paths, words, scores in zip(*(batch.column(i) for i in range(6)), strict=True):
+                if part.as_py() != held:
+                    held, key, value, of_words, sorted_ = part.as_py(), [], [], {}, False
+                if not block.is_valid:
+                    if words.is_valid:
+                        of_words |= zip(unpack_words(words.as_py()), unpack(scores.as_py()).tolist(), strict=True)
+                    else:
+                        key.append(unpack(paths.as_py()))
+                        value.append(unpack_scores(scores.as_py()))
+                    continue
+                if words.is_valid:
+                    names = unpack_words(words.as_py())
+                    own = pack(np.fromiter((of_words[w] for w in names), np.int64, len(names)))
+                else:
+                    if not sorted_:
+                        key, value, sorted_ = np.concatenate(key), np.concatenate(value), True
+                        order = np.argsort(key, kind="stable")
+                        key, value = key[order], value[order]
+                    own = pack_scores(value[np.searchsorted(key, unpack(paths.as_py()))])
+                arrays = [pa.array([block.as_py()]), pa.array([held], pa.int32()), pa.array([no.as_py()], pa.int32()), pa.array([own])]
+                yield pa.RecordBatch.from_arrays(arrays, ["of_block", "part", "no", "scores"])
+
+    of_blocks = runs.select("part", "block", "no", "paths", "words", F.lit(None).cast("binary").alias("scores"))
+    of_trie = trie.select("part", F.lit(None).cast("long").alias("block"), F.lit(None).cast("int").alias("no"), "paths", "words", "scores")
+    met = of_trie.unionByName(of_blocks).repartition(tasks, "part").sortWithinPartitions("part", F.col("block").asc_nulls_first())
+    found = map_arrow(met, find, "of_block bigint, part int, no int, scores binary")
 
     total = np.log10(float(tokens + distinct + 1))
     ends = (trained, np.log10(trained + 1.0) - total)
 
     def finish(texts: pa.Table, values: pa.Table) -> pa.Table:
-        code = values.column("code").combine_chunks()
-        is_word = code.is_valid().to_numpy(zero_copy_only=False)
-        key = values.column("key").combine_chunks()
-        count, value = values.column("count").to_numpy(), values.column("score").to_numpy()
-        path = paths_from(key.filter(pa.array(~is_word)))
-        order = np.argsort(path)
-        path, path_score = path[order], value[~is_word][order]
-        own = np.argsort(code.drop_null().to_numpy())
-        names = [k[1:] for k in key.filter(pa.array(is_word)).take(pa.array(own)).to_pylist()]
-        word_count = count[is_word][own]
-        packed = texts.column("codes").to_pylist()
-        lengths = np.fromiter((len(x) // 4 for x in packed), np.int64, len(packed))
-        codes = np.frombuffer(b"".join(packed), np.int32)
+        of_names = texts.column("words").combine_chunks().is_valid()
+        names = [w for x in texts.filter(of_names).sort_by("code").column("words").to_pylist() for w in unpack_words(x)]
+        texts = texts.filter(pc.invert(of_names))
+        values = values.sort_by([("part", "ascending"), ("no", "ascending")])
+        runs = list(zip(values.column("part").to_pylist(), values.column("scores").to_pylist(), strict=True))
+        of_runs = np.concatenate([unpack_scores(x) for part, x in runs if part < PARTS])
+        word_count = np.zeros(len(names), np.int64)
+        word_count[word_parts(names)[1]] = np.concatenate([np.zeros(0, np.int64), *(unpack(x) for part, x in runs if part >= PARTS)])
+        packed = [unpack(x) for x in texts.column("codes").to_pylist()]
+        lengths = np.fromiter(map(len, packed), np.int64, len(packed))
+        codes = np.concatenate(packed)
         base = sums_by((np.log10(word_count + 1.0) - total)[codes], lengths) + ends[1]
         n_known = sums_by((word_count > 0)[codes].astype(np.int64), lengths) + (ends[0] > 0)
+        # The block's paths are made again, in the order in which their scores were sent.
+        if over_words:
+            slices = [(a, b, own, place.astype(np.int32), many) for a, b, own, place, many in stream_paths(names, codes, lengths)]
+            path = np.unique(np.concatenate([x[2] for x in slices]))
+        else:
+            every, many = paths_of(names) if names else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            path = np.unique(np.append(every, END_PATH))
+        path_score = np.zeros(len(path))
+        path_score[dealt(path)[2]] = of_runs
         if over_words:
             full = np.zeros(len(lengths))
-            for a, b, own, place, many in stream_paths(names, codes, lengths):
+            for a, b, own, place, many in slices:
                 full[a:b] = sums_by(path_score[np.searchsorted(path, own)][place], many)
         else:
-            word_score = np.zeros(0)
-            if names:
-                every, many = paths_of(names)
-                word_score = sums_by(path_score[np.searchsorted(path, every)], many)
+            word_score = sums_by(path_score[np.searchsorted(path, every)], many)
             full = sums_by(word_score[codes], lengths) + path_score[np.searchsorted(path, END_PATH)]
         return pa.table(
             {
@@ -308,7 +453,7 @@ def score_texts(docs: DataFrame, over_words: bool = False) -> DataFrame:
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = blocks.where("codes is not null").select("block", "doc_id", "held_out", "codes")
+    texts = blocks.where("part is null and n is null").select("block", "doc_id", "held_out", "codes", "code", "words")
     result = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return texts.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(finish, result)
 

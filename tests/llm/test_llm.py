@@ -206,6 +206,24 @@ def test_lm_contexts_run_over_word_ends(spark, folder, texts, edge, monkeypatch)
     assert len(whole) == 1 and len(parts) > 2 and whole[0] == (sum((p for p, _ in parts), []), sum((m for _, m in parts), []))
 
 
+def test_lm_paths_travel_in_runs(spark, tmp_path, folder, texts, monkeypatch):
+    some = read(spark, folder, "documents").where("doc_id < 60")
+    key = lambda rows: sorted((r.doc_id, r.n_known, round(r.score, 6)) for r in rows)
+    blocks = lm_scoring._blocks(some, True).where("part is not null").collect()
+    paths = [lm_scoring.unpack(r.paths) for r in blocks if r.paths is not None]
+    words = [w for r in blocks if r.words is not None for w in lm_scoring.unpack_words(r.words)]
+    assert sum(len(r.paths) + len(r.counts) for r in blocks if r.paths is not None) < 9 * sum(map(len, paths))  # one path: 16 bytes plain
+    assert len(words) >= len({w for i, t in texts.items() if i < 60 for w in (t or "").encode().lower().split()})
+    for values in (np.array([], np.int64), np.array([5, -(2**60), 7]), np.array([0.5, -1.25, 0.5])):
+        assert lm_scoring.unpack(lm_scoring.pack(values), values.dtype).tolist() == values.tolist()
+    assert lm_scoring.unpack_scores(lm_scoring.pack_scores(np.array([0.5, -1.25, 0.5]))).tolist() == [0.5, -1.25, 0.5]
+    turned = lm_scoring.turned(np.concatenate(paths))
+    assert (lm_scoring.turned(turned) == np.concatenate(paths)).all()
+    assert (lm_scoring.dealt(turned)[0] == [r.part for r in blocks if r.paths is not None for _ in lm_scoring.unpack(r.paths)]).all()
+    keys, sums = lm_scoring.summed([np.array([3, 9]), np.array([9, 1])], [np.array([1, 2]), np.array([4, 0])])
+    assert (keys.tolist(), sums.tolist()) == ([1, 3, 9], [0, 1, 6])
+
+
 # --- archives -----------------------------------------------------------------------------------
 
 
