@@ -36,6 +36,8 @@ BLANK = 0x20
 #: Parts that paths are dealt to by the last two bytes of their context (and as many, numbered behind
 #: them, for words by their checksum), and paths or words of a packed run.
 PARTS, RUN_PATHS = 1024, 50_000
+#: Bytes of text that are split to words at once.
+PIECE_BYTES = 2_000_000
 #: Paths that a task gathers before it adds up equal ones.
 GATHERED = 2_000_000
 
@@ -54,12 +56,13 @@ def paths_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _paths_at(raw: bytes, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Paths of runs of symbols, from where each begins and how many it has."""
-    line = np.frombuffer(raw, np.uint8).astype(np.int64)
-    at = np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    path = np.zeros(len(at), np.int64)
+    line = np.frombuffer(raw, np.uint8)
+    path = np.zeros(len(line) - ORDER, np.int64)
     for back in range(ORDER, -1, -1):
-        path = path << 8 | line[at - back]
-    return path
+        path <<= 8
+        path |= line[ORDER - back : len(line) - back]
+    at = np.repeat(first - (np.cumsum(lengths) - lengths) - ORDER, lengths) + np.arange(lengths.sum())
+    return path[at]
 
 
 def stream_paths(words: list[bytes], codes: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -145,6 +148,23 @@ def word_parts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return part, np.argsort(part, kind="stable")
 
 
+def coded(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Code of each word of the texts in a row, the words by code, and how many words each text has.
+
+    Texts are split a piece at a time: only the distinct words are held as words.
+    """
+    seen: dict[bytes, int] = {}
+    codes, lengths = [np.zeros(0, np.int64)], []
+    piece = np.cumsum([len(t) for t in texts]) // PIECE_BYTES
+    edge = np.flatnonzero(np.append(True, piece[1:] != piece[:-1])) if len(piece) else []
+    for a, b in zip(edge, [*edge[1:], len(texts)], strict=False):
+        lists = [t.lower().split() for t in texts[a:b]]
+        lengths += map(len, lists)
+        own, distinct = word_codes([w for x in lists for w in x])
+        codes.append(np.array([seen.setdefault(w, len(seen)) for w in distinct.to_pylist()], np.int64)[own])
+    return np.concatenate(codes), list(seen), np.array(lengths, np.int64)
+
+
 def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys of all runs, sorted, and the sums of their counts."""
     every, each = np.concatenate(keys), np.concatenate(counts)
@@ -236,14 +256,11 @@ def _blocks(docs: DataFrame, over_words: bool) -> DataFrame:
 
     def block(ids: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         number = secrets.randbits(62)
-        lists = [t.lower().split() for t in texts]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        codes, distinct = word_codes([w for x in lists for w in x])
+        codes, words, lengths = coded(texts)
         held = np.array([crc_mod(i, FOLDS) == HELD_OUT for i in ids.to_pylist()], bool)
-        words = distinct.to_pylist()
         counts = np.bincount(codes[np.repeat(~held, lengths)], minlength=len(words))
         packed = [pack(x) for x in np.split(codes, np.cumsum(lengths)[:-1])]
-        yield from rows(number, len(lists), ids=ids, held_out=pa.array(held), codes=pa.array(packed, pa.binary()))
+        yield from rows(number, len(texts), ids=ids, held_out=pa.array(held), codes=pa.array(packed, pa.binary()))
         names = [pack_words(words[a : a + RUN_PATHS]) for a in range(0, len(words), RUN_PATHS)]
         yield from rows(number, len(names), code=pa.array(range(len(names)), pa.int32()), words=pa.array(names, pa.binary()))
         own: dict[str, list] = {"code": [], "part": [], "words": [], "counts": []}
@@ -255,16 +272,19 @@ def _blocks(docs: DataFrame, over_words: bool) -> DataFrame:
             own["counts"].append(pack(counts[order[a:b]].astype(np.int64)))
         yield from rows(number, len(own["part"]), **{c: pa.array(v, schema.field(c).type) for c, v in own.items()})
         if over_words:
-            path, weight = np.zeros(0, np.int64), np.zeros(0)
-            for a, b, own, place, many in stream_paths(words, codes, lengths):
-                path = np.append(path, own)
-                weight = np.append(weight, np.bincount(place, np.repeat(~held[a:b], many), len(own)))
+            gathered, weights, size, least = [], [], 0, GATHERED
+            for a, b, own_paths, place, many in stream_paths(words, codes, lengths):
+                gathered.append(own_paths)
+                weights.append(np.bincount(place, np.repeat(~held[a:b], many), len(own_paths)).astype(np.int64))
+                size += len(own_paths)
+                if size > least:
+                    path, weight = summed(gathered, weights)
+                    gathered, weights, size, least = [path], [weight], len(path), 2 * len(path) + GATHERED
         else:
             path, many = paths_of(words) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            path = np.append(path, END_PATH)
-            weight = np.append(np.repeat(counts, many), (~held).sum())
-        paths, place = np.unique(path, return_inverse=True)
-        n = np.bincount(place, weight, len(paths)).astype(np.int64)
+            gathered = [path, np.array([END_PATH])]
+            weights = [np.repeat(counts, many).astype(np.int64), np.array([(~held).sum()])]
+        paths, n = summed(gathered, weights)
         pairs = np.bincount(paths & 0xFFFF, n, 1 << 16).astype(np.int64)
         seen = np.flatnonzero(pairs)
         yield from rows(number, len(seen), code=pa.array(seen.astype(np.int32)), n=pa.array(pairs[seen]))

@@ -206,9 +206,8 @@ def test_lm_contexts_run_over_word_ends(spark, folder, texts, edge, monkeypatch)
     assert len(whole) == 1 and len(parts) > 2 and whole[0] == (sum((p for p, _ in parts), []), sum((m for _, m in parts), []))
 
 
-def test_lm_paths_travel_in_runs(spark, tmp_path, folder, texts, monkeypatch):
+def test_lm_paths_travel_in_runs(spark, folder, texts, monkeypatch):
     some = read(spark, folder, "documents").where("doc_id < 60")
-    key = lambda rows: sorted((r.doc_id, r.n_known, round(r.score, 6)) for r in rows)
     blocks = lm_scoring._blocks(some, True).where("part is not null").collect()
     paths = [lm_scoring.unpack(r.paths) for r in blocks if r.paths is not None]
     words = [w for r in blocks if r.words is not None for w in lm_scoring.unpack_words(r.words)]
@@ -220,6 +219,10 @@ def test_lm_paths_travel_in_runs(spark, tmp_path, folder, texts, monkeypatch):
     turned = lm_scoring.turned(np.concatenate(paths))
     assert (lm_scoring.turned(turned) == np.concatenate(paths)).all()
     assert (lm_scoring.dealt(turned)[0] == [r.part for r in blocks if r.paths is not None for _ in lm_scoring.unpack(r.paths)]).all()
+    monkeypatch.setattr(lm_scoring, "PIECE_BYTES", 6)  # pieces share one dictionary
+    codes, names, lengths = lm_scoring.coded([b"a B a", b"", b"c b", b" ", b"a dd dd c"])
+    assert [names[c] for c in codes] == [b"a", b"b", b"a", b"c", b"b", b"a", b"dd", b"dd", b"c"]
+    assert (names, lengths.tolist()) == ([b"a", b"b", b"c", b"dd"], [3, 0, 2, 0, 4])
     keys, sums = lm_scoring.summed([np.array([3, 9]), np.array([9, 1])], [np.array([1, 2]), np.array([4, 0])])
     assert (keys.tolist(), sums.tolist()) == ([1, 3, 9], [0, 1, 6])
 
