@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -45,10 +46,22 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context)
 
 
+def release_memory() -> None:
+    """Give back what this process has freed: a Python worker stays for later tasks, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with a function of this package."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return df.mapInArrow(task, schema)
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:

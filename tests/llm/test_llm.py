@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lendlake.llm import decontaminate, lm_scoring, minhash_dedup, mixing, quality, queries, suffix_dedup, token_counts, topk, toxicity, warc_index
+from lendlake.llm import common, decontaminate, lm_scoring, minhash_dedup, mixing, quality, queries, suffix_dedup, token_counts, topk, toxicity, warc_index
 from lendlake.llm.common import crc_mod, read
 
 EDGES = [(1, None), (2, ""), (3, " \t\n "), (4, "one"), (5, "one"), (6, "éß 日本 \U0001f600"), (7, "word " * 3000), (None, "no id"), (8, "a" * 3000)]
@@ -501,6 +501,25 @@ def test_leaks(spark, folder, texts, edge, block):
     assert cut.columns == edge.columns and cut.count() == edge.count()
 
 
+def test_tasks_give_memory_back(monkeypatch):
+    """A Python worker outlives its task; what the task has freed goes back at its end."""
+    released = []
+    monkeypatch.setattr(common, "ship", lambda spark: None)
+    monkeypatch.setattr(common, "release_memory", lambda: released.append(len(seen)))
+
+    class Frame:
+        sparkSession = None
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    seen = []
+    task = common.map_arrow(Frame(), lambda batches: (seen.append(b) or b for b in batches), "x int")
+    assert list(task(iter([1, 2, 3]))) == [1, 2, 3] and released == [3]
+    monkeypatch.undo()
+    common.release_memory()
+
+
 # --- mixing -------------------------------------------------------------------------------------
 
 
