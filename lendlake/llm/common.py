@@ -68,19 +68,26 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str, by: str | None = None, compression: str | None = None) -> DataFrame:
+def staged(df: DataFrame | Iterator[DataFrame], name: str, by: str | None = None, compression: str | None = None) -> DataFrame:
     """The frame as a table in the shared folder: read several times, safe from lost executors.
 
     With ``by``, each value of that column has a folder of its own. The folder is removed when the application ends, or earlier by ``free`` or ``drop_staged``.
+    Of several frames, each is made and written once the one before is done and its shuffle files are let go.
     """
-    spark = df.sparkSession
+    rest = iter(()) if isinstance(df, DataFrame) else df
+    df = df if isinstance(df, DataFrame) else next(rest)
+    spark, schema = df.sparkSession, df.schema
     path = fresh_path(spark, name)
     if spark not in _paths:
         _paths[spark] = []
         atexit.register(drop_staged, spark)
     _paths[spark].append(path)
-    (df.write.partitionBy(by) if by else df.write).parquet(path, compression=compression)
-    stored = spark.read.schema(df.schema).parquet(path)
+    while df is not None:
+        (df.write.partitionBy(by) if by else df.write).parquet(path, mode="append", compression=compression)
+        df = None
+        if (df := next(rest, None)) is not None:
+            free()
+    stored = spark.read.schema(schema).parquet(path)
     stored._staged_at = path
     return stored
 

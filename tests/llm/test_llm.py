@@ -10,6 +10,7 @@ import check
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lendlake.llm import common, decontaminate, lm_scoring, minhash_dedup, mixing, quality, queries, suffix_dedup, token_counts, topk, toxicity, warc_index
 from lendlake.llm.common import crc_mod, read
@@ -614,6 +615,42 @@ def test_written_mix(spark, edge, monkeypatch):
         assert totals == taken
 
 
+def test_mix_in_parts(spark, monkeypatch):
+    """The streams are packed in two parts; blocks that begin in one and end in the other are whole, the words taken are the same."""
+    rng = random.Random(9)
+    rows = [(i, "\n".join(f"{i}_{k}" for k in range(rng.choice([0, 1, 2, 5, 90, 300]))), rng.choice(["a", "a", "b", "c", None])) for i in range(160)]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 8)
+    mix = mixing.mix_sources(docs)
+    assert mix.parts == mixing.PARTS == 2
+    halves = [mix.texts(part).count() for part in range(2)]
+    filled = docs.where("text <> ''").count()
+    assert max(halves) < 0.75 * filled and filled <= sum(halves) < 1.4 * filled
+    got = {(r.source_no, r.slot): r for r in mix.written().collect()}
+    slots = mix.slots.collect()
+    assert len(got) == len(slots) == mix.written().count()
+    starts = {}
+    for d in mix.documents.collect():
+        for k in range(d["size"]):
+            starts[d.source_no, d.start + k] = f"{d.doc_id}_{k}"
+    for s in slots:
+        r = got[s.source_no, s.slot]
+        assert r.text.split(" ") == [starts[s.source_no, s.block * 64 + k] for k in range(s.words)] and r.shard == s.shard
+    taken = sorted(map(str, mix.taken().collect()))
+    monkeypatch.setattr(mixing, "PARTS", 1)
+    assert sorted(map(str, mixing.mix_sources(docs).taken().collect())) == taken
+
+
+def test_spaced_text_has_the_counted_words(spark):
+    rows = [(None,), ("",), (" \t\n",), ("a",), (" a\x0b\x0cb\r\n c ",), ("é x  日",), ("\x0e \x1f",)]
+    got = spark.createDataFrame(rows, "t string").select(
+        "t", mixing.word_count(F.col("t")).alias("n"), mixing.spaced(F.col("t")).alias("s"), mixing.spaced_count(mixing.spaced(F.col("t"))).alias("m")
+    )
+    for r in got.where("t is not null").collect():
+        words = r.t.encode().split()
+        assert (r.n, r.m, r.s.encode()) == (len(words), len(words), b" ".join(words))
+
+
 # --- search -------------------------------------------------------------------------------------
 
 
