@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, free, map_arrow, read, ship, staged, sums_by, text_or_empty, word_codes
+from .common import crc_mod, free, map_arrow, read, release_memory, ship, staged, sums_by, text_or_empty, word_codes
 
 ORDER = 6
 FOLDS, HELD_OUT = 7, 2
@@ -56,11 +56,10 @@ def paths_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _paths_at(raw: bytes, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Paths of runs of symbols, from where each begins and how many it has."""
-    line = np.frombuffer(raw, np.uint8)
-    path = np.zeros(len(line) - ORDER, np.int64)
-    for back in range(ORDER, -1, -1):
-        path <<= 8
-        path |= line[ORDER - back : len(line) - back]
+    # Eight bytes from each place on, of which a path has the first.
+    spare = 7 - ORDER
+    line = np.ndarray(len(raw) - ORDER, ">u8", raw + bytes(spare), strides=(1,))
+    path = line.astype(np.int64) >> (8 * spare) & ((1 << 8 * (ORDER + 1)) - 1)
     at = np.repeat(first - (np.cumsum(lengths) - lengths) - ORDER, lengths) + np.arange(lengths.sum())
     return path[at]
 
@@ -174,6 +173,14 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return every[first], np.add.reduceat(each, first)
 
 
+def scores_of(paths: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """The score of each path; ``scores`` has those of the distinct paths in the order of ``dealt``."""
+    found = pa.array(paths).dictionary_encode()
+    own = np.zeros(len(found.dictionary))
+    own[dealt(found.dictionary.to_numpy())[2]] = scores
+    return own[found.indices.to_numpy()]
+
+
 # --- the model ----------------------------------------------------------------------------------
 
 
@@ -274,8 +281,9 @@ def _blocks(docs: DataFrame, over_words: bool) -> DataFrame:
         if over_words:
             gathered, weights, size, least = [], [], 0, GATHERED
             for a, b, own_paths, place, many in stream_paths(words, codes, lengths):
-                gathered.append(own_paths)
-                weights.append(np.bincount(place, np.repeat(~held[a:b], many), len(own_paths)).astype(np.int64))
+                order = np.argsort(own_paths)  # sorted runs are added up the fastest
+                gathered.append(own_paths[order])
+                weights.append(np.bincount(place, np.repeat(~held[a:b], many), len(own_paths)).astype(np.int64)[order])
                 size += len(own_paths)
                 if size > least:
                     path, weight = summed(gathered, weights)
@@ -437,36 +445,43 @@ def score_texts(docs: DataFrame, over_words: bool = False) -> DataFrame:
         values = values.sort_by([("part", "ascending"), ("no", "ascending")])
         runs = list(zip(values.column("part").to_pylist(), values.column("scores").to_pylist(), strict=True))
         of_runs = np.concatenate([unpack_scores(x) for part, x in runs if part < PARTS])
+        del values
         word_count = np.zeros(len(names), np.int64)
         word_count[word_parts(names)[1]] = np.concatenate([np.zeros(0, np.int64), *(unpack(x) for part, x in runs if part >= PARTS)])
         packed = [unpack(x) for x in texts.column("codes").to_pylist()]
         lengths = np.fromiter(map(len, packed), np.int64, len(packed))
         codes = np.concatenate(packed)
+        del packed, runs
         base = sums_by((np.log10(word_count + 1.0) - total)[codes], lengths) + ends[1]
         n_known = sums_by((word_count > 0)[codes].astype(np.int64), lengths) + (ends[0] > 0)
         # The block's paths are made again, in the order in which their scores were sent.
         if over_words:
-            slices = [(a, b, own, place.astype(np.int32), many) for a, b, own, place, many in stream_paths(names, codes, lengths)]
-            path = np.unique(np.concatenate([x[2] for x in slices]))
+            slices, owns = [], []
+            for a, b, own, place, many in stream_paths(names, codes, lengths):
+                slices.append((a, b, len(own), place.astype(np.int32, copy=False), many))
+                owns.append(own)
+            del names, codes
+            owns = np.concatenate(owns)
+            release_memory()
+            value = scores_of(owns, of_runs)
+            del owns
+            full, at = np.zeros(len(lengths)), 0
+            for a, b, size, place, many in slices:
+                full[a:b] = sums_by(value[at : at + size][place], many)
+                at += size
+            del slices, value
         else:
             every, many = paths_of(names) if names else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            path = np.unique(np.append(every, END_PATH))
-        path_score = np.zeros(len(path))
-        path_score[dealt(path)[2]] = of_runs
-        if over_words:
-            full = np.zeros(len(lengths))
-            for a, b, own, place, many in slices:
-                full[a:b] = sums_by(path_score[np.searchsorted(path, own)][place], many)
-        else:
-            word_score = sums_by(path_score[np.searchsorted(path, every)], many)
-            full = sums_by(word_score[codes], lengths) + path_score[np.searchsorted(path, END_PATH)]
+            value = scores_of(np.append(every, END_PATH), of_runs)
+            full = sums_by(sums_by(value[:-1], many)[codes], lengths) + value[-1]
+        release_memory()
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
                 "held_out": texts.column("held_out"),
                 "n_tokens": lengths + 1,
                 "n_known": n_known,
-                "train_tokens": np.full(len(packed), tokens),
+                "train_tokens": np.full(len(lengths), tokens),
                 "base_score": base,
                 "score": full,
             }

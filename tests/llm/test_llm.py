@@ -502,6 +502,16 @@ def test_leaks(spark, folder, texts, edge, block):
     assert cut.columns == edge.columns and cut.count() == edge.count()
 
 
+def test_scores_of_paths_in_any_order():
+    """A block's paths find their scores by their place among the distinct ones, repeated and unsorted as they are."""
+    rng = np.random.default_rng(3)
+    paths = np.append(rng.integers(0, 1 << 55, 500)[rng.integers(0, 500, 4000)], lm_scoring.END_PATH)
+    distinct = np.unique(paths)
+    scores = rng.random(len(distinct))
+    want = dict(zip(distinct[lm_scoring.dealt(distinct)[2]].tolist(), scores, strict=True))
+    assert lm_scoring.scores_of(paths, scores).tolist() == [want[p] for p in paths.tolist()]
+
+
 def test_tasks_give_memory_back(monkeypatch):
     """A Python worker outlives its task; what the task has freed goes back at its end."""
     released = []
