@@ -31,6 +31,8 @@ from .portfolio import INPUTS, Portfolio
 #: Input bytes of a bucket. A packed input byte becomes some 25 bytes of wide rows, and a task sorts a bucket in memory.
 BYTES_PER_BUCKET = 8 << 20
 MIN_BUCKETS = 8
+#: Bytes of a method that the JVM still compiles (HotSpot's HugeMethodLimit).
+COMPILED_BYTES = 8000
 
 
 @dataclass(frozen=True)
@@ -83,6 +85,16 @@ def _files(spark: SparkSession, folder: str) -> tuple[str, int]:
     return hashlib.sha256(repr(sorted(found)).encode()).hexdigest(), sum(x[1] for x in found)
 
 
+def compile_wide_rows(spark: SparkSession) -> None:
+    """Lower the session's limit on generated methods to what the JVM compiles.
+
+    Columns that are computed on reading make generated stages of more bytes than that. A whole
+    stage over the limit is run operator by operator instead, whose code Spark splits.
+    """
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > COMPILED_BYTES:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(COMPILED_BYTES))
+
+
 def drop_stores(spark: SparkSession) -> None:
     """Remove the stored tables of this session; frames built on them can't be read afterwards."""
     _stores.pop(spark, None)
@@ -108,6 +120,7 @@ class Store:
         _folders[spark].append(self.folder)
 
     def table(self, name: str, make: Callable[[], DataFrame], layout: Layout) -> DataFrame:
+        compile_wide_rows(self.spark)
         with self._lock:
             if name not in self.built:
                 self.built[name] = self._build(name, make(), layout)

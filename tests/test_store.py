@@ -104,3 +104,15 @@ def test_reports_on_the_contract_tables(spark, folder, stored):
     own = reports.band_validation(audit, stored.modeling_dataset)
     assert rows(own) == rows(reports.band_validation(stored.audit, stored.modeling_dataset, ROW_KEY))
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+@pytest.mark.parametrize(("given", "kept"), [("65535", "8000"), ("4000", "4000")])
+def test_reading_a_stored_table_keeps_generated_methods_small_enough_to_be_compiled(spark, folder, given, kept):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, given)
+        reports.spotlight(StoredPortfolio(spark, folder).audit, StoredPortfolio(spark, folder).modeling_dataset, ROW_KEY, "auto_loan", "medium").collect()
+        assert spark.conf.get(name) == kept
+    finally:
+        spark.conf.set(name, before)
