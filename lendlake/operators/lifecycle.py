@@ -15,6 +15,7 @@ from .calibrate import apply_isotonic, fit_isotonic, score_groups, with_calibrat
 from .evaluate import compare_scores
 from .explain import background_means, with_top_drivers
 from .model import FittedModel, fit_default_model, risk_band
+from .training import TrainingRows
 
 PARTS = {"train": 0.60, "calibration": 0.20, "test": 0.20}
 
@@ -55,8 +56,8 @@ def run_lifecycle(
     calibrator learns from the exact raw scores.
     """
     split = ft.hash_split(dataset, key, parts)
-    train = staged(split.where(F.col("part") == "train").select(*numeric, *categorical, target), "train")
-    fitted = fit_default_model(train, numeric, categorical, target)
+    train = TrainingRows.of(split.where(F.col("part") == "train"), numeric, categorical, target)
+    fitted = fit_default_model(train)
     raw = fitted.model.score(split)
     learned = raw.where(F.col("part") == "calibration").select("raw_pd", target)
     calibrator = fit_isotonic(staged(score_groups(learned, "raw_pd", target), "score-groups"))
